@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, only
 from .exact_dedup import exact_dedup
+from .html_extraction import extract_pages
+from .jaccard_join import near_duplicates
 from .mixing import mix_sources
+from .packing import pack_documents
+from .quality_classifier import select_quality
 from .quality_rules import clean_lines
+from .sharding import read_shards, reshard, write_shards
 from .token_counts import token_counts
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -26,6 +31,27 @@ def _read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From 32 shards by hash of the id to 40 of equal bytes; all columns come from the files."""
+    rows = only(_read(spark, sf_dir), doc_id="doc_id", text="text")
+    rows = rows.withColumn("old_shard", F.pmod(F.xxhash64("doc_id"), F.lit(32)).cast("int"))
+    with Scratch(spark) as scratch:
+        placed, plan = reshard(rows, 40, scratch)
+        write_shards(placed, scratch.path("shards"), 40, sum(n for parts in plan for _, n in parts))
+        found = read_shards("doc_id long, text string, old_shard int", scratch.path("shards"), scratch)
+        crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
+        size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long")
+        return found.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard").checkpoint()
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_read(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_read(spark, sf_dir), n=3, percent=90)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(_read(spark, sf_dir)).drop("clean_text")
 
@@ -34,6 +60,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source", "repetitions")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_read(spark, sf_dir, "pages"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup(_read(spark, sf_dir), digest_all=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -46,11 +76,20 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select_quality(_read(spark, sf_dir), _read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sharding": op2_sharding,
+    "op3_packing": op3_packing,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
+    "op7_html_extraction": op7_html_extraction,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_token_counts": op9_token_counts,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 SQL: dict[str, str] = {
