@@ -17,6 +17,7 @@ from .quality_classifier import select_quality
 from .quality_rules import clean_lines
 from .sharding import read_shards, reshard, write_shards
 from .token_counts import token_counts
+from .token_output import stored_tokens
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -31,6 +32,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_tokens(_read(spark, sf_dir), _tokenizer("word_bpe_49k.json"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From 32 shards by hash of the id to 40 of equal bytes; all columns come from the files."""
     rows = only(_read(spark, sf_dir), doc_id="doc_id", text="text")
@@ -81,6 +86,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_output": op1_token_output,
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
