@@ -3,6 +3,8 @@ documents that lose too much text are rejected."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def _repeated_words(df: DataFrame) -> DataFrame:
     compared by 64-bit hashes of hashed words."""
     df = df.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
     windows = F.transform(F.sequence(F.lit(1), F.col("n_words").cast("int") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("h", i, F.lit(WINDOW))))
-    df = df.withColumn("g", F.when(F.col("n_words") >= 2 * 1 + WINDOW - 1, windows))
+    df = df.withColumn("g", F.when(F.col("n_words") > WINDOW, windows))
     by_hash = F.array_sort(F.transform("g", lambda x, i: F.struct(x.alias("x"), i.alias("at"))))
     df = df.withColumn("s", F.when(F.size(F.array_distinct("g")) < F.size("g"), by_hash))
 
@@ -32,15 +34,17 @@ def _repeated_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long")))
 
 
-def _line_stays(line: Column) -> Column:
+def _line_stays(line: Column, symbols: Column, phrases: Column) -> Column:
     """Punctuation: a line of three words or more ends a sentence somewhere or at its end, and no
     more than a quarter of its words carry runs of symbols or doubled exclamation marks.
-    Navigation: at most one item separator for each four words. Boilerplate: none of the phrases."""
-    count = lambda pattern: F.size(F.regexp_extract_all(line, F.lit(pattern), F.lit(0)))
+    Navigation: at most one item separator for each four words. Boilerplate: none of the phrases.
+    `symbols` and `phrases` say that the whole text has runs or phrases at all."""
     n = F.size(F.filter(F.split(line, SEPARATORS), lambda w: w != ""))
-    sentence = (n < 3) | line.rlike("[.!?…。！？:;][\"'”»)\\]]*[\\x20\\x09-\\x0D]*$") | (count("[.!?…][\\x20]") >= 1)
-    furniture = F.lower(line).rlike("|".join(BOILERPLATE))
-    return sentence & (4 * count("[#*$%&<>]{2,}|!{2,}") <= n) & (4 * count("[|»›•]") <= n) & ~furniture
+    runs = F.size(F.regexp_extract_all(line, F.lit("[#*$%&<>]{2,}|!{2,}"), F.lit(0)))
+    items = F.length(line) - F.length(F.regexp_replace(line, "[|»›•]", ""))
+    sentence = F.right(line, F.lit(6)).rlike("[.!?…。！？:;][\"'”»)\\]]*[\\x20\\x09-\\x0D]*$") | line.rlike("[.!?…]\\x20") | (n < 3)
+    clean = (~symbols | (runs == 0) | (4 * runs <= n)) & ((items == 0) | (4 * items <= n))
+    return sentence & clean & (~phrases | ~F.lower(line).rlike("|".join(BOILERPLATE)))
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_loss: float = 0.5, min_words: int = 20, max_repeat: float = 0.3) -> DataFrame:
@@ -52,14 +56,16 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     row is judged alone, and other columns are ignored. Nothing is shuffled.
     """
     df = only(docs, doc_id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
-    df = df.withColumns({"w": words(F.col("text")), "lines": F.split("text", "\n")})
+    small = F.lower("text")
+    phrases = reduce(Column.__or__, [small.contains(p) for p in BOILERPLATE])
+    df = df.withColumns({"w": words(F.col("text")), "lines": F.split("text", "\n"), "symbols": F.col("text").rlike("[#*$%&<>]{2}|!!"), "phrases": phrases})
     df = df.withColumns({"n_words": F.size("w").cast("long"), "full": F.filter("lines", lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))})
     df = _repeated_words(df)
     df = df.withColumns({
         "word_chars": F.length(F.regexp_replace("text", SEPARATORS, "")).cast("long"),
-        "n_symbols": (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long"),
+        "n_symbols": (F.length("text") - F.length(F.regexp_replace("text", f"[{SYMBOLS}]", ""))).cast("long"),
         "n_dup_lines": (F.size("full") - F.size(F.array_distinct("full"))).cast("long"),
-        "clean_lines": F.filter("lines", lambda x: ~x.rlike("[^\\x20\\x09-\\x0D]") | _line_stays(x)),
+        "clean_lines": F.filter("lines", lambda x: ~x.rlike("[^\\x20\\x09-\\x0D]") | _line_stays(x, F.col("symbols"), F.col("phrases"))),
     })
     chars = lambda lines: F.aggregate(lines, F.lit(0), lambda a, x: a + F.length(x))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > round(100 * max_repeat) * F.col("n_words"))
