@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 #: taken first, and beyond it the same join is done by a shuffle.
 BROADCAST_ROWS = 500_000
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Word separators of the contracts: space, tab, line feed, vertical tab, form feed, return.
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
 
@@ -38,12 +40,22 @@ class Scratch:
         self.root = f"{checkpoint_dir(spark)}/tessera-scratch-{uuid.uuid4().hex}"
 
     def __enter__(self) -> Scratch:
+        # Texts may be long: few rows at a time keep Arrow batches small on both sides.
+        self.rows = self.spark.conf.get(ARROW_ROWS)
+        self.spark.conf.set(ARROW_ROWS, "1000")
         return self
 
     def __exit__(self, *exc) -> None:
+        self.spark.conf.set(ARROW_ROWS, self.rows)
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def drop(self, *names: str) -> None:
+        """Removes tables that nothing reads any more."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -68,8 +80,8 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), upper, upper.lower())
 
 
-def bounded_semi(big: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+def bounded_semi(big: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi", most: int = BROADCAST_ROWS) -> DataFrame:
     """Semi or anti join of rows with texts against narrow distinct keys. The keys are broadcast
-    if a count proves at most BROADCAST_ROWS of them; else Spark shuffles, with equal results."""
-    few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    if a count proves at most `most` of them; else Spark shuffles, with equal results."""
+    few = keys.limit(most + 1).count() <= most
     return big.join(F.broadcast(keys) if few else keys, on, how)

@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bounded_semi, only
+from .common import BROADCAST_ROWS, Scratch, bounded_semi, only
 from .components import connected_components
 from .shingles import as_bytes, batched, grams, shingle_set, word_hashes
 
 SKETCH_BITS = 20
 CHUNKS = 64
-BINS = 32
+BINS = 64
 
 
 def _texts(column):
@@ -80,10 +80,11 @@ def _profile(n: int, percent: int, shared):
                 bounds.append(bounds[-1] + keep)
                 classes.append(int.from_bytes(blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True))
                 sizes.append(size)
-                bins.append(np.bincount((found >> np.uint64(59)).astype(np.int64), minlength=BINS))
+                bins.append(np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=BINS))
             values = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values(prefixes))
-            histograms = pa.ListArray.from_arrays(pa.array(np.arange(len(bins) + 1) * BINS, pa.int32()), values(bins))
+            counts = np.minimum(np.concatenate(bins), 127) if bins else np.zeros(0)  # capping both keeps the bound
+            histograms = pa.ListArray.from_arrays(pa.array(np.arange(len(bins) + 1) * BINS, pa.int32()), pa.array(counts.astype(np.int8)))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), lists, histograms], ["doc_id", "row", "c", "n", "prefix", "bins"])
 
     return profile
@@ -116,8 +117,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Equal sets form a class; only classes are joined. A class's prefix holds the n-grams that come
     first by (frequency, hash); frequencies are sums over all texts in 2**20 hash ranges. Classes
-    that share a prefix n-gram are linked in stages, each verified on whole sets: twice to one class
-    drawn for each n-gram (as many pairs as prefix entries), then every pair of an n-gram that is not
+    that share a prefix n-gram are linked in stages, each verified on whole sets: three times to one
+    class drawn for each n-gram (as many pairs as prefix entries), then every pair of an n-gram that is not
     yet in one component. So a large group of near copies gives a few pairs for each member and not
     the square, and no link that could join two components is left out.
     """
@@ -126,42 +127,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = rows.schema["doc_id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(_frequencies(rows, n))
     with Scratch(spark) as scratch:
-        schema = f"doc_id {kind}, row long, c long, n long, prefix array<long>, bins array<long>"
-        members = scratch.table(rows.mapInArrow(_profile(n, percent, shared), schema), "members")
-        heads = members.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bins").alias("bins"))
+        schema = f"doc_id {kind}, row long, c long, n long, prefix array<long>, bins array<byte>"
+        profiles = scratch.table(rows.mapInArrow(_profile(n, percent, shared), schema), "profiles")
+        heads = profiles.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bins").alias("bins"))
         classes = scratch.table(heads, "classes")
-        postings = classes.select("c", "n", F.posexplode("prefix").alias("at", "gram"))
-        often = postings.groupBy("gram").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("gram")
-        postings = scratch.table(postings.join(often, "gram"), "postings")
+        members = scratch.table(profiles.select("doc_id", "n", "c"), "members")
+        scratch.drop("profiles")
+        postings = classes.select("c", "n", "bins", F.posexplode("prefix").alias("at", "gram"))
+        often = scratch.table(postings.groupBy("gram").count().filter("count > 1").select("gram"), "often")
+        postings = scratch.table(bounded_semi(postings, often, ["gram"], most=2 * BROADCAST_ROWS), "postings")
         verified = roots = None
-        for stage in range(3):
+        for stage in range(4):
             if roots is None:
                 labelled = postings.withColumn("root", F.col("c"))
             else:
                 labelled = postings.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-            span = labelled.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("c", F.lit(stage)).alias("draw"), "c", "n", "root", "at")).alias("p"))
+            span = labelled.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("c", F.lit(stage)).alias("draw"), "c", "n", "root", "at", "bins")).alias("p"))
             span = span.filter("lo <> hi")
-            if stage < 2:
-                pairs = labelled.join(span.select("gram", F.col("p.c").alias("d"), F.col("p.n").alias("m"), F.col("p.root").alias("other"), F.col("p.at").alias("there")), "gram")
-                pairs = pairs.filter("root <> other")
+            if stage < 3:
+                right = span.select(F.col("gram").alias("gram2"), *[F.col(f"p.{k}").alias(f"{k}2") for k in ("c", "n", "root", "at", "bins")])
+                left, order = labelled, F.col("root") != F.col("root2")
             else:
-                held = scratch.table(labelled.join(span.select("gram"), "gram"), "held").join(classes.select("c", "prefix"), "c")
-                left = held.select("gram", "c", "n", "root", "at", "prefix")
-                right = held.select(F.col("gram").alias("gram2"), F.col("c").alias("d"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("at").alias("there"), F.col("prefix").alias("prefix2"))
-                first = F.array_intersect("prefix", "prefix2")[0] == F.col("gram")
-                within = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-                pairs = left.join(right, (F.col("gram") == F.col("gram2")) & (F.col("root") < F.col("other")) & within & _may_reach(percent) & first)
-            pairs = pairs.filter(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-            pairs = pairs.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
+                left = scratch.table(labelled.join(span.select("gram"), "gram").select("gram", "c", "n", "root", "at", "bins"), "held")
+                right = left.select([F.col(k).alias(f"{k}2") for k in left.columns])
+                order = F.col("root") < F.col("root2")
+            pairs = left.join(right, (F.col("gram") == F.col("gram2")) & order & _may_link(percent))
+            pairs = pairs.select(F.least("c", "c2").alias("a"), F.greatest("c", "c2").alias("b"), (F.col("n") + F.col("n2")).alias("size")).distinct()
             if verified is not None:
                 pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
-            facts = classes.select("c", "n", "bins")
-            pairs = pairs.join(facts.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("bins").alias("x")), "a")
-            pairs = pairs.join(facts.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("y")), "b")
-            apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.abs(x - y)), F.lit(0).cast("long"), lambda s, x: s + x)
-            pairs = pairs.filter(apart <= F.col("na") + F.col("nb") - 2 * _overlap(percent, F.col("na") + F.col("nb")))
-            pairs = scratch.table(pairs.select("a", "b", "na", "nb"), f"pairs-{stage}")
+            pairs = scratch.table(pairs, f"pairs-{stage}")
             found = _verify(rows, classes, pairs, n, percent, scratch, stage)
+            scratch.drop(f"sets-{stage}")
             verified = found if verified is None else verified.unionByName(found)
             roots = connected_components(verified.filter("similar"), scratch, f"components-{stage}")
             roots = scratch.table(roots, f"roots-{stage}")
@@ -178,10 +174,15 @@ def _overlap(percent: int, total):
     return F.ceil(total * percent / F.lit(100.0 + percent) - 1e-9)
 
 
-def _may_reach(percent: int):
-    """Positional filter: nothing before the first common n-gram is common, so what follows must do."""
-    after = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("there"))
-    return after >= _overlap(percent, F.col("n") + F.col("m"))
+def _may_link(percent: int):
+    """What a pair that shares an n-gram must meet, cheapest first. Length: the smaller set is large
+    enough. Positional: nothing before the first common n-gram is common, so what follows in both must
+    do. Suffix: the counts of shingles in 64 hash ranges differ by no more than the sets may."""
+    c = F.col
+    length = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
+    positional = F.least(c("n") - c("at"), c("n2") - c("at2")) >= _overlap(percent, c("n") + c("n2"))
+    apart = sum((F.abs(F.get("bins", F.lit(k)).cast("int") - F.get("bins2", F.lit(k)).cast("int")) for k in range(1, BINS)), F.abs(F.get("bins", F.lit(0)).cast("int") - F.get("bins2", F.lit(0)).cast("int")))
+    return length & positional & (apart <= c("n") + c("n2") - 2 * _overlap(percent, c("n") + c("n2")))
 
 
 def _verify(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
@@ -192,5 +193,5 @@ def _verify(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, perce
     sets = scratch.table(sets.dropDuplicates(["c"]), f"sets-{stage}")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    similar = common * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    similar = common * (100 + percent) >= F.col("size") * percent
     return scratch.table(both.select("a", "b", similar.alias("similar")), f"verified-{stage}")

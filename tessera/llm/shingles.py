@@ -35,6 +35,16 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ranges of bytes, equal for equal bytes wherever they stand: differences of
+    running sums of random byte values times powers of an odd number."""
+    ahead, back = _powers(len(data) + 1)
+    sums = np.empty(len(data) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_BYTE[data] * ahead[: len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _MIX[63])
+
+
 def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, the bounds of each text's words in them, the bytes of all
     texts with a space after each, and where each text starts in those."""
@@ -45,12 +55,7 @@ def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.
     gap = _IS_SEPARATOR[data]
     edge = np.flatnonzero(np.diff(gap.view(np.int8), prepend=1))
     starts, ends = edge[::2], edge[1::2]
-    ahead, back = _powers(len(data) + 1)
-    sums = np.empty(len(data) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(_BYTE[data] * ahead[: len(data)], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _MIX[63])
-    return hashes, np.searchsorted(starts, at), data, at
+    return range_hashes(data, starts, ends), np.searchsorted(starts, at), data, at
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -69,7 +74,7 @@ def shingle_set(hashes: np.ndarray, n: int) -> np.ndarray:
     return np.unique(found)
 
 
-def batched(texts: Iterable[bytes], most: int = 1_000_000) -> Iterator[list[bytes]]:
+def batched(texts: Iterable[bytes], most: int = 400_000) -> Iterator[list[bytes]]:
     """Consecutive texts in lists of about `most` bytes: whole texts, one at least."""
     held, size = [], 0
     for text in texts:
