@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from . import audit_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(audit_queries.QUERIES)
+SQL: dict[str, str] = dict(audit_queries.SQL)
