@@ -17,11 +17,10 @@ def upper_median(values: str | Column) -> Column:
 def inventory(tiles: DataFrame, by: list[str], count: str) -> DataFrame:
     """tiles, total, least, most and upper median of a count for each group. Medians are taken from
     counts of values, so a group's rows are never gathered."""
-    sizes = tiles.groupBy(*by, count).agg(F.count("*").alias("n"))
-    before = Window.partitionBy(*by).orderBy(count)
-    ranked = sizes.withColumns({"upto": F.sum("n").over(before), "all": F.sum("n").over(Window.partitionBy(*by))})
-    middle = (F.col("upto") - F.col("n") <= F.floor(F.col("all") / 2)) & (F.floor(F.col("all") / 2) < F.col("upto"))
-    return ranked.groupBy(*by).agg(F.sum("n").alias("tiles"), F.sum(F.col(count) * F.col("n")).alias("total"), F.min(count).alias("least"), F.max(count).alias("most"), F.max(F.when(middle, F.col(count))).alias("median"))
+    sizes = tiles.groupBy(*by, F.col(count).alias("_v")).agg(F.count("*").alias("_n"))
+    ranked = sizes.withColumns({"_upto": F.sum("_n").over(Window.partitionBy(*by).orderBy("_v")), "_all": F.sum("_n").over(Window.partitionBy(*by))})
+    middle = (F.col("_upto") - F.col("_n") <= F.floor(F.col("_all") / 2)) & (F.floor(F.col("_all") / 2) < F.col("_upto"))
+    return ranked.groupBy(*by).agg(F.sum("_n").alias("tiles"), F.sum(F.col("_v") * F.col("_n")).alias("total"), F.min("_v").alias("least"), F.max("_v").alias("most"), F.max(F.when(middle, F.col("_v"))).alias("median"))
 
 
 def lineage_counts(rows: DataFrame, by: list[str], parent: str, labels: str) -> DataFrame:

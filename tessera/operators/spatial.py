@@ -27,21 +27,31 @@ def visible_tiles(obbs: DataFrame, tiles: DataFrame) -> DataFrame:
     return g.once(pairs, "visible", F.when(whole, F.lit(1.0)).otherwise(share))
 
 
-def best_match(expected: DataFrame, labels: DataFrame, key: list[str], policy: Policy = DEFAULT) -> DataFrame:
-    """The label of the same tile that fits each expected polygon best, if any does.
+def fit_pairs(expected: DataFrame, labels: DataFrame, how: str, policy: Policy = DEFAULT) -> DataFrame:
+    """Expected polygons (tile_key, poly, envelope) with the labels (tile_key, poly, others) of their
+    tile whose envelopes meet theirs: the label's columns prefixed by l_, iou and fits.
+
+    A label fits if IoU or intersection over the smaller is high, the centres are near and the areas
+    similar."""
+    lab = with_bounds(labels.select(*[F.col(c).alias(f"l_{c}") for c in labels.columns]), "l_poly", "l_")
+    meet = (F.col("x0") <= F.col("l_x1")) & (F.col("l_x0") <= F.col("x1")) & (F.col("y0") <= F.col("l_y1")) & (F.col("l_y0") <= F.col("y1"))
+    pairs = expected.join(lab, (F.col("tile_key") == F.col("l_tile_key")) & meet, how)
+    measured = F.when(F.col("l_poly").isNotNull(), F.struct(g.overlaps(F.col("poly"), F.col("l_poly")).alias("o"), g.centroid_distance(F.col("poly"), F.col("l_poly")).alias("d")))
+    pairs = g.once(pairs, "_m", measured)
+    o = F.col("_m.o")
+    iou = F.coalesce(F.try_divide(o["inter"], o["a"] + o["b"] - o["inter"]), F.lit(0.0))
+    smaller = F.coalesce(F.try_divide(o["inter"], F.least(o["a"], o["b"])), F.lit(0.0))
+    ratio = F.coalesce(F.try_divide(o["b"], o["a"]), F.lit(0.0))
+    fits = ((iou >= policy.match_iou) | (smaller >= policy.match_ios)) & (F.col("_m.d") <= policy.centroid) & ratio.between(*policy.area_ratio)
+    return pairs.withColumns({"iou": iou, "fits": F.coalesce(fits, F.lit(False))}).drop("_m")
 
-    expected: `key`, tile_key, poly, envelope. labels: tile_key, line, poly. A label fits if IoU or
-    intersection over the smaller is high, the centres are near and the areas similar; the greatest
-    IoU (six decimals) wins, the first line on ties. Rows without a fit are not returned.
-    """
-    lab = with_bounds(labels.select(F.col("tile_key").alias("_tile"), F.col("line"), F.col("poly").alias("label")), "label", "l")
-    meet = (F.col("x0") <= F.col("lx1")) & (F.col("lx0") <= F.col("x1")) & (F.col("y0") <= F.col("ly1")) & (F.col("ly0") <= F.col("y1"))
-    pairs = expected.select(*key, "tile_key", "poly", "x0", "y0", "x1", "y1").join(lab, (F.col("tile_key") == F.col("_tile")) & meet)
-    pairs = g.once(pairs, "o", g.overlaps(F.col("poly"), F.col("label"))).withColumn("iou", F.coalesce(F.try_divide(F.col("o.inter"), F.col("o.a") + F.col("o.b") - F.col("o.inter")), F.lit(0.0)))
-    smaller = F.coalesce(F.try_divide(F.col("o.inter"), F.least(F.col("o.a"), F.col("o.b"))), F.lit(0.0))
-    ratio = F.coalesce(F.try_divide(F.col("o.b"), F.col("o.a")), F.lit(0.0))
-    fits = ((F.col("iou") >= policy.match_iou) | (smaller >= policy.match_ios)) & (g.centroid_distance(F.col("poly"), F.col("label")) <= policy.centroid) & ratio.between(*policy.area_ratio)
-    best = pairs.filter(fits).groupBy(*key, "tile_key").agg(F.max(F.struct(g.round_half_up(F.col("iou"), 6).alias("iou"), (-F.col("line")).alias("line"))).alias("m"))
+
+def best_match(expected: DataFrame, labels: DataFrame, key: list[str], policy: Policy = DEFAULT) -> DataFrame:
+    """The label (tile_key, line, poly) of the same tile that fits each expected polygon best: key,
+    tile_key, line, iou. The greatest IoU (six decimals) wins, the first line on ties. Rows without a
+    fit are not returned."""
+    pairs = fit_pairs(expected.select(*key, "tile_key", "poly", "x0", "y0", "x1", "y1"), labels.select("tile_key", "line", "poly"), "inner", policy)
+    best = pairs.filter("fits").groupBy(*key, "tile_key").agg(F.max(F.struct(g.round_half_up(F.col("iou"), 6).alias("iou"), (-F.col("l_line")).alias("line"))).alias("m"))
     return best.select(*key, "tile_key", (-F.col("m.line")).alias("line"), F.col("m.iou").alias("iou"))
 
 
@@ -52,23 +62,18 @@ def coverage_status(obbs: DataFrame, tiles: DataFrame, labels: DataFrame, remove
     label, else filtered (a removed label fits), else suppressed (in the ledger), else missing; the
     status follows from these in the order of the cases below.
     """
-    seen = visible_tiles(obbs, tiles)
-    expected = seen.filter((F.col("visible") >= policy.min_overlap) & (F.col("visible") >= policy.min_visible))
-    fragments = seen.filter((F.col("visible") >= policy.min_overlap) & (F.col("visible") < policy.min_visible)).groupBy("instance_id").agg(F.count("*").alias("edge_fragments"))
-    key = ["instance_id"]
-    found = best_match(expected, labels, key, policy).select("instance_id", "tile_key", F.lit(True).alias("is_matched"))
-    gone = best_match(expected, removed, key, policy).select("instance_id", "tile_key", F.lit(True).alias("is_removed"))
-    listed = ledger.select("instance_id", "tile_key", F.lit(True).alias("is_listed")).distinct()
-    cases = expected.select("instance_id", "tile_key", "tile_source")
-    for side in (found, gone, listed):
-        cases = cases.join(side, ["instance_id", "tile_key"], "left")
-    outcome = F.when(F.col("is_matched"), "matched").when(F.col("is_removed"), "filtered").when(F.col("is_listed"), "suppressed").otherwise("missing")
+    seen = visible_tiles(obbs, tiles).filter(F.col("visible") >= policy.min_overlap)
+    all_labels = labels.select("tile_key", "poly", F.lit(False).alias("gone")).unionByName(removed.select("tile_key", "poly", F.lit(True).alias("gone")))
+    pairs = fit_pairs(seen.select("instance_id", "tile_key", "tile_source", "visible", "poly", "x0", "y0", "x1", "y1"), all_labels, "left", policy)
+    cases = pairs.groupBy("instance_id", "tile_key").agg(F.first("tile_source").alias("tile_source"), (F.first("visible") < policy.min_visible).alias("fragment"), F.max(F.col("fits") & ~F.col("l_gone")).alias("is_matched"), F.max(F.col("fits") & F.col("l_gone")).alias("is_removed"))
+    cases = cases.join(ledger.select("instance_id", "tile_key", F.lit(True).alias("is_listed")).distinct(), ["instance_id", "tile_key"], "left")
+    outcome = F.when(F.col("fragment"), "fragment").when(F.col("is_matched"), "matched").when(F.col("is_removed"), "filtered").when(F.col("is_listed"), "suppressed").otherwise("missing")
     cases = cases.withColumn("outcome", outcome)
     of = lambda name: F.count_if(F.col("outcome") == name).alias(name)
     matched_from = lambda *sources: F.count_if((F.col("outcome") == "matched") & F.col("tile_source").isin(*sources))
-    per_box = cases.groupBy("instance_id").agg(F.count("*").alias("expected"), *[of(n) for n in ("matched", "filtered", "suppressed", "missing")], matched_from("annotation_recovery").alias("from_recovery"), matched_from("smart_grid", "strict_grid").alias("from_grid"))
+    per_box = cases.groupBy("instance_id").agg(F.count_if(F.col("outcome") != "fragment").alias("expected"), F.count_if(F.col("outcome") == "fragment").alias("edge_fragments"), *[of(n) for n in ("matched", "filtered", "suppressed", "missing")], matched_from("annotation_recovery").alias("from_recovery"), matched_from("smart_grid", "strict_grid").alias("from_grid"))
     parents = tiles.select("group_key").distinct().withColumn("has_tiles", F.lit(True))
-    rows = obbs.select("instance_id", "group_key").join(parents, "group_key", "left").join(per_box, "instance_id", "left").join(fragments, "instance_id", "left")
+    rows = obbs.select("instance_id", "group_key").join(parents, "group_key", "left").join(per_box, "instance_id", "left")
     rows = rows.fillna(0, ["expected", "matched", "filtered", "suppressed", "missing", "from_recovery", "from_grid", "edge_fragments"])
     c = F.col
     status = (

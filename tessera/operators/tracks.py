@@ -107,7 +107,8 @@ def fill_gaps(tracks: DataFrame, by: list[str], policy: Policy = DEFAULT) -> Dat
     holes = step.filter((gap >= 1) & (gap <= policy.track_gap)).withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), gap)))
     share = F.col("_k") / (F.col("_f") - F.col("frame"))
     between = F.zip_with("poly", "_p", lambda p, q: g.point(p["x"] + (q["x"] - p["x"]) * share, p["y"] + (q["y"] - p["y"]) * share))
-    made = holes.withColumns({"poly": between, "conf": F.least("conf", "_c"), "frame": F.col("frame") + F.col("_k")}).select(*tracks.columns).withColumn("interpolated", F.lit(True))
+    # One after another: an expression inside a lambda would see a `frame` that is set beside it.
+    made = holes.withColumn("poly", between).withColumn("conf", F.least("conf", "_c")).withColumn("frame", F.col("frame") + F.col("_k")).select(*tracks.columns).withColumn("interpolated", F.lit(True))
     return tracks.withColumn("interpolated", F.lit(False)).unionByName(made)
 
 

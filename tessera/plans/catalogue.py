@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audit_queries
+from . import audit_queries, report_queries
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(audit_queries.QUERIES)
-SQL: dict[str, str] = dict(audit_queries.SQL)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = audit_queries.QUERIES | report_queries.QUERIES
+SQL: dict[str, str] = audit_queries.SQL | report_queries.SQL
