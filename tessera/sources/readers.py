@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,13 +54,13 @@ def count_cvat_shapes(spark: SparkSession, path: str) -> DataFrame:
 
 def count_objects(spark: SparkSession, path: str) -> DataFrame:
     """file, objects: <object> elements at any depth of each XML file, files without any too."""
-    files = spark.read.option("wholetext", True).text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
     return files.select("file", F.size(F.regexp_extract_all("value", F.lit(r"<object[\s/>]"), F.lit(0))).cast("long").alias("objects"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, line (from 1), text. Files are read whole, so that lines can be numbered."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
+    raw = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
     lines = raw.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("at", "text"))
     return lines.select("file", (F.col("at") + 1).cast("long").alias("line"), "text").filter(F.trim("text") != "")
 
@@ -112,7 +113,7 @@ def read_instances(spark: SparkSession, path: str, dataset: str | None = None, s
 def read_roi(spark: SparkSession, path: str) -> DataFrame:
     """image, grids (sorted distinct ids 1 to 9, also from digit texts). The file is a list of records or
     one record; commas before a closing bracket are forgiven; images without ids go."""
-    text = spark.read.option("wholetext", True).text(path).select(F.regexp_replace("value", r",(\s*[\]}])", "$1").alias("v"))
+    text = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r",(\s*[\]}])", "$1").alias("v"))
     record = "struct<image:string,grids:array<string>>"
     listed = F.from_json(F.when(F.ltrim("v").startswith("["), F.col("v")).otherwise(F.concat(F.lit("["), F.col("v"), F.lit("]"))), f"array<{record}>")
     rows = text.select(F.explode(listed).alias("r")).select("r.*")
@@ -122,7 +123,7 @@ def read_roi(spark: SparkSession, path: str) -> DataFrame:
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Distinct (instance_id, tile_key) of a suppression ledger: a list, or entries in an object."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     entry = "array<struct<parent_annotation_id:string,suppressed_tile:string>>"
     listed = F.when(F.ltrim("value").startswith("["), F.from_json("value", entry)).otherwise(F.from_json("value", f"struct<entries:{entry}>")["entries"])
     return text.select(F.explode(listed).alias("e")).select(F.col("e.parent_annotation_id").alias("instance_id"), F.col("e.suppressed_tile").alias("tile_key")).distinct()
@@ -149,8 +150,6 @@ def read_files(spark: SparkSession, path: str, content: bool = False) -> DataFra
 
 def image_sizes(files: DataFrame) -> DataFrame:
     """path, width, height of PNG and JPEG files, from the header bytes; null if there are none."""
-    import pandas as pd
-
     @F.pandas_udf("struct<width:int,height:int>")
     def size(contents: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_header(bytes(c)) for c in contents], columns=["width", "height"]).astype("Int32")
