@@ -188,8 +188,9 @@ def intersection_over_smaller(first: Column, second: Column) -> Column:
 
 
 def round_half_up(value: Number, digits: int) -> Column:
-    """Rounding that other engines repeat exactly: floor(x 10^d + 0.5) / 10^d."""
-    return F.floor(lit(value) * 10.0**digits + 0.5) / F.lit(10.0**digits)
+    """Rounding that other engines repeat: floor(x 10^d + 0.5) / 10^d, where what lies within 1e-7 of a
+    tie counts as one, so that the last bits of a sum don't decide."""
+    return F.floor(lit(value) * 10.0**digits + (0.5 + 1e-7)) / F.lit(10.0**digits)
 
 
 def order_points(poly: Column) -> Column:

@@ -64,7 +64,7 @@ def quad_planes(q: str) -> list[tuple[str, str, str]]:
 
 
 def half_up(value: str, digits: int) -> str:
-    return f"(floor(({value}) * 1e{digits} + 0.5) / 1e{digits})"
+    return f"(floor(({value}) * 1e{digits} + 0.5000001) / 1e{digits})"
 
 
 def box_iou(a: str, b: str) -> str:
