@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, only
+from .shingles import as_bytes
 from .tokenizing import PieceEncoder
 
 
@@ -96,8 +97,8 @@ def _cut(tokenizer: str, capacity: int, end_id: int, with_ids: bool):
         names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
         for batch in batches:
             at, rows = [], []
-            for k, text in enumerate(batch["text"]):
-                raw = encoder.encode(text.as_py()) + end
+            for k, ids in enumerate(encoder.encode_all(as_bytes(batch["text"]))):
+                raw = ids.astype("<u4").tobytes() + end
                 n, start, piece = len(raw) // 4, 0, 0
                 while start < n:
                     size = (n - start - 1) % capacity + 1 if not piece else capacity

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, bounded_semi, only
+from .shingles import as_bytes
 from .tokenizing import PieceEncoder, file_digest
 
 CACHE_SCHEMA = "digest binary, n_tokens long"
@@ -26,7 +27,7 @@ def _counter(tokenizer: str):
     def count(batches):
         encoder = PieceEncoder(tokenizer)
         for batch in batches:
-            counts = [len(encoder.encode(x.as_py())) // 4 for x in batch["text"]]
+            counts = [len(ids) for ids in encoder.encode_all(as_bytes(batch["text"]))]
             yield pa.RecordBatch.from_arrays([batch["digest"], pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
     return count

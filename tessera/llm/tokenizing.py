@@ -4,15 +4,25 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 
-#: Between two of these characters a single space always begins a token and a single line feed
-#: stands alone: neither of the two pre-tokenizers has a pattern that goes on past it, and
-#: normalisation doesn't join across it.
-_SAFE = "!-~À-ÖØ-öø-ÿ"
-_BREAK = re.compile(f"(?<=[{_SAFE}]) (?=[{_SAFE}])")
-_CLEAN = re.compile(f"\n?[{_SAFE}](?:.*[{_SAFE}])?", re.S)
+from .shingles import batched, range_hashes
+
+#: Bytes of printable ASCII, and of the second byte of U+00C0 to U+00FF but for the two signs there.
+#: Between such characters a single space always begins a token and a single line feed stands alone:
+#: neither of the two pre-tokenizers has a pattern that goes on past it, and normalisation doesn't
+#: join across it.
+_ASCII = np.zeros(256, bool)
+_ASCII[0x21:0x7F] = True
+_SECOND = np.zeros(256, bool)
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
+_LEAD = 0xC3
+_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+_ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
+_KIND = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 def file_digest(path: str) -> str:
@@ -24,65 +34,108 @@ def file_digest(path: str) -> str:
 class PieceEncoder:
     """Ids of whole texts as a `tokenizers` file gives them, with no special tokens added.
 
-    A text is cut at single spaces and line feeds where every tokenization has a border, so that each distinct
-    piece goes through the library once and later ones come from a dictionary. Texts in which a
-    space has another neighbour (white space, rare scripts, text edges) are cut only at the safe
-    places. The dictionaries are emptied at `limit` characters; nothing depends on what they hold.
+    A text is cut at single spaces and line feeds where every tokenization has a border, so that each
+    distinct piece goes through the library once and later ones come from a table, by 64-bit hash.
+    Texts with another neighbour of a space or line feed (white space, other scripts, text edges) go
+    through the library whole. Past `limit` pieces the table starts anew; nothing depends on what it
+    holds.
     """
 
-    def __init__(self, path: str, limit: int = 40_000_000):
+    def __init__(self, path: str, limit: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.limit, self.size = Tokenizer.from_file(path), limit, 0
-        self.tails: dict[str, bytes | bool] = {}
-        self.whole: dict[str, bytes] = {}
+        self.library, self.limit = Tokenizer.from_file(path), limit
+        self.line_feed = len(self.library.encode("\n", add_special_tokens=False).ids)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
 
-    def _learn(self, store: dict, keys: list[str], joined: bool) -> None:
-        """Encodes new pieces, many in one call: joined ones follow each other with the space or line
-        feed that each begins with, and the ids are told apart by where their tokens start."""
-        pieces = [k if k[:1] == "\n" else f" {k}" for k in keys] if joined else keys
-        self.size += sum(map(len, pieces)) + 40 * len(pieces)
+    def _learn(self, keys: np.ndarray, pieces: list[str], heads: np.ndarray) -> None:
+        """Encodes new pieces, many in one call: each begins with the space or line feed before it,
+        others (a text's first piece, marks) with a line feed whose ids are dropped, and the ids are told apart by where
+        their tokens start."""
+        counts, ids = [], []
         start = 0
-        while start < len(keys):  # about 200,000 characters a call: an encoding takes far more than its text
+        while start < len(pieces):  # about 200,000 characters a call: an encoding takes far more than its text
             end, chars = start, 0
-            while end < len(keys) and (end == start or chars + len(pieces[end]) <= 200_000):
+            while end < len(pieces) and (end == start or chars + len(pieces[end]) <= 200_000):
                 chars, end = chars + len(pieces[end]), end + 1
-            part = pieces[start:end]
-            if joined:
-                found = self.library.encode("".join(part), add_special_tokens=False)
-                ids = np.array(found.ids, dtype="<u4")
-                ends = np.cumsum(np.fromiter(map(len, part), dtype=np.int64, count=len(part)))
-                owner = np.searchsorted(ends, np.array([a for a, _ in found.offsets], dtype=np.int64), "right")
-                cut = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(part)))]).tolist()
-                raw = ids.tobytes()
-                store.update((k, raw[4 * a : 4 * b]) for k, a, b in zip(keys[start:end], cut, cut[1:], strict=False))
-            else:
-                for k, found in zip(keys[start:end], self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    store[k] = np.array(found.ids, dtype="<u4").tobytes()
+            found = self.library.encode("".join(pieces[start:end]), add_special_tokens=False)
+            ends = np.cumsum(np.fromiter(map(len, pieces[start:end]), np.int64, end - start))
+            owner = np.searchsorted(ends, np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0], "right")
+            counts.append(np.bincount(owner, minlength=end - start))
+            ids.append(np.array(found.ids, np.uint32))
             start = end
+        n, new = np.concatenate(counts), np.concatenate(ids)
+        while self.used + len(new) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
+        self.pool[self.used : self.used + len(new)] = new
+        at = self.used + np.cumsum(n) - n
+        self.used += len(new)
+        at, n = at + heads * self.line_feed, n - heads * self.line_feed
+        place = np.searchsorted(self.keys, keys)  # `keys` are sorted
+        self.keys, self.at, self.n = (np.insert(a, place, b) for a, b in ((self.keys, keys), (self.at, at), (self.n, n)))
+
+    def _whole(self, text: bytes) -> np.ndarray:
+        return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
+
+    def _batch(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of each text. Texts are joined by a line feed, so every border looks alike."""
+        raw = b"\n" + b"\n".join(texts) + b"\n"
+        data = np.frombuffer(raw, np.uint8)
+        bounds = np.cumsum([1, *[len(t) + 1 for t in texts]])  # where each text starts
+        cuts = np.flatnonzero((data == 32) | (data == 10))
+        before, after = data[np.maximum(cuts - 1, 0)], data[np.minimum(cuts + 1, len(data) - 1)]
+        left = _ASCII[before] | (_SECOND[before] & (data[np.maximum(cuts - 2, 0)] == _LEAD))
+        right = _ASCII[after] | ((after == _LEAD) & _SECOND[data[np.minimum(cuts + 2, len(data) - 1)]])
+        left[0] = right[-1] = True
+        # A border belongs to the texts on both of its sides; those with a bad one are encoded whole.
+        bad = np.zeros(len(texts) + 1, np.int64)
+        last = np.searchsorted(bounds, cuts, "left")  # texts that end at or contain a cut
+        text_of = np.maximum(last - 1, 0)
+        np.add.at(bad, text_of[~left], 1)
+        starts = np.searchsorted(bounds, cuts + 1, "right") - 1
+        np.add.at(bad, np.minimum(starts, len(texts))[~right], 1)
+        first = np.isin(cuts + 1, bounds[:-1], assume_unique=True)  # cuts before a text
+        begin, end = cuts[:-1] + 1, cuts[1:]
+        kind = np.where(first[:-1], 0, np.where(data[cuts[:-1]] == 32, 1, 2))
+        owner = starts[:-1]
+        good = bad[owner] == 0
+        begin, end, kind, owner = begin[good], end[good], kind[good], owner[good]
+        # A mark after a letter or digit is a token of its own before a border.
+        prior = data[np.maximum(end - 2, 0)]
+        marked = np.flatnonzero(_MARK[data[end - 1]] & (end - begin > 1) & (_ALNUM[prior] | (_SECOND[prior] & (data[np.maximum(end - 3, 0)] == _LEAD))))
+        begin, kind, owner = np.insert(begin, marked + 1, end[marked] - 1), np.insert(kind, marked + 1, 0), np.insert(owner, marked + 1, owner[marked])
+        end = np.insert(end, marked, end[marked] - 1)
+        keys = range_hashes(data, begin, end) ^ _KIND[kind]
+        distinct, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self.keys) + len(distinct) > self.limit:
+            self._clear()
+        spot = np.searchsorted(self.keys, distinct)
+        known = np.zeros(len(distinct), bool)
+        if len(self.keys):
+            known = self.keys[np.minimum(spot, len(self.keys) - 1)] == distinct
+        if not known.all():
+            fresh = where[~known]
+            prefix = ("\n", " ", "\n")
+            pieces = [prefix[k] + raw[a:b].decode() for a, b, k in zip(begin[fresh].tolist(), end[fresh].tolist(), kind[fresh].tolist(), strict=True)]
+            self._learn(distinct[~known], pieces, (kind[fresh] == 0).astype(np.int64))
+            spot = np.searchsorted(self.keys, distinct)
+        at, n = self.at[spot][inverse], self.n[spot][inverse]
+        ends = np.cumsum(n)
+        ids = self.pool[np.repeat(at - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        upto = np.concatenate([[0], ends])
+        edge = upto[np.searchsorted(owner, np.arange(len(texts) + 1))]
+        for k, text in enumerate(texts):
+            yield self._whole(text) if bad[k] else ids[edge[k] : edge[k + 1]]
 
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids; a null text is empty."""
-        if not text:
-            return b""
-        if self.size > self.limit:
-            self.tails.clear(), self.whole.clear()
-            self.size = 0
-        head, *tails = text.replace("\n", " \n").split(" ")
-        found = list(map(self.tails.get, tails))
-        if None in found:
-            new = {p for p in tails if p not in self.tails}
-            clean = [p for p in new if _CLEAN.fullmatch(p)]
-            self.tails.update(dict.fromkeys(new.difference(clean), False))
-            self._learn(self.tails, clean, True)
-            found = list(map(self.tails.__getitem__, tails))
-        if False in found or tails and not _CLEAN.fullmatch(head[-1:]):
-            head, *tails = _BREAK.split(text)
-            spaced = [f" {p}" for p in tails]
-            if new := [p for p in set(spaced) if p not in self.whole]:
-                self._learn(self.whole, new, False)
-            found = list(map(self.whole.__getitem__, spaced))
-        if head not in self.whole:
-            self._learn(self.whole, [head], False)
-        return self.whole[head] + b"".join(found)
+    def encode_all(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+        """Ids (uint32) of UTF-8 texts, in order; an empty text has none."""
+        for some in batched(texts, 1_000_000):
+            full = [t for t in some if t]
+            found = self._batch(full) if full else iter(())
+            for text in some:
+                yield next(found) if text else np.zeros(0, np.uint32)
