@@ -202,7 +202,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
             keyed = rows.withColumn("key", F.sha2(F.coalesce("html", F.lit("")), 256))
             each = keyed.select("host", "key", "html").dropDuplicates(["host", "key"])
             own = each.mapInArrow(_hash_rows, "host string, key string, subtree long").join(found, ["host", "subtree"])
-            own = scratch.table(own.groupBy("host", "key").agg(F.collect_list("subtree").alias("templates")), "own")
+            own = own.groupBy("host", "key").agg(F.collect_list("subtree").alias("templates")).checkpoint()  # read after this returns
             rows = keyed.join(own, ["host", "key"], "left").drop("key")
 
         def extract(batches):
