@@ -14,7 +14,7 @@ from .jaccard_join import near_duplicates
 from .mixing import mix_sources
 from .packing import pack_documents
 from .quality_classifier import select_quality
-from .quality_rules import clean_lines
+from .quality_rules import BOILERPLATE, clean_lines
 from .sharding import read_shards, reshard, write_shards
 from .token_counts import token_counts
 from .token_output import stored_tokens
@@ -98,7 +98,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
+_SEPARATORS = "[\\x20\\x09-\\x0D]"
+_QUALITY_SQL = rf"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '{_SEPARATORS}+'), lambda x: x <> '') AS w, string_split(text, chr(10)) AS lines FROM t),
+    windows AS (SELECT doc_id, unnest(range(1, len(w) - 6)) AS place, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS x FROM w WHERE len(w) > 8),
+    twice AS (SELECT doc_id, place FROM (SELECT doc_id, place, count(*) OVER (PARTITION BY doc_id, x) AS n FROM windows) WHERE n > 1),
+    covered AS (SELECT doc_id, CAST(sum(least(8, coalesce(later - place, 8))) AS BIGINT) AS n FROM (SELECT doc_id, place, lead(place) OVER (PARTITION BY doc_id ORDER BY place) AS later FROM twice) GROUP BY doc_id),
+    line AS (SELECT doc_id, unnest(lines) AS x FROM w),
+    judged AS (SELECT doc_id, x, regexp_matches(x, '[^\x20\x09-\x0D]') AS has_word, len(list_filter(regexp_split_to_array(x, '{_SEPARATORS}+'), lambda y: y <> '')) AS n,
+        len(regexp_extract_all(x, '[#*$%&<>]{{2,}}|!{{2,}}')) AS runs, length(x) - length(regexp_replace(x, '[|»›•]', '', 'g')) AS items FROM line),
+    loss AS (SELECT doc_id, sum(length(x)) AS everything, sum(length(x)) FILTER (has_word AND NOT (
+        (regexp_matches(right(x, 6), '[.!?…。！？:;]["''”»)\]]*{_SEPARATORS}*$') OR regexp_matches(x, '[.!?…]\x20') OR n < 3)
+        AND (runs = 0 OR 4 * runs <= n) AND (items = 0 OR 4 * items <= n) AND NOT regexp_matches(lower(x), '{"|".join(BOILERPLATE)}'))) AS lost FROM judged GROUP BY doc_id),
+    base AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+        coalesce(c.n, 0) AS n_repeat_words FROM w LEFT JOIN covered c USING (doc_id))
+    SELECT b.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND coalesce(lost, 0) <= 0.5 * everything AS kept
+    FROM base b JOIN loss USING (doc_id)"""
+
 SQL: dict[str, str] = {
+    "op5_quality_rules": _QUALITY_SQL,
     "op8_exact_dedup": f"""
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS norm FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
