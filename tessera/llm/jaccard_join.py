@@ -14,9 +14,10 @@ from .common import BROADCAST_ROWS, Scratch, bounded_semi, only
 from .components import connected_components
 from .shingles import as_bytes, batched, grams, shingle_set, word_hashes
 
-SKETCH_BITS = 20
-CHUNKS = 64
-BINS = 64
+SKETCH_BITS = 22
+CHUNKS = 256
+#: Words of 64 bits of a set's parities: bit k tells whether an odd number of shingles hash to range k.
+PARITIES = 4
 
 
 def _texts(column):
@@ -28,49 +29,50 @@ def _texts(column):
 
 
 def _frequencies(rows: DataFrame, n: int) -> np.ndarray:
-    """How often shingles of each of 2**20 hash ranges occur in all texts: a table of fixed size."""
+    """How often shingles of each of 2**22 hash ranges occur in all texts: a table of fixed size."""
 
     def count(batches):
-        sums, held, size = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
+        sums = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in batches:
             for words in _texts(batch["text"]):
-                held.append((grams(words, min(n, len(words))) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64) if len(words) else np.zeros(0, np.int64))
-                size += len(held[-1])
-                if size > 1_000_000:
-                    sums += np.bincount(np.concatenate(held), minlength=len(sums))
-                    held, size = [], 0
-        if held:
-            sums += np.bincount(np.concatenate(held), minlength=len(sums))
+                if len(words):
+                    np.add.at(sums, (grams(words, min(n, len(words))) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
         yield from chunks(sums)
 
     def chunks(sums):
-        if sums.any():
-            parts = [p.astype("<i8").tobytes() for p in sums.reshape(CHUNKS, -1)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], ["chunk", "sums"])
+        # Few counts go as places and values, many as a whole range; none as nothing.
+        for chunk, part in enumerate(sums.reshape(CHUNKS, -1)):
+            at = np.flatnonzero(part)
+            if len(at):
+                kind = "u1" if part.max() < 256 else "<u4"
+                at, part = (at[:0], part) if 4 * len(at) > len(part) else (at, part[at])
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([kind]), pa.array([at.astype("<u4").tobytes()], pa.binary()), pa.array([part.astype(kind).tobytes()], pa.binary())], ["chunk", "kind", "at", "sums"])
 
     def add(batches):
         found: dict[int, np.ndarray] = {}
         for batch in batches:
-            for chunk, part in zip(batch["chunk"].to_pylist(), batch["sums"], strict=True):
-                part = np.frombuffer(part.as_buffer(), "<i8")
-                found[chunk] = found[chunk] + part if chunk in found else part.copy()
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array([x.tobytes() for x in found.values()], pa.binary())], ["chunk", "sums"])
-
-    schema = "chunk int, sums binary"
-    merged = rows.select("text").mapInArrow(count, schema).repartition(CHUNKS, "chunk").mapInArrow(add, schema).toArrow()
-    sums = np.zeros((CHUNKS, (1 << SKETCH_BITS) // CHUNKS), np.int64)
+            for chunk, kind, at, part in zip(batch["chunk"].to_pylist(), batch["kind"].to_pylist(), batch["at"], batch["sums"], strict=True):
+                whole = found.setdefault(chunk, np.zeros((1 << SKETCH_BITS) // CHUNKS, np.uint32))
+                at, part = np.frombuffer(at.as_buffer(), "<u4"), np.frombuffer(part.as_buffer(), kind)
+                whole[at if len(at) else slice(None)] += part
+        kept = [np.minimum(x, 65_535).astype("<u2").tobytes() for x in found.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(kept, pa.binary())], ["chunk", "sums"])
+
+    raw = rows.select("text").mapInArrow(count, "chunk int, kind string, at binary, sums binary")
+    merged = raw.repartition(64, "chunk").mapInArrow(add, "chunk int, sums binary").toArrow()
+    sums = np.zeros((CHUNKS, (1 << SKETCH_BITS) // CHUNKS), np.uint16)
     for chunk, part in zip(merged["chunk"].to_pylist(), merged["sums"].to_pylist(), strict=True):
-        sums[chunk] += np.frombuffer(part, "<i8")
-    return np.minimum(sums.reshape(-1), 2**32 - 1).astype(np.uint32)
+        sums[chunk] = np.frombuffer(part, "<u2")
+    return sums.reshape(-1)
 
 
 def _profile(n: int, percent: int, shared):
-    """Of each text: class (hash of its shingle set), set size, prefix in the global order, histogram."""
+    """Of each text: class (hash of its shingle set), set size, prefix in the global order, parities."""
 
     def profile(batches):
         table = shared.value
         for batch in batches:
-            classes, sizes, bounds, prefixes, bins = [], [], [0], [], []
+            classes, sizes, bounds, prefixes, bits = [], [], [0], [], []
             for words in _texts(batch["text"]):
                 found = shingle_set(words, n)
                 size = len(found)
@@ -80,12 +82,12 @@ def _profile(n: int, percent: int, shared):
                 bounds.append(bounds[-1] + keep)
                 classes.append(int.from_bytes(blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True))
                 sizes.append(size)
-                bins.append(np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=BINS))
+                odd = np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=64 * PARITIES) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             values = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values(prefixes))
-            counts = np.minimum(np.concatenate(bins), 127) if bins else np.zeros(0)  # capping both keeps the bound
-            histograms = pa.ListArray.from_arrays(pa.array(np.arange(len(bins) + 1) * BINS, pa.int32()), pa.array(counts.astype(np.int8)))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), lists, histograms], ["doc_id", "row", "c", "n", "prefix", "bins"])
+            parities = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * PARITIES, pa.int32()), values(bits))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), lists, parities], ["doc_id", "row", "c", "n", "prefix", "bits"])
 
     return profile
 
@@ -116,7 +118,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns are ignored. Shingles and sets are compared by 64-bit hashes.
 
     Equal sets form a class; only classes are joined. A class's prefix holds the n-grams that come
-    first by (frequency, hash); frequencies are sums over all texts in 2**20 hash ranges. Classes
+    first by (frequency, hash); frequencies are sums over all texts in 2**22 hash ranges. Classes
     that share a prefix n-gram are linked in stages, each verified on whole sets: three times to one
     class drawn for each n-gram (as many pairs as prefix entries), then every pair of an n-gram that is not
     yet in one component. So a large group of near copies gives a few pairs for each member and not
@@ -127,36 +129,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = rows.schema["doc_id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(_frequencies(rows, n))
     with Scratch(spark) as scratch:
-        schema = f"doc_id {kind}, row long, c long, n long, prefix array<long>, bins array<byte>"
+        schema = f"doc_id {kind}, row long, c long, n long, prefix array<long>, bits array<long>"
         profiles = scratch.table(rows.mapInArrow(_profile(n, percent, shared), schema), "profiles")
-        heads = profiles.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bins").alias("bins"))
+        heads = profiles.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("bits").alias("bits"))
         classes = scratch.table(heads, "classes")
-        members = scratch.table(profiles.select("doc_id", "n", "c"), "members")
-        scratch.drop("profiles")
-        postings = classes.select("c", "n", "bins", F.posexplode("prefix").alias("at", "gram"))
+        members = scratch.table(profiles.select("doc_id", "row", "n", "c"), "members")
+        first = bounded_semi(profiles.select("row", "c", "n", "prefix"), classes.select("row", "c"), ["row", "c"])
+        postings = first.select("c", "n", F.posexplode("prefix").alias("at", "gram"))
         often = scratch.table(postings.groupBy("gram").count().filter("count > 1").select("gram"), "often")
-        postings = scratch.table(bounded_semi(postings, often, ["gram"], most=2 * BROADCAST_ROWS), "postings")
+        # Rows that repeat an id and a text give the same postings; one of each is enough.
+        postings = scratch.table(bounded_semi(postings, often, ["gram"], most=2 * BROADCAST_ROWS).distinct(), "postings")
+        scratch.drop("profiles", "often")
+        facts = classes.select("c", "bits")
         verified = roots = None
         for stage in range(4):
             if roots is None:
                 labelled = postings.withColumn("root", F.col("c"))
             else:
                 labelled = postings.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-            span = labelled.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("c", F.lit(stage)).alias("draw"), "c", "n", "root", "at", "bins")).alias("p"))
+            span = labelled.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("c", F.lit(stage)).alias("draw"), "c", "n", "root", "at")).alias("p"))
             span = span.filter("lo <> hi")
             if stage < 3:
-                right = span.select(F.col("gram").alias("gram2"), *[F.col(f"p.{k}").alias(f"{k}2") for k in ("c", "n", "root", "at", "bins")])
-                left, order = labelled, F.col("root") != F.col("root2")
+                right = span.select(F.col("gram").alias("gram2"), *[F.col(f"p.{k}").alias(f"{k}2") for k in ("c", "n", "root", "at")])
+                left = labelled.select([F.col(k).alias(f"{k}1") for k in ("gram", "c", "n", "root", "at")])
+                pairs = left.join(right, (F.col("gram1") == F.col("gram2")) & (F.col("root1") != F.col("root2")) & _may_reach(percent))
+                pairs = pairs.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b"), (F.col("n1") + F.col("n2")).alias("size")).distinct()
+                for end, mine in (("a", "bits1"), ("b", "bits2")):
+                    pairs = pairs.join(facts.select(F.col("c").alias(end), F.col("bits").alias(mine)), end)
+                pairs = pairs.filter(_may_equal(percent, F.col("size"))).drop("bits1", "bits2")
             else:
-                left = scratch.table(labelled.join(span.select("gram"), "gram").select("gram", "c", "n", "root", "at", "bins"), "held")
-                right = left.select([F.col(k).alias(f"{k}2") for k in left.columns])
-                order = F.col("root") < F.col("root2")
-            pairs = left.join(right, (F.col("gram") == F.col("gram2")) & order & _may_link(percent))
-            pairs = pairs.select(F.least("c", "c2").alias("a"), F.greatest("c", "c2").alias("b"), (F.col("n") + F.col("n2")).alias("size")).distinct()
+                held = scratch.table(_with_earlier(labelled.join(span.select("gram"), "gram"), facts), "held")
+                # Both sides rename all columns: equal plans, so the table is shuffled once for both.
+                left, right = (held.select([F.col(k).alias(f"{k}{side}") for k in held.columns]) for side in (1, 2))
+                # A pair is made once, at its first common n-gram.
+                once = (F.col("root1") < F.col("root2")) & _may_reach(percent) & _may_equal(percent, F.col("n1") + F.col("n2")) & ~F.arrays_overlap("earlier1", "earlier2")
+                pairs = left.join(right, (F.col("gram1") == F.col("gram2")) & once)
+                pairs = pairs.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b"), (F.col("n1") + F.col("n2")).alias("size"))
             if verified is not None:
                 pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
             pairs = scratch.table(pairs, f"pairs-{stage}")
-            found = _verify(rows, classes, pairs, n, percent, scratch, stage)
+            found = _verify(rows, members, classes, pairs, n, percent, scratch, stage)
             scratch.drop(f"sets-{stage}")
             verified = found if verified is None else verified.unionByName(found)
             roots = connected_components(verified.filter("similar"), scratch, f"components-{stage}")
@@ -169,28 +181,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")).checkpoint()
 
 
+def _with_earlier(held: DataFrame, facts: DataFrame) -> DataFrame:
+    """Postings with their class's parities and the n-grams among them that come before in the same
+    prefix."""
+    lists = held.groupBy("c").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.array_sort(F.collect_list(F.struct("at", "gram"))).alias("items"))
+    each = lists.join(facts, "c").select("c", "n", "root", "bits", F.posexplode("items").alias("k", "item"), "items")
+    earlier = F.transform(F.slice("items", F.lit(1), F.col("k")), lambda x: x["gram"])
+    return each.select("item.gram", "c", "n", "root", "item.at", "bits", earlier.alias("earlier"))
+
+
 def _overlap(percent: int, total):
     """Least common shingles of two sets of `total` together at the similarity."""
     return F.ceil(total * percent / F.lit(100.0 + percent) - 1e-9)
 
 
-def _may_link(percent: int):
-    """What a pair that shares an n-gram must meet, cheapest first. Length: the smaller set is large
-    enough. Positional: nothing before the first common n-gram is common, so what follows in both must
-    do. Suffix: the counts of shingles in 64 hash ranges differ by no more than the sets may."""
+def _may_reach(percent: int):
+    """Length and positional filters of a pair that shares an n-gram: the smaller set is large enough,
+    and, nothing before the first common n-gram being common, what follows in both may do."""
     c = F.col
-    length = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
-    positional = F.least(c("n") - c("at"), c("n2") - c("at2")) >= _overlap(percent, c("n") + c("n2"))
-    apart = sum((F.abs(F.get("bins", F.lit(k)).cast("int") - F.get("bins2", F.lit(k)).cast("int")) for k in range(1, BINS)), F.abs(F.get("bins", F.lit(0)).cast("int") - F.get("bins2", F.lit(0)).cast("int")))
-    return length & positional & (apart <= c("n") + c("n2") - 2 * _overlap(percent, c("n") + c("n2")))
+    length = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
+    return length & (F.least(c("n1") - c("at1"), c("n2") - c("at2")) >= _overlap(percent, c("n1") + c("n2")))
+
+
+def _may_equal(percent: int, size):
+    """Suffix filter: each shingle of only one set turns the parity of one of 256 hash ranges, so no
+    more parities may differ than shingles."""
+    apart = sum(F.bit_count(F.get("bits1", F.lit(k)).bitwiseXOR(F.get("bits2", F.lit(k)))) for k in range(PARITIES))
+    return apart <= size - 2 * _overlap(percent, size)
 
 
-def _verify(rows: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
+def _verify(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
     """(a, b, similar) of the pairs, from whole sets: those of one row of each class that a pair names."""
     named = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
     needed = scratch.table(classes.join(named, "c", "left_semi").select("row"), f"needed-{stage}")
     sets = bounded_semi(rows.select("row", "text"), needed, ["row"]).select("text").mapInArrow(_sets(n), "c long, shingles array<long>")
-    sets = scratch.table(sets.dropDuplicates(["c"]), f"sets-{stage}")
+    # Only rows that repeat an id and a text can give a set twice; without any, nothing need be moved.
+    if members.join(needed, "row", "left_semi").count() > needed.count():
+        sets = sets.dropDuplicates(["c"])
+    sets = scratch.table(sets, f"sets-{stage}")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     similar = common * (100 + percent) >= F.col("size") * percent
