@@ -7,7 +7,6 @@ Null or empty polygons have area 0 and overlap nothing.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -393,7 +392,3 @@ def letterbox(width: Column, height: Column, size: int) -> Column:
     w, h = (F.greatest(F.rint(v * scale), F.lit(1.0)) for v in (width, height))
     pad = lambda v: F.rint((size - v) / 2 - 0.1).cast("int")
     return F.struct(scale.alias("scale"), w.cast("int").alias("w"), h.cast("int").alias("h"), pad(w).alias("pad_x"), pad(h).alias("pad_y"))
-
-
-def radians(degrees: float) -> float:
-    return math.radians(degrees)
