@@ -151,15 +151,16 @@ PATH_CATEGORIES = (
     (("models", "outputs"), "private_model_or_generated_output"),
     (("reports",), "historical_or_local_report"),
     (("release",), "release_metadata_or_local_artifact"),
-    (("ship-detector-api",), "deployment_candidate"),
+    (("deployment",), "deployment_candidate"),
     (("scripts", "configs", "tests", "docs"), "code_or_public_documentation_candidate"),
 )
 
 
-def path_category(path: Column) -> Column:
+def path_category(path: Column, categories=PATH_CATEGORIES) -> Column:
+    """The category of the path's first folder; pass other categories for other trees."""
     first = F.when(path.contains("/"), F.substring_index(path, "/", 1))
     out = F.when(F.lit(False), "")
-    for folders, name in PATH_CATEGORIES:
+    for folders, name in categories:
         out = out.when(first.isin(*folders), name)
     return out.otherwise("requires_manual_classification")
 
