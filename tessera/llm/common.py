@@ -56,6 +56,11 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def free(self) -> None:
+        """Lets Spark's cleaner remove the shuffle files of steps that are done: it does so when the
+        driver collects its garbage, which may else come only after the last step."""
+        self.spark._jvm.System.gc()
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 

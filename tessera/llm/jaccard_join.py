@@ -137,9 +137,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         first = bounded_semi(profiles.select("row", "c", "n", "prefix"), classes.select("row", "c"), ["row", "c"])
         postings = first.select("c", "n", F.posexplode("prefix").alias("at", "gram"))
         often = scratch.table(postings.groupBy("gram").count().filter("count > 1").select("gram"), "often")
+        scratch.free()
         # Rows that repeat an id and a text give the same postings; one of each is enough.
         postings = scratch.table(bounded_semi(postings, often, ["gram"], most=2 * BROADCAST_ROWS).distinct(), "postings")
         scratch.drop("profiles", "often")
+        scratch.free()
         facts = classes.select("c", "bits")
         verified = roots = None
         for stage in range(4):
@@ -168,11 +170,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             if verified is not None:
                 pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
             pairs = scratch.table(pairs, f"pairs-{stage}")
+            scratch.free()
             found = _verify(rows, members, classes, pairs, n, percent, scratch, stage)
-            scratch.drop(f"sets-{stage}")
+            scratch.drop(f"sets-{stage}", f"needed-{stage}", f"pairs-{stage}")
+            scratch.free()
             verified = found if verified is None else verified.unionByName(found)
-            roots = connected_components(verified.filter("similar"), scratch, f"components-{stage}")
-            roots = scratch.table(roots, f"roots-{stage}")
+            # Links of earlier stages go in as what they made: one link from each node to its root.
+            links = found.filter("similar").select("a", "b")
+            links = links if roots is None else links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            roots = scratch.table(connected_components(links, scratch, f"components-{stage}"), f"roots-{stage}")
         named = classes.select("c", "least_id").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         named = scratch.table(named, "named")
         least = scratch.table(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
@@ -219,6 +225,7 @@ def _verify(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: Data
     if members.join(needed, "row", "left_semi").count() > needed.count():
         sets = sets.dropDuplicates(["c"])
     sets = scratch.table(sets, f"sets-{stage}")
+    scratch.free()
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     similar = common * (100 + percent) >= F.col("size") * percent
