@@ -46,20 +46,21 @@ def _furniture(tag: str, attrs: str, in_article: bool) -> bool:
 
 
 class _Open:
-    __slots__ = ("tag", "attrs", "start", "parts", "drop", "holds_root", "in_root")
+    __slots__ = ("tag", "attrs", "start", "parts", "drop", "holds_root", "in_root", "in_paragraph")
 
-    def __init__(self, tag, attrs, start, drop, in_root):
-        self.tag, self.attrs, self.start, self.drop, self.in_root = tag, attrs, start, drop, in_root
+    def __init__(self, tag, attrs, start, drop, in_root, in_paragraph):
+        self.tag, self.attrs, self.start, self.drop, self.in_root, self.in_paragraph = tag, attrs, start, drop, in_root, in_paragraph
         self.parts, self.holds_root = [], False
 
 
 def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
     """The main text of a page without the `templates`, and the hashes of its subtrees that may be
-    templates: all but those that hold or are the article, and paragraphs inside it."""
+    templates: all but those that hold or are the article, and inside it paragraphs, inline elements and
+    elements whose nearest block is a paragraph."""
     out: list[str | None] = []
     hashes: set[int] = set()
     roots: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
-    stack = [_Open("", "", 0, False, False)]
+    stack = [_Open("", "", 0, False, False, False)]
 
     def close() -> None:
         node = stack.pop()
@@ -68,7 +69,8 @@ def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
         key = int.from_bytes(digest, "little", signed=True)
         parent.parts.append(f"{key:x}")
         is_root = node.tag in roots and not node.drop
-        if not (is_root or node.holds_root or node.in_root and node.tag in _PARAGRAPH) and node.tag not in ("html", "body", "head"):
+        prose = node.in_root and (node.in_paragraph or node.tag in _PARAGRAPH or node.tag in _INLINE)
+        if not (is_root or node.holds_root or prose) and node.tag not in ("html", "body", "head"):
             hashes.add(key)
             node.drop |= key in templates
         if node.drop:
@@ -126,7 +128,8 @@ def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
             stack[-1].parts.append(tag)
             if tag in _VOID:
                 continue
-        stack.append(_Open(tag, attrs.strip(), len(out), _furniture(tag, attrs, in_root), in_root))
+        in_paragraph = stack[-1].tag in _PARAGRAPH or stack[-1].tag in _INLINE and stack[-1].in_paragraph
+        stack.append(_Open(tag, attrs.strip(), len(out), _furniture(tag, attrs, in_root), in_root, in_paragraph))
         if tag in _RAW:
             over = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             stack[-1].parts.append(page[at : over.start() if over else end])
@@ -179,7 +182,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     The text is that of the article elements (else of main, else of the page) without furniture
     (elements, roles and class words that name menus, headers, footers, sidebars, notices, adverts,
     forms, comments, hidden parts) and without the templates of its host. Paragraphs of an article
-    stay however often they recur. A null or empty page has the text ''. Pages without a host in the
+    and inline elements stay however often they recur. A null or empty page has the text ''. Pages without a host in the
     url share the host ''. Repeated rows count as pages. Other columns are ignored.
 
     Templates are broadcast when a count proves them few; else each page's row is joined to the list

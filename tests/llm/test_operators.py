@@ -348,6 +348,13 @@ def test_site_templates_without_broadcast(spark, monkeypatch):
     assert found == {**{k: f"text {k}" for k in range(8)}, 10: ""}
 
 
+def test_recurring_inline_elements_of_an_article_stay(spark):
+    inside = '<p>by <a href="/x">The Author</a> and <b>Bold</b> <em>stress</em> <x-tag>odd</x-tag> {0}<p><b>One unclosed<br><p>{0}<div>Same box</div>'
+    df = spark.createDataFrame([(k, "http://a.example/x", f"<b>Same</b><article>{inside.format(k)}</article>") for k in range(8)], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in extract_pages(df).collect()}
+    assert found == {k: f"by The Author and Bold stress\nodd\n{k}\nOne unclosed\n{k}" for k in range(8)}
+
+
 def test_quality_classifier_on_held_out_rows(spark):
     rng = random.Random(8)
     rows, labels = [], []
