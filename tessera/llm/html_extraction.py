@@ -139,9 +139,11 @@ def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
             close_to(len(stack) - 1)
     close_to(1)
     spans = roots["article"] or roots["main"] or [(0, len(out))]
-    spans = [s for s in spans if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in spans)] if len(spans) < 200 else spans
-    blocks, held = [], []
-    for start, stop in sorted(set(spans)):
+    blocks, held, reached = [], [], -1
+    for start, stop in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if stop <= reached:  # nested
+            continue
+        reached = stop
         for x in [*out[start:stop], _BREAK]:
             if x is _BREAK:
                 if held and (block := _SPACE.sub(" ", "".join(held)).strip()):

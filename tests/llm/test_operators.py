@@ -355,6 +355,14 @@ def test_recurring_inline_elements_of_an_article_stay(spark):
     assert found == {k: f"by The Author and Bold stress\nodd\n{k}\nOne unclosed\n{k}" for k in range(8)}
 
 
+def test_nested_articles_give_their_text_once():
+    for n in (3, 150, 400):
+        page = "<article>top" + "".join(f"<article>reply {k}</article>" for k in range(n)) + "</article><article>last</article>"
+        assert read_page(page)[0] == "\n".join(["top", *[f"reply {k}" for k in range(n)], "last"])
+    deep = "".join(f"<article>level {k}" for k in range(300)) + "</article>" * 300
+    assert read_page(deep)[0] == "\n".join(f"level {k}" for k in range(300))
+
+
 def test_quality_classifier_on_held_out_rows(spark):
     rng = random.Random(8)
     rows, labels = [], []
