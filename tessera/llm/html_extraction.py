@@ -26,30 +26,34 @@ _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset
 _CLOSES_SAME = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "tbody": "tr td th thead tbody", "thead": "tr td th", "tfoot": "tr td th tbody"}
 _SCOPE = frozenset("article section div main body html nav footer aside header form table ul ol dl td th blockquote figure".split())
 _PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr figcaption".split())
-# Words in class, id and role that name page furniture.
-_FURNITURE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|breadcrumbs?|nav|navbar|navigation|menu|sidebar|side-bar|footer|masthead|cookies?|consent|gdpr|notice|alert|newsletter|subscribe|signup|sign-up|login|share|sharing|social|related|recommended|comments?|comment-list|disqus|respond|popup|modal|overlay|paywall|widget|toolbar|pagination|skip-link|contentinfo|complementary|search)(?:$|[\s_-])", re.I)
+# Words in class, id and role that name page furniture. A whole word must match, so that
+# has-sidebar or comments-open don't.
+_FURNITURE = re.compile(r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|breadcrumbs?|nav|navbar|navigation|menu|sidebar|side-bar|footer|masthead|cookies?|consent|gdpr|notice|alert|newsletter|subscribe|signup|sign-up|login|share|sharing|social|related|recommended|comments?|comment-list|disqus|respond|popup|modal|overlay|paywall|widget|toolbar|pagination|skip-link|contentinfo|complementary|search)", re.I)
+_ROOTED = frozenset("html body main article".split())
 _BREAK = None
 
 
-def _furniture(tag: str, attrs: str, in_article: bool) -> bool:
+def _furniture(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is furniture whatever it holds, and whether class words name it so."""
     if tag in _NEVER or tag == "header" and not in_article:
-        return True
+        return True, False
     if not attrs.strip():
-        return False
+        return False, False
+    worded = False
     for name, value in _ATTRIBUTE.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id", "role") and _FURNITURE.search(value):
-            return True
+        if name in ("class", "id", "role") and tag not in _ROOTED:
+            worded |= any(_FURNITURE.fullmatch(w) for w in value.split())
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-    return False
+            return True, worded
+    return False, worded
 
 
 class _Open:
-    __slots__ = ("tag", "attrs", "start", "parts", "drop", "holds_root", "in_root", "in_paragraph")
+    __slots__ = ("tag", "attrs", "start", "parts", "drop", "holds_root", "in_root", "in_paragraph", "worded")
 
-    def __init__(self, tag, attrs, start, drop, in_root, in_paragraph):
-        self.tag, self.attrs, self.start, self.drop, self.in_root, self.in_paragraph = tag, attrs, start, drop, in_root, in_paragraph
+    def __init__(self, tag, attrs, start, drop, in_root, in_paragraph, worded):
+        self.tag, self.attrs, self.start, self.drop, self.in_root, self.in_paragraph, self.worded = tag, attrs, start, drop, in_root, in_paragraph, worded
         self.parts, self.holds_root = [], False
 
 
@@ -60,7 +64,8 @@ def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
     out: list[str | None] = []
     hashes: set[int] = set()
     roots: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
-    stack = [_Open("", "", 0, False, False, False)]
+    others: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
+    stack = [_Open("", "", 0, False, False, False, False)]
 
     def close() -> None:
         node = stack.pop()
@@ -73,8 +78,15 @@ def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
         if not (is_root or node.holds_root or prose) and node.tag not in ("html", "body", "head"):
             hashes.add(key)
             node.drop |= key in templates
+        if node.worded and not node.drop:
+            if node.holds_root and not any(x.tag == "article" and not x.drop for x in stack):
+                for k, spans in roots.items():
+                    others[k] += [x for x in spans if x[0] >= node.start]
+                    spans[:] = [x for x in spans if x[0] < node.start]
+            else:
+                node.drop = True
         if node.drop:
-            for spans in roots.values():
+            for spans in (*roots.values(), *others.values()):
                 spans[:] = [x for x in spans if x[0] < node.start]
             del out[node.start :]
         elif is_root:
@@ -129,7 +141,8 @@ def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
             if tag in _VOID:
                 continue
         in_paragraph = stack[-1].tag in _PARAGRAPH or stack[-1].tag in _INLINE and stack[-1].in_paragraph
-        stack.append(_Open(tag, attrs.strip(), len(out), _furniture(tag, attrs, in_root), in_root, in_paragraph))
+        drop, worded = _furniture(tag, attrs, in_root)
+        stack.append(_Open(tag, attrs.strip(), len(out), drop, in_root, in_paragraph, worded))
         if tag in _RAW:
             over = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             stack[-1].parts.append(page[at : over.start() if over else end])
@@ -138,7 +151,7 @@ def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
             at = over.end() if over else end
             close_to(len(stack) - 1)
     close_to(1)
-    spans = roots["article"] or roots["main"] or [(0, len(out))]
+    spans = roots["article"] or roots["main"] or others["article"] or others["main"] or [(0, len(out))]
     blocks, held, reached = [], [], -1
     for start, stop in sorted(spans, key=lambda s: (s[0], -s[1])):
         if stop <= reached:  # nested
@@ -184,7 +197,9 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     The text is that of the article elements (else of main, else of the page) without furniture
     (elements, roles and class words that name menus, headers, footers, sidebars, notices, adverts,
     forms, comments, hidden parts) and without the templates of its host. Paragraphs of an article
-    and inline elements stay however often they recur. A null or empty page has the text ''. Pages without a host in the
+    and inline elements stay however often they recur. Class words count as whole words and never on
+    html, body, main and article. An element they name is kept if it holds articles outside any other
+    article; these are taken when a page has no other article or main. A null or empty page has the text ''. Pages without a host in the
     url share the host ''. Repeated rows count as pages. Other columns are ignored.
 
     Templates are broadcast when a count proves them few; else each page's row is joined to the list

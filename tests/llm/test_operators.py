@@ -363,6 +363,15 @@ def test_nested_articles_give_their_text_once():
     assert read_page(deep)[0] == "\n".join(f"level {k}" for k in range(300))
 
 
+def test_class_words_never_delete_a_root():
+    assert read_page('<html class="overlay"><body class="has-sidebar" id="search"><article class="post comments-open"><p>text</article>')[0] == "text"
+    assert read_page('<body class="sidebar"><main class="widget">text<div class="site sidebar">not</div></main>')[0] == "text"
+    assert read_page('<div class="banner">no<article>text</article></div>')[0] == "text"
+    assert read_page('<main>a<div class="social"><article>text</article></div></main>')[0] == "a\ntext"
+    assert read_page('<article>text<div class="comments"><article>me too</article></div></article><ol class="comments"><article>so do I</article></ol>')[0] == "text"
+    assert read_page('<div hidden><article>no</article></div><div class="has-sidebar">text</div>')[0] == "text"
+
+
 def test_quality_classifier_on_held_out_rows(spark):
     rng = random.Random(8)
     rows, labels = [], []
