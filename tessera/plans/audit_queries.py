@@ -53,7 +53,7 @@ _OVERLAP = q.clipped(f"(SELECT a.instance_id AS first, b.instance_id AS second,
 
 
 def _near_pairs(spark, d):
-    some = v.boxes(spark, d).filter("p % 5 = 0").select("group_key", "instance_id", "poly", "x0", "y0", "x1", "y1")
+    some = v.boxes(spark, d).select("group_key", "instance_id", "poly", "x0", "y0", "x1", "y1")
     other = some.select(*[F.col(c).alias(f"r_{c}") for c in some.columns])
     meet = (F.col("x0") <= F.col("r_x1")) & (F.col("r_x0") <= F.col("x1")) & (F.col("y0") <= F.col("r_y1")) & (F.col("r_y0") <= F.col("y1"))
     return some.join(other, (F.col("group_key") == F.col("r_group_key")) & (F.col("instance_id") < F.col("r_instance_id")) & meet)
@@ -130,7 +130,7 @@ _SPARSE_PAIRS = f"(SELECT a.tile_key, a.line AS first, b.line AS second, a.size
     FROM rated WHERE iou >= 0.85 OR (size >= 10 AND apart <= 8 AND iou < 0.3)
     UNION ALL SELECT DISTINCT tile_key, NULL, NULL, 'dense_scene_pairwise_review_required', NULL FROM sparse WHERE size > 80""")
 def dup_labels_bucketed(spark, d):
-    return spatial.label_pairs(v.labels(spark, d).filter("p % 6 = 0"))
+    return spatial.label_pairs(v.labels(spark, d))
 
 
 @query(f"""{v.base('labels')} SELECT tile_key, line, {q.half_up('least(w, h)', 3)} AS min_side, least(w, h) < 11.75 AS is_tiny,
@@ -139,7 +139,7 @@ def dup_labels_bucketed(spark, d):
     FROM labelled l JOIN obbs b USING (instance_id) WHERE l.p % 6 = 0)""")
 def label_flags(spark, d):
     local = F.transform("poly", lambda a: g.point(a["x"] - F.col("tile_x"), a["y"] - F.col("tile_y")))
-    flags = spatial.label_flags(v.labels(spark, d).filter("p % 6 = 0").withColumn("poly", local), Policy(small_side=11.75))
+    flags = spatial.label_flags(v.labels(spark, d).withColumn("poly", local), Policy(small_side=11.75))
     return flags.select("tile_key", "line", g.round_half_up(F.col("min_side"), 3).alias("min_side"), "is_tiny", "touches_boundary")
 
 
@@ -179,7 +179,7 @@ def canonical_tile(spark, d):
     kept AS (SELECT *, {q.half_up(f"{q.poly_area('clip')} / size", 6)} AS retained FROM ({q.clipped('origins', 'poly', q.rect_planes('x', 'y', 'x + 1024', 'y + 1024'))}))
     SELECT instance_id, x, y, {q.half_up('retained', 4)} AS retained FROM (SELECT *, row_number() OVER (PARTITION BY instance_id ORDER BY retained DESC, y, x) AS rn FROM kept) WHERE rn = 1 AND retained >= 0.25""")
 def recovery_origin(spark, d):
-    return tiles.choose_recovery_origin(v.boxes(spark, d).filter("p % 4 = 0"), "instance_id").select("instance_id", "x", "y", r4(F.col("retained")).alias("retained"))
+    return tiles.choose_recovery_origin(v.boxes(spark, d), "instance_id").select("instance_id", "x", "y", r4(F.col("retained")).alias("retained"))
 
 
 @query(f"""{v.base('seen')}, windows AS (SELECT t.group_key, t.tile_key, t.tile_x + 200 * k.k AS x, t.tile_y AS y, t.tile_key || '_' || k.k AS name FROM tiles t, (SELECT unnest([0, 1]) AS k) k WHERE t.tile_x + 200 * k.k + 1024 <= t.width),
@@ -189,7 +189,7 @@ def recovery_origin(spark, d):
 def redundant_windows(spark, d):
     t = v.all_tiles(spark, d).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("tile_x", F.col("tile_x") + 200 * F.col("k")).filter("tile_x + 1024 <= width")
     t = t.select("group_key", F.concat_ws("_", "tile_key", "k").alias("tile_key"), "tile_x", "tile_y", "tile_width", "tile_height")
-    b = v.boxes(spark, d).filter("p % 40 = 0").select(F.col("group_key").alias("_g"), "instance_id", "x0", "y0", "x1", "y1")
+    b = v.boxes(spark, d).select(F.col("group_key").alias("_g"), "instance_id", "x0", "y0", "x1", "y1")
     inside = (F.col("x0") >= F.col("tile_x")) & (F.col("x1") <= F.col("tile_x") + 1024) & (F.col("y0") >= F.col("tile_y")) & (F.col("y1") <= F.col("tile_y") + 1024)
     covered = t.join(b, (F.col("group_key") == F.col("_g")) & inside, "left").groupBy(*t.columns).agg(F.collect_list("instance_id").alias("covered"))
     return spatial.redundant_windows(covered, Policy(redundant_window_iou=0.6))
@@ -256,7 +256,7 @@ def dedup_lines_exact(spark, d):
 
 @query()
 def dedup_labels(spark, d):
-    rows = v.labels(spark, d).filter("p % 3 = 0").select("tile_key", "line", "poly")
+    rows = v.labels(spark, d).select("tile_key", "line", "poly")
     return greedy.dedup_labels(rows).groupBy("kept", "reason").agg(F.count("*").alias("n"))
 
 
