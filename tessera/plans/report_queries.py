@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
@@ -111,7 +112,7 @@ _STEM = "'im' || (l_partkey % 40)"
 
 @query(f"SELECT l_returnflag AS dataset, k, 'x' || l_returnflag AS u0, CASE WHEN rn = 1 THEN l_returnflag || '__' || stem ELSE l_returnflag || '__' || stem || '__' || rn END AS unique_stem FROM (SELECT l_returnflag, {_STEM} AS stem, l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS k, row_number() OVER (PARTITION BY l_returnflag, {_STEM} ORDER BY l_orderkey * 1000000 + l_partkey * 10 + l_linenumber, l_suppkey, l_extendedprice) AS rn FROM lineitem WHERE l_partkey % 5 = 0)")
 def unique_stems(spark, d):
-    rows = table(spark, d, "lineitem").filter("l_partkey % 5 = 0").select(F.col("l_returnflag").alias("dataset"), F.expr(_STEM.replace("(l_partkey % 40)", "CAST(l_partkey % 40 AS STRING)")).alias("stem"), F.expr("l_orderkey * 1000000 + l_partkey * 10 + l_linenumber").alias("k"), F.struct(F.expr("l_orderkey * 1000000 + l_partkey * 10 + l_linenumber"), "l_suppkey", "l_extendedprice").alias("order"))
+    rows = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("dataset"), F.expr(_STEM.replace("(l_partkey % 40)", "CAST(l_partkey % 40 AS STRING)")).alias("stem"), F.expr("l_orderkey * 1000000 + l_partkey * 10 + l_linenumber").alias("k"), F.struct(F.expr("l_orderkey * 1000000 + l_partkey * 10 + l_linenumber"), "l_suppkey", "l_extendedprice").alias("order"))
     return reports.unique_stems(rows, "dataset", "stem", "order").select("dataset", "k", F.concat(F.lit("x"), "dataset").alias("u0"), "unique_stem")
 
 
@@ -262,12 +263,13 @@ def frame_counts(spark, d):
 # Recovery
 
 def _candidates(spark, d):
-    """Candidates of parents: the boxes of every sixth part and shifted copies of some of them."""
-    b = v.boxes(spark, d).filter("p % 6 = 0")
+    """Candidates of parents: all boxes and shifted copies of some of them."""
+    again = F.row_number().over(Window.partitionBy("s", "o", "p", "n").orderBy("instance_id")) - 1  # rows that repeat a line get a seq of their own
+    b = v.boxes(spark, d).withColumn("again", again)
     rows = b.withColumn("copy", F.explode(F.when(F.col("p") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     kinds = F.array(*[F.lit(k) for k in ("cleaned", "second_pass", "raw")])
     poly = F.transform("poly", lambda a: g.point(a["x"] + 3 * F.col("copy"), a["y"] + 2 * F.col("copy")))
-    seq = F.col("o") * 10000000 + F.col("p") * 100 + F.col("n") * 2 + F.col("copy")
+    seq = F.col("o") * 10000000 + F.col("p") * 100 + F.col("n") * 2 + F.col("copy") + 16 * F.col("again")
     return rows.select(F.col("s").alias("parent"), seq.alias("seq"), F.explode(F.array(poly)).alias("poly"), F.pmod(F.col("rot"), F.lit(180.0)).alias("angle"), F.get(kinds, ((F.col("p") + F.col("copy")) % 3).cast("int")).alias("source_kind"), "parent_width", "parent_height", F.col("parent_width").alias("tile_width"), F.col("parent_height").alias("tile_height"), F.lit(0).alias("tile_x"), F.lit(0).alias("tile_y")).withColumn("local", F.col("poly"))
 
 
@@ -283,7 +285,7 @@ _CAND = f"""cand AS (SELECT s AS parent, o * 10000000 + p * 100 + n * 2 AS seq,
     scored AS (SELECT *, CASE kind WHEN 'second_pass' THEN 2000 WHEN 'cleaned' THEN 1000 ELSE 100 END + least(margin, 100) + CASE WHEN margin <= 2.5 THEN 0 ELSE 10 END AS score FROM m)
     SELECT parent, seq, kind AS source_kind, {q.half_up('score', 3)} AS score, lead_gap < 15 AS ambiguous FROM (SELECT *, row_number() OVER w AS rn, score - lead(score) OVER w AS lead_gap FROM scored WINDOW w AS (PARTITION BY parent, seq % 40 ORDER BY score DESC, seq)) WHERE rn = 1 AND lead_gap IS NOT NULL""")
 def best_candidate(spark, d):
-    c = recovery.with_score(_candidates(spark, d).filter("seq % 2 = 0")).withColumn("cluster", F.col("seq") % 40)
+    c = recovery.with_score(_candidates(spark, d)).withColumn("cluster", F.col("seq") % 40)
     best = recovery.best_candidates(c).filter("runner_up IS NOT NULL")
     return best.select("parent", "seq", "source_kind", g.round_half_up(F.col("score"), 3).alias("score"), "ambiguous")
 

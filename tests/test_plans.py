@@ -7,7 +7,8 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.plans import audit_queries, views
+from tessera.operators import recovery, spatial
+from tessera.plans import audit_queries, repair_queries, report_queries, views
 
 
 def rows(df):
@@ -123,3 +124,56 @@ def test_redundant_windows_see_all_boxes(spark, folder):
         if a[0] == b[0] and both / (2 * 1024**2 - both) >= 0.6 and (inside[a] <= inside[b] or inside[b] <= inside[a]):
             want.add((a[0], a[1], b[1]))
     assert {(r.group_key, r.first, r.second) for r in audit_queries.redundant_windows(spark, folder).collect()} == want
+
+
+def test_stems_of_all_lines(spark, folder):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").collect()
+    found = report_queries.unique_stems(spark, folder).collect()
+    assert len(found) == len(lines) and len({r.unique_stem for r in found}) == len(lines)
+    counts = {}
+    for r in lines:
+        stem = f"{r.l_returnflag}__im{r.l_partkey % 40}"
+        counts[stem] = counts.get(stem, 0) + 1
+    want = {stem if k == 0 else f"{stem}__{k + 1}" for stem, n in counts.items() for k in range(n)}
+    assert {r.unique_stem for r in found} == want
+
+
+def test_recovery_of_all_boxes(spark, folder):
+    all_boxes = views.boxes(spark, folder).select("s", "p").collect()
+    n = sum(2 if r.p % 4 == 0 else 1 for r in all_boxes)
+    scored = recovery.with_score(report_queries._candidates(spark, folder)).collect()
+    assert len(scored) == n == len({(r.parent, r.seq) for r in scored})
+    clusters = report_queries.candidate_clusters(spark, folder).collect()
+    assert sorted((r.parent, r.seq) for r in clusters) == sorted((r.parent, r.seq) for r in scored)
+    links = recovery.cluster_links(recovery.with_score(report_queries._candidates(spark, folder))).collect()
+    root = {(r.parent, r.seq): r.seq for r in scored}
+    moved = True
+    while moved:
+        moved = False
+        for r in links:
+            least = min(root[r.parent, r.a], root[r.parent, r.b])
+            for k in (r.a, r.b):
+                moved |= root[r.parent, k] != least
+                root[r.parent, k] = least
+    assert {(r.parent, r.seq): r.cluster for r in clusters} == root and len(set(root.values())) < n
+    recovered = report_queries.recovered_annotations(spark, folder).collect()
+    assert len(recovered) == len(set((p, c) for (p, _), c in root.items())) and sum(r.cluster_size for r in recovered) == n
+    groups = {}
+    for r in scored:
+        groups.setdefault((r.parent, r.seq % 40), []).append((-r.score, r.seq, r.source_kind))
+    want = {}
+    for (parent, _), members in groups.items():
+        if len(members) > 1:
+            a, b = sorted(members)[:2]
+            want[parent, a[1]] = (a[2], b[0] - a[0] < 15)
+    assert {(r.parent, r.seq): (r.source_kind, r.ambiguous) for r in report_queries.best_candidate(spark, folder).collect()} == want
+
+
+def test_repair_of_all_boxes(spark, folder):
+    seen = spatial.visible_tiles(views.boxes(spark, folder), views.all_tiles(spark, folder)).count()
+    cases = repair_queries._cases(spark, folder)
+    assert cases.count() == seen == cases.select("tile_key", "seq").distinct().count()
+    assert repair_queries._local_labels(spark, folder).count() == views.labels(spark, folder).count()
+    assert repair_queries.projection_decisions(spark, folder).agg(F.sum("n")).first()[0] == seen
+    assert sum(repair_queries.patch_counters(spark, folder).first()) == seen
+    assert repair_queries.residual_decisions(spark, folder).agg(F.sum("n")).first()[0] == seen
