@@ -96,7 +96,7 @@ def dir_rollup(spark, d):
 
 @query("SELECT n_chars, source, count(*) AS copies, count(DISTINCT CASE WHEN strlen(text) <= 4000 THEN sha256(text) END) AS contents FROM documents GROUP BY ALL HAVING count(*) > 1")
 def dup_candidates(spark, d):
-    return reports.duplicate_files(table(spark, d, "documents"), ["n_chars", "source"], "text", 4000)
+    return reports.duplicate_files(table(spark, d, "documents"), ["n_chars", "source"], "text", 10 * 1024 * 1024)
 
 
 @query(r"""SELECT doc_id AS source, line, kind FROM (SELECT doc_id, line, unnest(list_filter([CASE WHEN regexp_matches(t, '\bhf_[A-Za-z0-9]{24,}\b') THEN 'huggingface_token' END, CASE WHEN regexp_matches(t, '\bgh[pousr]_[A-Za-z0-9]{20,}\b') THEN 'github_token' END,

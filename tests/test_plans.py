@@ -177,3 +177,11 @@ def test_repair_of_all_boxes(spark, folder):
     assert repair_queries.projection_decisions(spark, folder).agg(F.sum("n")).first()[0] == seen
     assert sum(repair_queries.patch_counters(spark, folder).first()) == seen
     assert repair_queries.residual_decisions(spark, folder).agg(F.sum("n")).first()[0] == seen
+
+
+def test_long_copies_are_compared_whole(spark, tmp_path):
+    long = "x" * 9000
+    texts = [long, long, long[:-1] + "y", "z" * 50, "z" * 50]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(k, t, "en", "web", len(t)) for k, t in enumerate(texts)], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    assert rows(report_queries.dup_candidates(spark, str(tmp_path))) == [(50, "web", 2, 1), (9000, "web", 3, 2)]
