@@ -107,8 +107,8 @@ def _sets(n: int):
     return sets
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, links: bool = False) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id, and with `links` n_links.
 
     Words are runs of anything but the six separators, A-Z lower-cased; a set holds the distinct
     n-word shingles, or a shorter text as one shingle. Two documents link if their sets' Jaccard
@@ -123,6 +123,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class drawn for each n-gram (as many pairs as prefix entries), then every pair of an n-gram that is not
     yet in one component. So a large group of near copies gives a few pairs for each member and not
     the square, and no link that could join two components is left out.
+
+    With `links` there are no stages: every pair of classes that the filters leave is verified once,
+    those inside a component too, and n_links counts the other rows that a row links with (rows of
+    linked classes and the other rows of its own), 0 without words. A group of near copies then costs
+    the square of its differing sets, as each pair of them is part of the result.
     """
     spark = docs.sparkSession
     rows = only(docs, doc_id=id_col, text=text_col).withColumn("row", F.xxhash64("doc_id", "text"))
@@ -144,7 +149,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         scratch.free()
         facts = classes.select("c", "bits")
         verified = roots = None
-        for stage in range(4):
+        for stage in (3,) if links else range(4):
             if roots is None:
                 labelled = postings.withColumn("root", F.col("c"))
             else:
@@ -176,15 +181,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             scratch.free()
             verified = found if verified is None else verified.unionByName(found)
             # Links of earlier stages go in as what they made: one link from each node to its root.
-            links = found.filter("similar").select("a", "b")
-            links = links if roots is None else links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            roots = scratch.table(connected_components(links, scratch, f"components-{stage}"), f"roots-{stage}")
+            similar = found.filter("similar").select("a", "b")
+            similar = similar if roots is None else similar.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            roots = scratch.table(connected_components(similar, scratch, f"components-{stage}"), f"roots-{stage}")
         named = classes.select("c", "least_id").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         named = scratch.table(named, "named")
         least = scratch.table(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
         named = scratch.table(named.join(least, "root").select("c", "component_id"), "components")
         out = members.select("doc_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")).join(named, "c", "left")
-        return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")).checkpoint()
+        columns = ["doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")]
+        if links:
+            out = out.join(scratch.table(_counted(members, verified), "linked"), "c", "left")
+            columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        return out.select(*columns).checkpoint()
+
+
+def _counted(members: DataFrame, verified: DataFrame) -> DataFrame:
+    """c, n_links: of each class the rows of linked classes and the rows of its own but one."""
+    sizes = members.filter("n > 0").groupBy("c").agg(F.count("*").alias("rows"))
+    pairs = verified.filter("similar").select("a", "b")
+    ends = pairs.select(F.col("a").alias("c"), F.col("b").alias("other")).union(pairs.select(F.col("b").alias("c"), F.col("a").alias("other")))
+    linked = ends.join(sizes.select(F.col("c").alias("other"), "rows"), "other").groupBy("c").agg(F.sum("rows").alias("linked"))
+    return sizes.join(linked, "c", "left").select("c", (F.col("rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
 
 
 def _with_earlier(held: DataFrame, facts: DataFrame) -> DataFrame:

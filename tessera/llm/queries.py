@@ -54,7 +54,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_read(spark, sf_dir), n=3, percent=90)
+    return near_duplicates(_read(spark, sf_dir), n=3, percent=90, links=True)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

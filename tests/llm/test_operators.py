@@ -116,6 +116,27 @@ def test_near_duplicates(docs, nothing, n, percent):
     assert near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (2, 60)])
+def test_links_inside_a_component_are_counted(spark, n, percent):
+    rng = random.Random(n)
+    texts = []
+    for group in range(3):  # near copies of one text, each with some words of its own
+        base = [f"g{group}w{k}" for k in range(120)]
+        for _ in range(12):
+            words = list(base)
+            for k in rng.sample(range(120), rng.randint(0, 4)):
+                words[k] = f"x{rng.random()}"
+            texts.append(" ".join(words))
+    texts += [texts[0], texts[0], "a b", "a b", None, "", "A  B"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) if (w := (t or "").lower().split()) else frozenset() for t in texts]
+    want = {a: sum(a != b and bool(x) and 100 * len(x & y) >= percent * len(x | y) for b, y in enumerate(sets)) for a, x in enumerate(sets)}
+    found = near_duplicates(df, n=n, percent=percent, links=True)
+    assert {r.doc_id: r.n_links for r in found.collect()} == want and max(want.values()) > 5
+    plain = counted(near_duplicates(df, n=n, percent=percent).collect())
+    assert plain == counted(found.drop("n_links").collect())
+
+
 def test_quality_rules(spark, docs, nothing):
     for r in clean_lines(docs).filter("doc_id IS NOT NULL").collect():
         text = next(t for i, t, *_ in awkward() if i == r.doc_id) or ""
