@@ -30,7 +30,12 @@ def _features(texts: list[bytes]):
     wide = data.astype(np.uint64)
     triples = wide[:-2] * np.uint64(65536) + wide[1:-1] * np.uint64(256) + wide[2:] if len(data) > 2 else wide[:0]
     triples = ((triples * np.uint64(0x9E3779B97F4A7C15)) >> shift).astype(np.int64) + 2 * BUCKETS
-    yield triples, np.minimum(at, len(triples))
+    inside = np.ones(len(triples), bool)
+    for back in (1, 2):  # nor does a triple
+        cuts = at[1:-1] - back
+        inside[cuts[(cuts >= 0) & (cuts < len(triples))]] = False
+    kept = np.concatenate([[0], np.cumsum(inside)])
+    yield triples[inside], kept[np.minimum(at, len(triples))]
 
 
 def _count(batches):

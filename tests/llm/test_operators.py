@@ -17,7 +17,7 @@ from tessera.llm.html_extraction import extract_pages, read_page, site_templates
 from tessera.llm.jaccard_join import near_duplicates
 from tessera.llm.mixing import mix_sources, water_fill
 from tessera.llm.packing import best_fit, pack_documents, sequences
-from tessera.llm.quality_classifier import select_quality
+from tessera.llm.quality_classifier import _features, select_quality
 from tessera.llm.quality_rules import clean_lines
 from tessera.llm.range_coder import BLOCK, decode_blocks, encode_blocks
 from tessera.llm.sharding import affected, equal_capacities, min_cost_flow, read_shards, reshard, transfers, write_shards
@@ -411,6 +411,15 @@ def test_quality_classifier_on_held_out_rows(spark):
     assert counted(select_quality(df.repartition(3), lab).select("doc_id", "selected").collect()) == Counter((k, r.selected) for k, r in found.items())
 
 
+def test_features_of_a_text_alone():
+    rng = random.Random(2)
+    texts = [bytes(rng.choices(b"ab \n\xc3\xa9", k=rng.choice([0, 1, 2, 3, 4, 30]))) for _ in range(300)]
+    for family, (buckets, bounds) in enumerate(_features(texts)):
+        for k, text in enumerate(texts):
+            alone, whole = list(_features([text]))[family]
+            assert buckets[bounds[k] : bounds[k + 1]].tolist() == alone[whole[0] : whole[-1]].tolist(), (family, text)
+
+
 def test_quality_classifier_edges(spark, docs, nothing):
     labels = spark.createDataFrame([(k, 1) for k in range(10)], "doc_id long, quality int")
     assert select_quality(docs, labels).count() == len(awkward())
