@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, only
-from .shingles import as_bytes
+from .shingles import as_bytes, small
 from .tokenizing import PieceEncoder
 
 
@@ -95,7 +95,7 @@ def _cut(tokenizer: str, capacity: int, end_id: int, with_ids: bool):
     def pieces(batches):
         encoder, end = PieceEncoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
-        for batch in batches:
+        for batch in small(batches):
             at, rows = [], []
             for k, ids in enumerate(encoder.encode_all(as_bytes(batch["text"]))):
                 raw = ids.astype("<u4").tobytes() + end

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, only
 from .range_coder import BLOCK, LANES, decode_blocks, encode_blocks
-from .shingles import as_bytes
+from .shingles import as_bytes, small
 from .tokenizing import PieceEncoder
 
 _DOC = pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64())])
@@ -51,7 +51,7 @@ def _writer(tokenizer: str, end_id: int):
                 columns = zip(*rows[at : at + 256], strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _FILE, strict=True)], [n for n, _ in _FILE])
 
-        for batch in batches:
+        for batch in small(batches):
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode_all(as_bytes(batch["text"])), strict=True):
                 raw = ids.astype("<u4").tobytes() + end
                 docs.append({"doc_id": doc_id, "at": total, "n_tokens": len(raw) // 4})

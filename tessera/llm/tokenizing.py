@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-from .shingles import batched, range_hashes
+from .shingles import PAD, batched, contents, hashed
 
 #: Bytes of printable ASCII, and of the second byte of U+00C0 to U+00FF but for the two signs there.
 #: Between such characters a single space always begins a token and a single line feed stands alone:
@@ -22,26 +22,78 @@ _SECOND[[0x97, 0xB7]] = False
 _LEAD = 0xC3
 _MARK = np.isin(np.arange(256), list(b".,;:!?"))
 _ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
-_KIND = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-
-
 def file_digest(path: str) -> str:
     """SHA-256 of a tokenizer file: the version under which counts are stored."""
     with open(path, "rb") as f:
         return hashlib.sha256(f.read()).hexdigest()
 
 
+class PieceTable:
+    """Ids of pieces by their contents, with open addressing, for many pieces at a time.
+
+    A row holds the two values and the length of a piece's contents (with its kind), by which it is
+    compared, and where its ids lie. The hash only says where to look.
+    """
+
+    def __init__(self):
+        self.n, self.bits = 0, 16
+        self.rows, self.hashes = np.zeros((1 << 15, 4), np.uint64), np.zeros(1 << 15, np.uint64)
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+
+    def find(self, keys: tuple[np.ndarray, ...], places: np.ndarray) -> np.ndarray:
+        """Where the ids of each key (one, two, length and kind) lie; 0 if it isn't held."""
+        found, left = np.zeros(len(places), np.int64), None
+        at = (places >> np.uint64(64 - self.bits)).view(np.int64)
+        while True:
+            row = self.slots.take(at)
+            held = self.rows.take(row, 0, mode="wrap")  # -1 gives a row too, which `row` rules out
+            same = row >= 0
+            go_on = same.copy()
+            for k in range(3):
+                same &= held[:, k] == keys[k]
+            if left is None:
+                found, left = np.where(same, held[:, 3].view(np.int64), 0), np.arange(len(places))
+            else:
+                found[left[same]] = held[same, 3]
+            go_on = np.flatnonzero(go_on & ~same)
+            if not len(go_on):
+                return found
+            left, at, keys = left[go_on], (at[go_on] + 1) & ((1 << self.bits) - 1), [k[go_on] for k in keys]
+
+    def add(self, keys: tuple[np.ndarray, ...], places: np.ndarray, where: np.ndarray) -> None:
+        """Adds keys that differ from each other and from all held."""
+        end = self.n + len(places)
+        if end > len(self.rows):
+            room = max(2 * len(self.rows), end) - len(self.rows)
+            self.rows = np.concatenate([self.rows, np.zeros((room, 4), np.uint64)])
+            self.hashes = np.concatenate([self.hashes, np.zeros(room, np.uint64)])
+        for k, column in enumerate((*keys, where)):
+            self.rows[self.n : end, k] = column
+        self.hashes[self.n : end] = places
+        first, self.n = self.n, end
+        if 2 * end > len(self.slots):
+            self.bits, first = int(2 * end).bit_length(), 0
+            self.slots = np.full(1 << self.bits, -1, np.int32)
+        left = np.arange(first, end)
+        at = (self.hashes[left] >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]  # of pieces that want one slot the last has it
+            lost = self.slots[at] != left
+            left, at = left[lost], (at[lost] + 1) & ((1 << self.bits) - 1)
+
+
 class PieceEncoder:
     """Ids of whole texts as a `tokenizers` file gives them, with no special tokens added.
 
     A text is cut at single spaces and line feeds where every tokenization has a border, so that each
-    distinct piece goes through the library once and later ones come from a table, by 64-bit hash.
-    Texts with another neighbour of a space or line feed (white space, other scripts, text edges) go
-    through the library whole. Past `limit` pieces the table starts anew; nothing depends on what it
-    holds.
+    distinct piece goes through the library once and later ones come from a table, which compares
+    their contents. Texts with another neighbour of a space or line feed (white space, other scripts,
+    text edges) go through the library whole. Past `limit` pieces, or four times as many ids, the
+    table starts anew; nothing depends on what it holds.
     """
 
-    def __init__(self, path: str, limit: int = 2_000_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -50,10 +102,10 @@ class PieceEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.at, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.table = PieceTable()
+        self.pool, self.used = np.zeros(1 << 18, np.uint32), 1  # no piece lies at 0
 
-    def _learn(self, keys: np.ndarray, pieces: list[str], heads: np.ndarray) -> None:
+    def _learn(self, keys: tuple[np.ndarray, ...], places: np.ndarray, pieces: list[str], heads: np.ndarray) -> None:
         """Encodes new pieces, many in one call: each begins with the space or line feed before it,
         others (a text's first piece, marks) with a line feed whose ids are dropped, and the ids are told apart by where
         their tokens start."""
@@ -76,8 +128,7 @@ class PieceEncoder:
         at = self.used + np.cumsum(n) - n
         self.used += len(new)
         at, n = at + heads * self.line_feed, n - heads * self.line_feed
-        place = np.searchsorted(self.keys, keys)  # `keys` are sorted
-        self.keys, self.at, self.n = (np.insert(a, place, b) for a, b in ((self.keys, keys), (self.at, at), (self.n, n)))
+        self.table.add(keys, places, (at << 31 | n).view(np.uint64))
 
     def _whole(self, text: bytes) -> np.ndarray:
         return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
@@ -85,7 +136,8 @@ class PieceEncoder:
     def _batch(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text. Texts are joined by a line feed, so every border looks alike."""
         raw = b"\n" + b"\n".join(texts) + b"\n"
-        data = np.frombuffer(raw, np.uint8)
+        whole = np.frombuffer(raw + bytes(PAD), np.uint8)
+        data = whole[: len(raw)]
         bounds = np.cumsum([1, *[len(t) + 1 for t in texts]])  # where each text starts
         cuts = np.flatnonzero((data == 32) | (data == 10))
         before, after = data[np.maximum(cuts - 1, 0)], data[np.minimum(cuts + 1, len(data) - 1)]
@@ -110,21 +162,19 @@ class PieceEncoder:
         marked = np.flatnonzero(_MARK[data[end - 1]] & (end - begin > 1) & (_ALNUM[prior] | (_SECOND[prior] & (data[np.maximum(end - 3, 0)] == _LEAD))))
         begin, kind, owner = np.insert(begin, marked + 1, end[marked] - 1), np.insert(kind, marked + 1, 0), np.insert(owner, marked + 1, owner[marked])
         end = np.insert(end, marked, end[marked] - 1)
-        keys = range_hashes(data, begin, end) ^ _KIND[kind]
-        distinct, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.keys) + len(distinct) > self.limit:
+        one, two, length = contents(whole, begin, end)
+        keys = (one, two, (length << 2 | kind).view(np.uint64))
+        places = hashed(*keys)
+        if self.table.n > self.limit or self.used > 4 * self.limit:
             self._clear()
-        spot = np.searchsorted(self.keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        if len(self.keys):
-            known = self.keys[np.minimum(spot, len(self.keys) - 1)] == distinct
-        if not known.all():
-            fresh = where[~known]
+        where = self.table.find(keys, places)
+        while len(missed := np.flatnonzero(where == 0)):  # again only if unlike pieces share a hash
+            fresh = missed[np.unique(places[missed], return_index=True)[1]]
             prefix = ("\n", " ", "\n")
             pieces = [prefix[k] + raw[a:b].decode() for a, b, k in zip(begin[fresh].tolist(), end[fresh].tolist(), kind[fresh].tolist(), strict=True)]
-            self._learn(distinct[~known], pieces, (kind[fresh] == 0).astype(np.int64))
-            spot = np.searchsorted(self.keys, distinct)
-        at, n = self.at[spot][inverse], self.n[spot][inverse]
+            self._learn(tuple(k[fresh] for k in keys), places[fresh], pieces, (kind[fresh] == 0).astype(np.int64))
+            where[missed] = self.table.find(tuple(k[missed] for k in keys), places[missed])
+        at, n = where >> 31, where & (2**31 - 1)
         ends = np.cumsum(n)
         ids = self.pool[np.repeat(at - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
         upto = np.concatenate([[0], ends])
