@@ -9,11 +9,11 @@ from .common import Scratch
 
 
 def connected_components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(node, root) for each node of the links (a, b): root is the least node reachable.
+    """(node, root) for each node of the links (a, b) but the roots: root is the least node reachable.
 
     Large-star and small-star steps alternate until no link changes; a step sends each node's
     neighbours to their least one, so hubs are aggregated, never gathered, and rounds grow with the
-    logarithm of the number of nodes.
+    logarithm of the number of nodes. Should 99 rounds not do, this raises.
     """
     edges = scratch.table(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
     before = None
@@ -29,4 +29,6 @@ def connected_components(links: DataFrame, scratch: Scratch, name: str) -> DataF
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError("the components of a graph did not settle")
     return edges.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "node")
