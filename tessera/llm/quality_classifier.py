@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, only
-from .shingles import as_bytes, batched, grams, word_hashes
+from .shingles import as_bytes, batched, grams, small, word_hashes
 
 BUCKETS = 4096
 #: Three families of features: words, pairs of words, and byte triples.
@@ -41,7 +41,7 @@ def _features(texts: list[bytes]):
 def _count(batches):
     """Partition sums of the features of all documents and of the target's."""
     raw, target = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
-    for batch in batches:
+    for batch in small(batches):
         flags, done = np.array(batch["is_target"].to_pylist(), dtype=bool), 0
         for texts in batched(as_bytes(batch["text"])):
             mine = flags[done : done + len(texts)]
@@ -80,14 +80,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return ratios, 1.0 if good is None else float(good)
 
 
-def log_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def log_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
     """doc_id, log_weight (sum of the log ratios of the text's features; 0 for an empty or null
-    text) and n_features, one row per row of `docs`."""
+    text) and n_features, one row per row of `docs`, with the key if one is given."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)  # a fixed 96 kB
 
     def score(batches):
         table = shared.value
-        for batch in batches:
+        for batch in small(batches):
             weights, counts = [], []
             for texts in batched(as_bytes(batch["text"])):
                 total, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
@@ -99,10 +99,12 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", tex
                 weights.append(np.where(size > 0, total, 0.0))
                 counts.append(np.where(size > 0, n, 0))
             flat = lambda x, kind: pa.array(np.concatenate(x) if x else np.zeros(0), kind)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], flat(weights, pa.float64()), flat(counts, pa.int64())], ["doc_id", "log_weight", "n_features"])
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in held], flat(weights, pa.float64()), flat(counts, pa.int64())], [*held, "log_weight", "n_features"])
 
-    rows = only(docs, doc_id=id_col, text=text_col)
-    return rows.mapInArrow(score, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, log_weight double, n_features long")
+    rows = only(docs, doc_id=id_col, text=text_col, **({} if key is None else {"key": key}))
+    held = [c for c in rows.columns if c != "text"]
+    kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in held]
+    return rows.mapInArrow(score, ", ".join([*kinds, "log_weight double", "n_features long"]))
 
 
 def top_k(df: DataFrame, key: Column, k: int, tie: str, scratch: Scratch) -> DataFrame:
@@ -137,20 +139,24 @@ def top_k(df: DataFrame, key: Column, k: int, tie: str, scratch: Scratch) -> Dat
     return df.withColumn("selected", (F.col("_key") > cut) | F.col("_at").isNotNull()).drop("_key", "_tie", "_at")
 
 
-def select_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack: float = 0.02, effective: float = 1000.0, shrink: float = 50.0, seed: int = 11) -> DataFrame:
-    """One row per row of `docs`: doc_id, log_weight, n_features, sampling_key, selected.
+def select_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", slack: float = 0.02, effective: float = 50.0, shrink: float = 50.0, seed: int = 11, key: Column | None = None) -> DataFrame:
+    """One row per row of `docs`: doc_id, log_weight, n_features, sampling_key, selected, and with a `key`
+    (a column that tells rows apart) key.
 
     log_weight is the mean of log p_target / p_raw over hashed words, pairs of words and byte
-    triples (shrunk to 0 by `shrink` features without evidence), times `effective`: the weight of a
-    text of that many features, so that length alone never decides. The sampling key adds a standard Gumbel draw (seeded by id), so the top k are a sample without
-    replacement in proportion to the weights; k is the labelled share of good rows plus `slack`,
-    of all rows. Null and empty texts have log weight 0 like any text without evidence. Null ids
-    share one draw; rows that repeat an id and a text are selected together. An empty table gives
-    an empty result; without labels every row is selected.
+    triples (shrunk to 0 by `shrink` features without evidence), times `effective`: the log importance
+    weight of a text that holds `effective` independent features, so that length alone never decides
+    and the weights of ordinary texts lie within a few units of each other, as standard Gumbel draws
+    do. The sampling key adds such a draw (seeded by id), so the top k are a sample without
+    replacement in proportion to the weights: near the cut the draws decide, and another seed gives
+    another sample; a text unlike the target needs a draw that it hardly ever gets. k is the labelled
+    share of good rows plus `slack`, of all rows. Null and empty texts have log weight 0 like any
+    text without evidence. Null ids share one draw; rows that repeat an id and a text are selected
+    together. An empty table gives an empty result; without labels every row is selected.
     """
     with Scratch(docs.sparkSession) as scratch:
         ratios, good = fit(docs, labels, id_col, text_col, seed=seed)
-        scored = scratch.table(log_weights(docs, ratios, id_col, text_col), "scored")
+        scored = scratch.table(log_weights(docs, ratios, id_col, text_col, key), "scored")
         scored = scored.withColumn("log_weight", F.col("log_weight") * effective / (F.col("n_features") + shrink))
         n = scored.count()
         draw = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11).cast("double") + 0.5) / F.lit(2.0**53)
