@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 #: taken first, and beyond it the same join is done by a shuffle.
 BROADCAST_ROWS = 500_000
 
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Whether Spark removes the shuffle files of a query when it ends, and not when the driver's garbage is
+#: collected.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: Word separators of the contracts: space, tab, line feed, vertical tab, form feed, return.
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
@@ -20,10 +23,13 @@ SEPARATORS = "[\\x20\\x09-\\x0D]+"
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for cut lineage: the cluster's spark.checkpoint.dir, else the one already
-    set on the context, else (single-machine runs such as tests) a new temporary folder."""
+    set on the context, else a new temporary folder, if all tasks run on this machine. A cluster must
+    name a shared folder: without one this raises."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-checkpoints-"))
     return named or context.getCheckpointDir()
 
@@ -40,13 +46,9 @@ class Scratch:
         self.root = f"{checkpoint_dir(spark)}/tessera-scratch-{uuid.uuid4().hex}"
 
     def __enter__(self) -> Scratch:
-        # Texts may be long: few rows at a time keep Arrow batches small on both sides.
-        self.rows = self.spark.conf.get(ARROW_ROWS)
-        self.spark.conf.set(ARROW_ROWS, "1000")
         return self
 
     def __exit__(self, *exc) -> None:
-        self.spark.conf.set(ARROW_ROWS, self.rows)
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -56,16 +58,16 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    def free(self) -> None:
-        """Lets Spark's cleaner remove the shuffle files of steps that are done: it does so when the
-        driver collects its garbage, which may else come only after the last step."""
-        self.spark._jvm.System.gc()
-
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def table(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+        held = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")  # a stored table needs its shuffles no more
+        try:
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+        finally:
+            self.spark.conf.set(CLEANUP, held)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 
@@ -74,6 +76,22 @@ def only(df: DataFrame, **columns: str | Column) -> DataFrame:
     return df.select(*[(df[c] if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
 
 
+def file_row(df: DataFrame) -> Column | None:
+    """A struct of two longs that tells the rows of stored tables apart: the file (by hash) and the
+    place in it. None if rows don't come straight from files."""
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
+    kinds = [hidden.apply(k).dataType().simpleString() for k in range(hidden.size()) if hidden.apply(k).name() == "_metadata"]
+    if len(kinds) != 1 or "row_index" not in kinds[0] or "_metadata" in df.columns:
+        return None
+    return F.struct(F.xxhash64("_metadata.file_path").alias("a"), F.col("_metadata.row_index").alias("b"))
+
+
+def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
+    """`file_row`, or without files 128 bits of hashes of id and text, which rows that repeat both share."""
+    found = file_row(df)
+    return F.struct(F.xxhash64(df[id_col], df[text_col]).alias("a"), F.xxhash64(F.lit(1), df[text_col], df[id_col]).alias("b")) if found is None else found
+
+
 def words(text: Column) -> Column:
     """The words of a text: maximal runs of anything but the six separators; none if null."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SEPARATORS), lambda w: w != "")

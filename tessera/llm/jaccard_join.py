@@ -7,12 +7,12 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, Scratch, bounded_semi, only
+from .common import BROADCAST_ROWS, Scratch, bounded_semi, only, row_key
 from .components import connected_components
-from .shingles import as_bytes, batched, grams, shingle_set, word_hashes
+from .shingles import as_bytes, batched, grams, shingle_set, small, word_hashes
 
 SKETCH_BITS = 22
 CHUNKS = 256
@@ -33,7 +33,7 @@ def _frequencies(rows: DataFrame, n: int) -> np.ndarray:
 
     def count(batches):
         sums = np.zeros(1 << SKETCH_BITS, np.uint32)
-        for batch in batches:
+        for batch in small(batches):
             for words in _texts(batch["text"]):
                 if len(words):
                     np.add.at(sums, (grams(words, min(n, len(words))) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
@@ -71,7 +71,7 @@ def _profile(n: int, percent: int, shared):
 
     def profile(batches):
         table = shared.value
-        for batch in batches:
+        for batch in small(batches):
             classes, sizes, bounds, prefixes, bits = [], [], [0], [], []
             for words in _texts(batch["text"]):
                 found = shingle_set(words, n)
@@ -80,42 +80,41 @@ def _profile(n: int, percent: int, shared):
                 keep = size + (percent * size) // -100 + 1 if size else 0  # size - ceil(t size) + 1
                 prefixes.append(found[order[:keep]].view(np.int64))
                 bounds.append(bounds[-1] + keep)
-                classes.append(int.from_bytes(blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True))
+                classes.append(blake2b(found.tobytes(), digest_size=16).digest())
                 sizes.append(size)
                 odd = np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=64 * PARITIES) & 1
                 bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             values = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values(prefixes))
             parities = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * PARITIES, pa.int32()), values(bits))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], pa.array(classes, pa.int64()), pa.array(sizes, pa.int64()), lists, parities], ["doc_id", "row", "c", "n", "prefix", "bits"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], pa.array(classes, pa.binary()), pa.array(sizes, pa.int64()), lists, parities], ["doc_id", "row", "c", "n", "prefix", "bits"])
 
     return profile
 
 
 def _sets(n: int):
     def sets(batches):
-        for batch in batches:
-            classes, bounds, values = [], [0], []
-            for words in _texts(batch["text"]):
-                found = shingle_set(words, n)
-                classes.append(int.from_bytes(blake2b(found.tobytes(), digest_size=8).digest(), "little", signed=True))
-                bounds.append(bounds[-1] + len(found))
-                values.append(found.view(np.int64))
-            flat = pa.array(np.concatenate(values) if values else np.zeros(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat)], ["c", "shingles"])
+        for batch in small(batches):
+            found = [shingle_set(words, n).view(np.int64) for words in _texts(batch["text"])]
+            flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), pa.int64())
+            bounds = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch["i"], pa.ListArray.from_arrays(bounds, flat)], ["i", "shingles"])
 
     return sets
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, links: bool = False) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id, and with `links` n_links.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, links: bool = False, key: Column | None = None) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id, with `links` n_links, and with a `key`
+    (a column that tells rows apart) key and kept.
 
     Words are runs of anything but the six separators, A-Z lower-cased; a set holds the distinct
     n-word shingles, or a shorter text as one shingle. Two documents link if their sets' Jaccard
     similarity is at least percent / 100; component_id is the least id reachable by links, itself
     included. Texts without words, null ones too, link with nothing. Null ids rank as unknown: a
-    component's id is the least that is known, null if none is. Repeated rows are one class. Other
-    columns are ignored. Shingles and sets are compared by 64-bit hashes.
+    component's id is the least that is known, null if none is. Repeated rows are one class. kept is
+    true for one row of each component, the least known id's, the least key's among those, and for
+    all rows without words. Other columns are ignored. Shingles are compared by 64-bit hashes, whole
+    sets by 128-bit digests.
 
     Equal sets form a class; only classes are joined. A class's prefix holds the n-grams that come
     first by (frequency, hash); frequencies are sums over all texts in 2**22 hash ranges. Classes
@@ -127,42 +126,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     With `links` there are no stages: every pair of classes that the filters leave is verified once,
     those inside a component too, and n_links counts the other rows that a row links with (rows of
     linked classes and the other rows of its own), 0 without words. A group of near copies then costs
-    the square of its differing sets, as each pair of them is part of the result.
+    the square of its differing sets, as each pair of them is part of the result; of their sets only
+    the differences from one set of the group go with the pairs.
     """
     spark = docs.sparkSession
-    rows = only(docs, doc_id=id_col, text=text_col).withColumn("row", F.xxhash64("doc_id", "text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = only(docs, doc_id=id_col, text=text_col, row=row_key(docs, id_col, text_col) if key is None else key)
+    kind, row = (rows.schema[c].dataType.simpleString() for c in ("doc_id", "row"))
     shared = spark.sparkContext.broadcast(_frequencies(rows, n))
     with Scratch(spark) as scratch:
-        schema = f"doc_id {kind}, row long, c long, n long, prefix array<long>, bits array<long>"
+        schema = f"doc_id {kind}, row {row}, c binary, n long, prefix array<long>, bits array<long>"
         profiles = scratch.table(rows.mapInArrow(_profile(n, percent, shared), schema), "profiles")
-        heads = profiles.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-        classes = scratch.table(heads, "classes")
+        first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("least")
+        heads = profiles.filter("n > 0").groupBy("c").agg(first_row, F.first("n").alias("n"), F.first("bits").alias("bits"), F.count("*").alias("rows"))
+        classes = scratch.table(heads.select("c", F.monotonically_increasing_id().alias("i"), "least", F.col("least.row").alias("row"), "n", "bits", "rows"), "classes")
         members = scratch.table(profiles.select("doc_id", "row", "n", "c"), "members")
-        first = bounded_semi(profiles.select("row", "c", "n", "prefix"), classes.select("row", "c"), ["row", "c"])
-        postings = first.select("c", "n", F.posexplode("prefix").alias("at", "gram"))
+        first = bounded_semi(profiles.filter("n > 0").select("row", "prefix"), classes.select("row", "i", "n"), ["row"], "inner")
+        postings = first.select("i", "n", F.posexplode("prefix").alias("at", "gram"))
         often = scratch.table(postings.groupBy("gram").count().filter("count > 1").select("gram"), "often")
-        scratch.free()
-        # Rows that repeat an id and a text give the same postings; one of each is enough.
+        # Rows that share a key give the same postings; one of each is enough.
         postings = scratch.table(bounded_semi(postings, often, ["gram"], most=2 * BROADCAST_ROWS).distinct(), "postings")
         scratch.drop("profiles", "often")
-        scratch.free()
-        facts = classes.select("c", "bits")
+        facts = classes.select("i", "bits")
         verified = roots = None
         for stage in (3,) if links else range(4):
             if roots is None:
-                labelled = postings.withColumn("root", F.col("c"))
+                labelled = postings.withColumn("root", F.col("i"))
             else:
-                labelled = postings.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-            span = labelled.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("c", F.lit(stage)).alias("draw"), "c", "n", "root", "at")).alias("p"))
+                labelled = postings.join(roots.withColumnRenamed("node", "i"), "i", "left").withColumn("root", F.coalesce("root", "i"))
+            span = labelled.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min(F.struct(F.xxhash64("i", F.lit(stage)).alias("draw"), "i", "n", "root", "at")).alias("p"))
             span = span.filter("lo <> hi")
             if stage < 3:
-                right = span.select(F.col("gram").alias("gram2"), *[F.col(f"p.{k}").alias(f"{k}2") for k in ("c", "n", "root", "at")])
-                left = labelled.select([F.col(k).alias(f"{k}1") for k in ("gram", "c", "n", "root", "at")])
+                right = span.select(F.col("gram").alias("gram2"), *[F.col(f"p.{k}").alias(f"{k}2") for k in ("i", "n", "root", "at")])
+                left = labelled.select([F.col(k).alias(f"{k}1") for k in ("gram", "i", "n", "root", "at")])
                 pairs = left.join(right, (F.col("gram1") == F.col("gram2")) & (F.col("root1") != F.col("root2")) & _may_reach(percent))
-                pairs = pairs.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b"), (F.col("n1") + F.col("n2")).alias("size")).distinct()
+                pairs = pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"), (F.col("n1") + F.col("n2")).alias("size")).distinct()
                 for end, mine in (("a", "bits1"), ("b", "bits2")):
-                    pairs = pairs.join(facts.select(F.col("c").alias(end), F.col("bits").alias(mine)), end)
+                    pairs = pairs.join(facts.select(F.col("i").alias(end), F.col("bits").alias(mine)), end)
                 pairs = pairs.filter(_may_equal(percent, F.col("size"))).drop("bits1", "bits2")
             else:
                 held = scratch.table(_with_earlier(labelled.join(span.select("gram"), "gram"), facts), "held")
@@ -171,47 +170,53 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 # A pair is made once, at its first common n-gram.
                 once = (F.col("root1") < F.col("root2")) & _may_reach(percent) & _may_equal(percent, F.col("n1") + F.col("n2")) & ~F.arrays_overlap("earlier1", "earlier2")
                 pairs = left.join(right, (F.col("gram1") == F.col("gram2")) & once)
-                pairs = pairs.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b"), (F.col("n1") + F.col("n2")).alias("size"))
+                pairs = pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"), (F.col("n1") + F.col("n2")).alias("size"))
             if verified is not None:
                 pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
             pairs = scratch.table(pairs, f"pairs-{stage}")
-            scratch.free()
-            found = _verify(rows, members, classes, pairs, n, percent, scratch, stage)
-            scratch.drop(f"sets-{stage}", f"needed-{stage}", f"pairs-{stage}")
-            scratch.free()
+            scratch.drop("held")
+            found = (_verify_by_differences if links else _verify)(rows, members, classes, pairs, n, percent, scratch, stage)
+            scratch.drop(f"sets-{stage}", f"pairs-{stage}")
             verified = found if verified is None else verified.unionByName(found)
             # Links of earlier stages go in as what they made: one link from each node to its root.
             similar = found.filter("similar").select("a", "b")
             similar = similar if roots is None else similar.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
             roots = scratch.table(connected_components(similar, scratch, f"components-{stage}"), f"roots-{stage}")
-        named = classes.select("c", "least_id").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+        named = classes.select("c", "i", "least", "rows").join(roots.withColumnRenamed("node", "i"), "i", "left").withColumn("root", F.coalesce("root", "i"))
         named = scratch.table(named, "named")
-        least = scratch.table(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
-        named = scratch.table(named.join(least, "root").select("c", "component_id"), "components")
-        out = members.select("doc_id", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")).join(named, "c", "left")
-        columns = ["doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")]
+        keepers = scratch.table(named.groupBy("root").agg(F.min("least").alias("keeper")), "keepers")
+        columns = ["c", "keeper"]
+        named = named.join(keepers, "root")
+        if links:
+            named = named.join(_linked(classes, verified, scratch), "i", "left").withColumn("n_links", F.col("rows") - 1 + F.coalesce("linked", F.lit(0)))
+            columns.append("n_links")
+        named = scratch.table(named.select(*columns), "components")
+        out = members.select("doc_id", "row", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")).join(named, "c", "left")
+        columns = ["doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("keeper.doc_id")).otherwise(F.col("doc_id")).alias("component_id")]
         if links:
-            out = out.join(scratch.table(_counted(members, verified), "linked"), "c", "left")
             columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        if key is not None:
+            columns += [F.col("row").alias("key"), ((F.col("n") == 0) | (F.col("row") == F.col("keeper.row"))).alias("kept")]
         return out.select(*columns).checkpoint()
 
 
-def _counted(members: DataFrame, verified: DataFrame) -> DataFrame:
-    """c, n_links: of each class the rows of linked classes and the rows of its own but one."""
-    sizes = members.filter("n > 0").groupBy("c").agg(F.count("*").alias("rows"))
+def _linked(classes: DataFrame, verified: DataFrame, scratch: Scratch) -> DataFrame:
+    """i, linked: of each class the rows of the classes that it links with."""
     pairs = verified.filter("similar").select("a", "b")
-    ends = pairs.select(F.col("a").alias("c"), F.col("b").alias("other")).union(pairs.select(F.col("b").alias("c"), F.col("a").alias("other")))
-    linked = ends.join(sizes.select(F.col("c").alias("other"), "rows"), "other").groupBy("c").agg(F.sum("rows").alias("linked"))
-    return sizes.join(linked, "c", "left").select("c", (F.col("rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    for end in "ab":
+        pairs = pairs.join(classes.select(F.col("i").alias(end), F.col("rows").alias(f"rows_{end}")), end)
+    pairs = scratch.table(pairs, "linked")
+    ends = pairs.select(F.col("a").alias("i"), F.col("rows_b").alias("rows")).union(pairs.select("b", "rows_a"))
+    return ends.groupBy("i").agg(F.sum("rows").alias("linked"))
 
 
 def _with_earlier(held: DataFrame, facts: DataFrame) -> DataFrame:
     """Postings with their class's parities and the n-grams among them that come before in the same
     prefix."""
-    lists = held.groupBy("c").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.array_sort(F.collect_list(F.struct("at", "gram"))).alias("items"))
-    each = lists.join(facts, "c").select("c", "n", "root", "bits", F.posexplode("items").alias("k", "item"), "items")
+    lists = held.groupBy("i").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.array_sort(F.collect_list(F.struct("at", "gram"))).alias("items"))
+    each = lists.join(facts, "i").select("i", "n", "root", "bits", F.posexplode("items").alias("k", "item"), "items")
     earlier = F.transform(F.slice("items", F.lit(1), F.col("k")), lambda x: x["gram"])
-    return each.select("item.gram", "c", "n", "root", "item.at", "bits", earlier.alias("earlier"))
+    return each.select("item.gram", "i", "n", "root", "item.at", "bits", earlier.alias("earlier"))
 
 
 def _overlap(percent: int, total):
@@ -234,17 +239,39 @@ def _may_equal(percent: int, size):
     return apart <= size - 2 * _overlap(percent, size)
 
 
-def _verify(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
-    """(a, b, similar) of the pairs, from whole sets: those of one row of each class that a pair names."""
-    named = pairs.select(F.col("a").alias("c")).union(pairs.select(F.col("b").alias("c"))).distinct()
-    needed = scratch.table(classes.join(named, "c", "left_semi").select("row"), f"needed-{stage}")
-    sets = bounded_semi(rows.select("row", "text"), needed, ["row"]).select("text").mapInArrow(_sets(n), "c long, shingles array<long>")
-    # Only rows that repeat an id and a text can give a set twice; without any, nothing need be moved.
+def _whole_sets(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, scratch: Scratch, stage: int) -> DataFrame:
+    """(i, shingles) of the classes that pairs name, from the text of one row of each."""
+    named = pairs.select(F.col("a").alias("i")).union(pairs.select("b")).distinct()
+    needed = scratch.table(classes.join(named, "i", "left_semi").select("row", "i"), f"needed-{stage}")
+    texts = bounded_semi(rows.select("row", "text"), needed, ["row"], "inner").select("i", "text")
+    # Only rows that share a key can give a set twice; without any, nothing need be moved.
     if members.join(needed, "row", "left_semi").count() > needed.count():
-        sets = sets.dropDuplicates(["c"])
-    sets = scratch.table(sets, f"sets-{stage}")
-    scratch.free()
-    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b")
+        texts = texts.dropDuplicates(["i"])
+    return scratch.table(texts.mapInArrow(_sets(n), "i long, shingles array<long>"), f"sets-{stage}")
+
+
+def _verify(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
+    """(a, b, similar) of the pairs, from whole sets."""
+    sets = _whole_sets(rows, members, classes, pairs, n, scratch, stage)
+    both = pairs.join(sets.select(F.col("i").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("i").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     similar = common * (100 + percent) >= F.col("size") * percent
     return scratch.table(both.select("a", "b", similar.alias("similar")), f"verified-{stage}")
+
+
+def _verify_by_differences(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
+    """(a, b, similar) of the pairs, as `_verify` gives them.
+
+    The classes that pairs connect are compared with one of them, whole set with whole set. What only
+    one of two sets holds is what only one of their differences from a third holds, so differences,
+    which are small for near copies, are all that goes with a pair."""
+    sets = _whole_sets(rows, members, classes, pairs, n, scratch, stage)
+    roots = scratch.table(connected_components(pairs.select("a", "b"), scratch, "candidates"), "candidates")
+    both = sets.join(roots.withColumnRenamed("node", "i"), "i", "left").withColumn("root", F.coalesce("root", "i"))
+    both = both.join(sets.select(F.col("i").alias("root"), F.col("shingles").alias("other")), "root")
+    apart = F.concat(F.array_except("shingles", "other"), F.array_except("other", "shingles"))
+    apart = scratch.table(both.select("i", apart.alias("apart")), "apart")
+    both = pairs.join(apart.select(F.col("i").alias("a"), F.col("apart").alias("x")), "a").join(apart.select(F.col("i").alias("b"), F.col("apart").alias("y")), "b")
+    twice = F.col("size") - (F.size("x") + F.size("y") - 2 * F.size(F.array_intersect("x", "y")))  # twice the common shingles
+    similar = twice * (100 + percent) >= 2 * F.col("size") * percent
+    return scratch.table(both.select("a", "b", similar.alias("similar")), f"verified-{stage}")

@@ -35,8 +35,9 @@ def water_fill(sizes: list[int], weights: list[float], total: float, max_epochs:
     return targets
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_epochs: float = 2.0, seed: int = 7) -> DataFrame:
-    """One row per row of `docs`: doc_id, source, size, source_size, target, repetitions, taken.
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, max_epochs: float = 2.0, seed: int = 7, key: Column | None = None) -> DataFrame:
+    """One row per row of `docs`: doc_id, source, size, source_size, target, repetitions, taken, and
+    with a `key` (a column that tells rows apart) key.
 
     Sources are ordered by code point, null last (a source of its own), and take the weights in
     turn. A document is repeated floor(target / source size) times, and once more if the rest of the
@@ -53,8 +54,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     class (powers of two) reaches the driver.
     """
     spark = docs.sparkSession
-    rows = only(docs, doc_id=id_col, text=text_col, source=source_col)
-    rows = rows.select("doc_id", "source", text_size(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"))
+    keyed = [] if key is None else ["key"]
+    rows = only(docs, doc_id=id_col, text=text_col, source=source_col, **{k: key for k in keyed})
+    rows = rows.select("doc_id", *keyed, "source", text_size(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h"))
     rows = rows.withColumns({"bucket": F.pmod(F.shiftrightunsigned("h", 40), F.lit(BUCKETS)).cast("int"), "length": F.floor(F.log2(F.col("size") + 1)).cast("int")})
     with Scratch(spark) as scratch:
         rows = scratch.table(rows, "rows")
@@ -98,5 +100,5 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         edge = rows.filter(inside).withColumn("extra", (F.col("at.base") + F.coalesce(running, F.lit(0)) + F.col("size") / 2 <= F.col("rest") - F.col("long_words")).cast("int"))
         sure = rows.filter(~inside).withColumn("extra", F.when(F.col("long"), F.col("bucket") <= F.col("long_cut")).otherwise(F.col("bucket") < F.col("cut")).cast("int"))
         times = F.col("whole") + F.col("extra")
-        out = sure.unionByName(edge).select("doc_id", "source", "size", "source_size", "target", times.alias("repetitions"), (F.col("size") * times).cast("long").alias("taken"))
+        out = sure.unionByName(edge).select("doc_id", *keyed, "source", "size", "source_size", "target", times.alias("repetitions"), (F.col("size") * times).cast("long").alias("taken"))
         return out.checkpoint()
