@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, only
 from .shingles import as_bytes, small
-from .tokenizing import PieceEncoder
+from .tokenizing import encoder_of
 
 
 class OpenBins:
@@ -93,7 +93,7 @@ def _cut(tokenizer: str, capacity: int, end_id: int, with_ids: bool):
     length and a first one with what is left over."""
 
     def pieces(batches):
-        encoder, end = PieceEncoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        encoder, end = encoder_of(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
         for batch in small(batches):
             at, rows = [], []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, bounded_semi, only
 from .shingles import as_bytes, small
-from .tokenizing import PieceEncoder, file_digest
+from .tokenizing import encoder_of, file_digest
 
 CACHE_SCHEMA = "digest binary, n_tokens long"
 
@@ -25,7 +25,7 @@ def _stored(spark, cache_path: str, version: str) -> DataFrame:
 
 def _counter(tokenizer: str):
     def count(batches):
-        encoder = PieceEncoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in small(batches):
             counts = [len(ids) for ids in encoder.encode_all(as_bytes(batch["text"]))]
             yield pa.RecordBatch.from_arrays([batch["digest"], pa.array(counts, pa.int64())], ["digest", "n_tokens"])

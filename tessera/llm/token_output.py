@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, only
 from .range_coder import BLOCK, LANES, decode_blocks, encode_blocks
 from .shingles import as_bytes, small
-from .tokenizing import PieceEncoder
+from .tokenizing import encoder_of
 
 _DOC = pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64())])
 _FILE = [("part", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("n", pa.int64()), ("docs", pa.list_(_DOC)), ("data", pa.binary())]
@@ -27,7 +27,7 @@ def _writer(tokenizer: str, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def write(batches):
-        encoder, part = PieceEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         held, docs, done, total = bytearray(), [], 0, 0  # ids and documents from place `done` on
 
         def blocks(last: bool):

@@ -189,3 +189,17 @@ class PieceEncoder:
             found = self._batch(full) if full else iter(())
             for text in some:
                 yield next(found) if text else np.zeros(0, np.uint32)
+
+
+_HELD: dict[tuple, PieceEncoder] = {}
+
+
+def encoder_of(path: str) -> PieceEncoder:
+    """The encoder of a file that this worker process holds: its table outlives a task. One file at a
+    time is held, so a worker keeps one bounded table."""
+    at = os.stat(path)
+    key = (path, at.st_mtime_ns, at.st_size)
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = PieceEncoder(path)
+    return _HELD[key]
