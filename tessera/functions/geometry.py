@@ -57,15 +57,17 @@ def following(poly: Column, i: Column) -> Column:
 
 
 def bounds(poly: Column) -> Column:
-    """Envelope as a struct x0, y0, x1, y1."""
-    return let(poly, lambda v: F.struct(F.array_min(xs(v)).alias("x0"), F.array_min(ys(v)).alias("y0"), F.array_max(xs(v)).alias("x1"), F.array_max(ys(v)).alias("y1")))
+    """Envelope as a struct x0, y0, x1, y1. Up to four corners need no loop."""
+    at = lambda axis: [F.get(poly, F.lit(k))[axis] for k in range(4)]
+    few = F.struct(F.least(*at("x")).alias("x0"), F.least(*at("y")).alias("y0"), F.greatest(*at("x")).alias("x1"), F.greatest(*at("y")).alias("y1"))
+    many = F.struct(F.array_min(xs(poly)).alias("x0"), F.array_min(ys(poly)).alias("y0"), F.array_max(xs(poly)).alias("x1"), F.array_max(ys(poly)).alias("y1"))
+    return F.when(F.size(poly) <= 4, few).otherwise(many)
 
 
 def corners(cx: Number, cy: Number, width: Number, height: Number, radians: Number) -> Column:
     """Corners of a rotated box, from (-, -) around by (+, -), (+, +) and (-, +) of its own axes."""
-    frame = F.struct(lit(cx).alias("cx"), lit(cy).alias("cy"), (lit(width) / 2).alias("a"), (lit(height) / 2).alias("b"), F.cos(lit(radians)).alias("c"), F.sin(lit(radians)).alias("s"))
-    at = lambda f, i, j: point(f["cx"] + i * f["a"] * f["c"] - j * f["b"] * f["s"], f["cy"] + i * f["a"] * f["s"] + j * f["b"] * f["c"])
-    return let(frame, lambda f: F.array(*[at(f, i, j) for i, j in ((-1, -1), (1, -1), (1, 1), (-1, 1))]))
+    a, b, c, s = lit(width) / 2, lit(height) / 2, F.cos(lit(radians)), F.sin(lit(radians))
+    return F.array(*[point(lit(cx) + i * a * c - j * b * s, lit(cy) + i * a * s + j * b * c) for i, j in ((-1, -1), (1, -1), (1, 1), (-1, 1))])
 
 
 def rect_polygon(x0: Number, y0: Number, x1: Number, y1: Number) -> Column:
@@ -80,7 +82,14 @@ def signed_area(poly: Column) -> Column:
 
 
 def area(poly: Column) -> Column:
-    return let(poly, lambda v: F.when(F.size(v) >= 3, F.abs(signed_area(v))).otherwise(0.0))
+    general = let(poly, lambda v: F.when(F.size(v) >= 3, F.abs(signed_area(v))).otherwise(0.0))
+    return F.when(F.size(poly) == 4, F.abs(quad_area(poly))).otherwise(general)
+
+
+def centre_of(poly: Column) -> Column:
+    """Mean of four corners."""
+    mean = lambda axis: sum(F.get(poly, F.lit(k))[axis] for k in range(1, 4)) + F.get(poly, F.lit(0))[axis]
+    return point(mean("x") / 4, mean("y") / 4)
 
 
 def vertex_mean(poly: Column) -> Column:
@@ -97,7 +106,13 @@ def centroid(poly: Column) -> Column:
         zero = F.struct(F.lit(0.0).alias("c"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
         return F.aggregate(terms, zero, lambda a, t: F.struct(*[(a[k] + t[k]).alias(k) for k in ("c", "x", "y")]))
 
-    return let(poly, lambda v: let(weighted(v), lambda t: F.when(F.abs(t["c"]) < 2e-12, vertex_mean(v)).otherwise(point(t["x"] / (3 * t["c"]), t["y"] / (3 * t["c"])))))
+    p = [(F.get(poly, F.lit(k))["x"], F.get(poly, F.lit(k))["y"]) for k in range(4)]
+    edges = [(a, b, a[0] * b[1] - b[0] * a[1]) for a, b in zip(p, p[1:] + p[:1], strict=True)]
+    whole = edges[0][2] + edges[1][2] + edges[2][2] + edges[3][2]
+    mean = [sum((e[0][axis] + e[1][axis]) * e[2] for e in edges) / (3 * whole) for axis in (0, 1)]
+    quad = F.when(F.abs(whole) < 2e-12, point((p[0][0] + p[1][0] + p[2][0] + p[3][0]) / 4, (p[0][1] + p[1][1] + p[2][1] + p[3][1]) / 4)).otherwise(point(*mean))
+    general = let(poly, lambda v: let(weighted(v), lambda t: F.when(F.abs(t["c"]) < 2e-12, vertex_mean(v)).otherwise(point(t["x"] / (3 * t["c"]), t["y"] / (3 * t["c"])))))
+    return F.when(F.size(poly) == 4, quad).otherwise(general)
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -166,15 +181,44 @@ def rect_iou(a: tuple, b: tuple) -> Column:
     return F.coalesce(F.try_divide(inter, rect_area(*a) + rect_area(*b) - inter), F.lit(0.0))
 
 
+def _quad_in_rect(poly: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Signed area of a quadrilateral inside a rectangle, without clipping: the sum over its edges of the
+    integral along x, within the rectangle, of the height clamped to it. Plain arithmetic of doubles."""
+    p = [(F.get(poly, F.lit(k))["x"], F.get(poly, F.lit(k))["y"]) for k in range(4)]
+    clamp = lambda v, a, b: F.least(F.greatest(v, a), b)
+    parts = []
+    for (px, py), (qx, qy) in zip(p, p[1:] + p[:1], strict=True):
+        left, right = clamp(px, x0, x1), clamp(qx, x0, x1)
+        slope = F.when(F.abs(qx - px) > 0, (qy - py) / (qx - px)).otherwise(0.0)
+        ya, yb = py + (left - px) * slope, py + (right - px) * slope
+        ca, cb = clamp(ya, y0, y1), clamp(yb, y0, y1)
+        # The mean height: of an edge that crosses a side, the part inside counts as it is, what lies above as y1.
+        straight = ((ca == ya) & (cb == yb)) | (F.abs(yb - ya) < 1e-6)
+        above = F.greatest(yb - y1, F.lit(0.0)) - F.greatest(ya - y1, F.lit(0.0))
+        height = F.when(straight, (ca + cb) / 2 - y0).otherwise(((cb - ca) * ((ca + cb) / 2 - y0) + above * (y1 - y0)) / (yb - ya))
+        parts.append((right - left) * height)
+    return parts[0] + parts[1] + parts[2] + parts[3]
+
+
+def quad_area(poly: Column) -> Column:
+    """Signed area of four corners, by its diagonals."""
+    at = lambda k, a: F.get(poly, F.lit(k))[a]
+    return ((at(0, "x") - at(2, "x")) * (at(1, "y") - at(3, "y")) - (at(1, "x") - at(3, "x")) * (at(0, "y") - at(2, "y"))) / 2
+
+
 def overlap_ratio(poly: Column, x0: Number, y0: Number, x1: Number, y1: Number) -> Column:
-    """Share of a polygon's area inside a rectangle; 0 if it has no area."""
-    return let(poly, lambda p: let(area(p), lambda a: F.when(a > 0, area(clip_rect(p, x0, y0, x1, y1)) / a).otherwise(0.0)))
+    """Share of a convex polygon's area inside a rectangle; 0 if it has no area."""
+    rect = [lit(v).cast("double") for v in (x0, y0, x1, y1)]
+    quad = F.greatest(F.least(F.coalesce(F.try_divide(F.abs(_quad_in_rect(poly, *rect)), F.abs(quad_area(poly))), F.lit(0.0)), F.lit(1.0)), F.lit(0.0))
+    other = let(poly, lambda p: let(area(p), lambda a: F.when(a > 0, area(clip_rect(p, *rect)) / a).otherwise(0.0)))
+    return F.when(F.size(poly) == 4, quad).otherwise(other)
 
 
 def overlaps(first: Column, second: Column) -> Column:
     """Struct of inter, a, b: areas of the intersection and of both convex quadrilaterals."""
-    both = F.struct(first.alias("p"), second.alias("q"))
-    return let(both, lambda w: F.struct(area(clip_convex(w["p"], w["q"])).alias("inter"), area(w["p"]).alias("a"), area(w["q"]).alias("b")))
+    from .kernels import overlaps as kernel
+
+    return kernel(first, second)
 
 
 def iou(first: Column, second: Column, eps: float = 1e-6) -> Column:
@@ -292,14 +336,9 @@ def project_to_tile(poly: Column, tile_x: Number, tile_y: Number, width: Number,
     """A parent polygon as a tile sees it: struct points, overlap, retained; null if it cannot fit.
     The box is rounded to two decimals before it is fitted, and retained is its kept share of area."""
 
-    def fitted(w: Column) -> Column:
-        box_area = lambda b: (b["x1"] - b["x0"]) * (b["y1"] - b["y0"])
-        done = lambda p: F.when(p.isNotNull(), F.struct(p.alias("points"), w["o"].alias("overlap"), F.try_divide(area(p), box_area(w["b"])).alias("retained")))
-        return F.when(w["b"].isNotNull() & (w["o"] > 0), let(truncate_box(w["b"], width, height), done))
+    from .kernels import project
 
-    local = F.transform(poly, lambda p: point(p["x"] - lit(tile_x), p["y"] - lit(tile_y)))
-    over = overlap_ratio(poly, tile_x, tile_y, lit(tile_x) + lit(width), lit(tile_y) + lit(height))
-    return let(F.struct(rotated_box(local).alias("b"), over.alias("o")), fitted)
+    return project(poly, lit(tile_x), lit(tile_y), lit(width), lit(height))
 
 
 def tile_margin(poly: Column, width: Number, height: Number) -> Column:

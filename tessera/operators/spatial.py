@@ -32,18 +32,20 @@ def fit_pairs(expected: DataFrame, labels: DataFrame, how: str, policy: Policy =
     tile whose envelopes meet theirs: the label's columns prefixed by l_, iou and fits.
 
     A label fits if IoU or intersection over the smaller is high, the centres are near and the areas
-    similar."""
+    similar. iou is 0 for pairs that are too far apart or too unlike in area to fit."""
     lab = with_bounds(labels.select(*[F.col(c).alias(f"l_{c}") for c in labels.columns]), "l_poly", "l_")
     meet = (F.col("x0") <= F.col("l_x1")) & (F.col("l_x0") <= F.col("x1")) & (F.col("y0") <= F.col("l_y1")) & (F.col("l_y0") <= F.col("y1"))
     pairs = expected.join(lab, (F.col("tile_key") == F.col("l_tile_key")) & meet, how)
-    measured = F.when(F.col("l_poly").isNotNull(), F.struct(g.overlaps(F.col("poly"), F.col("l_poly")).alias("o"), g.centroid_distance(F.col("poly"), F.col("l_poly")).alias("d")))
-    pairs = g.once(pairs, "_m", measured)
-    o = F.col("_m.o")
+    # Distance and areas are cheap; only pairs that pass them are clipped.
+    cheap = F.struct(g.centroid_distance(F.col("poly"), F.col("l_poly")).alias("d"), F.try_divide(g.area(F.col("l_poly")), g.area(F.col("poly"))).alias("r"))
+    pairs = g.once(pairs, "_m", cheap)
+    able = F.coalesce((F.col("_m.d") <= policy.centroid) & F.col("_m.r").between(*policy.area_ratio), F.lit(False))
+    pairs = pairs.withColumn("_o", g.overlaps(F.when(able, F.col("poly")), F.when(able, F.col("l_poly"))))
+    o = F.col("_o")
     iou = F.coalesce(F.try_divide(o["inter"], o["a"] + o["b"] - o["inter"]), F.lit(0.0))
     smaller = F.coalesce(F.try_divide(o["inter"], F.least(o["a"], o["b"])), F.lit(0.0))
-    ratio = F.coalesce(F.try_divide(o["b"], o["a"]), F.lit(0.0))
-    fits = ((iou >= policy.match_iou) | (smaller >= policy.match_ios)) & (F.col("_m.d") <= policy.centroid) & ratio.between(*policy.area_ratio)
-    return pairs.withColumns({"iou": iou, "fits": F.coalesce(fits, F.lit(False))}).drop("_m")
+    fits = able & ((iou >= policy.match_iou) | (smaller >= policy.match_ios))
+    return pairs.withColumns({"iou": iou, "fits": F.coalesce(fits, F.lit(False))}).drop("_m", "_o")
 
 
 def best_match(expected: DataFrame, labels: DataFrame, key: list[str], policy: Policy = DEFAULT) -> DataFrame:
@@ -55,16 +57,26 @@ def best_match(expected: DataFrame, labels: DataFrame, key: list[str], policy: P
     return best.select(*key, "tile_key", (-F.col("m.line")).alias("line"), F.col("m.iou").alias("iou"))
 
 
+def fitted_projections(seen: DataFrame) -> DataFrame:
+    """Boxes in tiles (poly in parent pixels, tile rectangle) with the rectangle that the tile would
+    hold of each as poly, in parent pixels too; boxes of which none fits have no row."""
+    fitted = seen.withColumn("_j", g.project_to_tile(F.col("poly"), F.col("tile_x"), F.col("tile_y"), F.col("tile_width"), F.col("tile_height"))).filter("_j IS NOT NULL")
+    back = F.transform("_j.points", lambda v: g.point(v["x"] + F.col("tile_x"), v["y"] + F.col("tile_y")))
+    return fitted.withColumn("poly", back).drop("_j")
+
+
 def coverage_status(obbs: DataFrame, tiles: DataFrame, labels: DataFrame, removed: DataFrame, ledger: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     """One row per box: instance_id, counts of its tiles by outcome, status and severity.
 
     A tile is expected to show a box of which enough is visible. Each expected tile is matched by a
-    label, else filtered (a removed label fits), else suppressed (in the ledger), else missing; the
+    label (that fits the box, or the rectangle that the tile would hold of it), else filtered (a removed label fits), else suppressed (in the ledger), else missing; the
     status follows from these in the order of the cases below.
     """
     seen = visible_tiles(obbs, tiles).filter(F.col("visible") >= policy.min_overlap)
     all_labels = labels.select("tile_key", "poly", F.lit(False).alias("gone")).unionByName(removed.select("tile_key", "poly", F.lit(True).alias("gone")))
-    pairs = fit_pairs(seen.select("instance_id", "tile_key", "tile_source", "visible", "poly", "x0", "y0", "x1", "y1"), all_labels, "left", policy)
+    # A box is compared as it is and, should it stick out of the tile, as the tile would hold it.
+    forms = seen.select("instance_id", "tile_key", "tile_source", "visible", "poly").unionByName(fitted_projections(seen.filter(F.col("visible") < 1)).select("instance_id", "tile_key", "tile_source", "visible", "poly"))
+    pairs = fit_pairs(with_bounds(forms), all_labels, "left", policy)
     cases = pairs.groupBy("instance_id", "tile_key").agg(F.first("tile_source").alias("tile_source"), (F.first("visible") < policy.min_visible).alias("fragment"), F.max(F.col("fits") & ~F.col("l_gone")).alias("is_matched"), F.max(F.col("fits") & F.col("l_gone")).alias("is_removed"))
     cases = cases.join(ledger.select("instance_id", "tile_key", F.lit(True).alias("is_listed")).distinct(), ["instance_id", "tile_key"], "left")
     outcome = F.when(F.col("fragment"), "fragment").when(F.col("is_matched"), "matched").when(F.col("is_removed"), "filtered").when(F.col("is_listed"), "suppressed").otherwise("missing")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import parsing as p
-from ..operators import greedy, reports, spatial, tiles
+from ..operators import audit, greedy, reports, spatial, tiles
 from ..policy import Policy
 from . import check_sql as q
 from . import views as v
@@ -48,7 +48,7 @@ def visible_fraction(spark, d):
     return spatial.visible_tiles(v.boxes(spark, d), v.all_tiles(spark, d)).select("instance_id", "tile_key", r4(F.col("visible")).alias("visible"))
 
 
-_NEAR = "a.group_key = b.group_key AND a.p % 5 = 0 AND b.p % 5 = 0 AND a.instance_id < b.instance_id AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1"
+_NEAR = "a.group_key = b.group_key AND a.instance_id < b.instance_id AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1"
 _OVERLAP = q.clipped(f"(SELECT a.instance_id AS first, b.instance_id AS second, a.poly AS pa, b.poly AS pb, a.w * a.h AS sa, b.w * b.h AS sb FROM bounded a JOIN bounded b ON {_NEAR})", "pa", q.quad_planes("pb"))
 
 
@@ -70,9 +70,9 @@ def ios_centroid(spark, d):
     return pairs.select(F.col("instance_id").alias("first"), F.col("r_instance_id").alias("second"), r4(g.intersection_over_smaller(F.col("poly"), F.col("r_poly"))).alias("ios"), g.round_half_up(g.centroid_distance(F.col("poly"), F.col("r_poly")), 3).alias("apart"))
 
 
-def _matches(source: str, key: str) -> str:
-    """Checking SQL of the best label for each expected polygon."""
-    pairs = f"""(SELECT e.instance_id, e.tile_key, l.line, e.poly AS pa, l.poly AS pb, e.w * e.h AS sa, {q.poly_area('l.poly')} AS sb FROM expected e JOIN {source} l ON l.tile_key = e.tile_key
+def _matches(source: str, key: str, forms: str = "expected") -> str:
+    """Checking SQL of the best label for each expected polygon of `forms`."""
+    pairs = f"""(SELECT e.instance_id, e.tile_key, l.line, e.poly AS pa, l.poly AS pb, {q.poly_area('e.poly')} AS sa, {q.poly_area('l.poly')} AS sb FROM {forms} e JOIN {source} l ON l.tile_key = e.tile_key
         AND e.x0 <= {q.high('l.poly', 'x')} AND {q.low('l.poly', 'x')} <= e.x1 AND e.y0 <= {q.high('l.poly', 'y')} AND {q.low('l.poly', 'y')} <= e.y1)"""
     apart = f"sqrt(({q.centre('pa', 'x')} - {q.centre('pb', 'x')}) ** 2 + ({q.centre('pa', 'y')} - {q.centre('pb', 'y')}) ** 2)"
     return f"""{key}_o AS (SELECT *, {q.poly_area('clip')} AS inter FROM ({q.clipped(pairs, 'pa', q.quad_planes('pb'))})),
@@ -82,6 +82,9 @@ def _matches(source: str, key: str) -> str:
 
 
 _EXPECTED = "expected AS (SELECT * FROM seen WHERE visible >= 0.5)"
+#: Expected boxes as they are, and as the tile would hold those that stick out of it.
+_FORMS = f"""forms AS (SELECT instance_id, tile_key, poly, x0, y0, x1, y1 FROM expected UNION ALL SELECT instance_id, tile_key, poly, {q.low('poly', 'x')}, {q.low('poly', 'y')}, {q.high('poly', 'x')}, {q.high('poly', 'y')}
+    FROM (SELECT instance_id, tile_key, list_transform(fit, lambda c: {{'x': c.x + tile_x, 'y': c.y + tile_y}}) AS poly FROM ({q.truncated('(SELECT * FROM expected WHERE visible < 1)')}) WHERE fit IS NOT NULL))"""
 
 
 @query(f"{v.base('labels')}, {_EXPECTED}, {_matches('labelled', 'matched')} SELECT instance_id, tile_key, line, {q.half_up('iou', 4)} AS iou FROM matched")
@@ -90,8 +93,8 @@ def best_label_match(spark, d):
     return spatial.best_match(expected, v.labels(spark, d), ["instance_id"]).select("instance_id", "tile_key", "line", r4(F.col("iou")).alias("iou"))
 
 
-_CASCADE = f"""{v.base('labels')}, {_EXPECTED}, {_matches('labelled', 'matched')},
-    gone_in AS (SELECT tile_key, o * 1000 + n AS line, poly FROM seen WHERE visible >= 0.5 AND p % 13 = 0), {_matches('gone_in', 'gone')},
+_CASCADE = f"""{v.base('labels')}, {_EXPECTED}, {_FORMS}, {_matches('labelled', 'matched', 'forms')},
+    gone_in AS (SELECT tile_key, o * 1000 + n AS line, poly FROM seen WHERE visible >= 0.5 AND p % 13 = 0), {_matches('gone_in', 'gone', 'forms')},
     outcomes AS (SELECT e.instance_id, e.tile_source, CASE WHEN m.line IS NOT NULL THEN 'matched' WHEN x.line IS NOT NULL THEN 'filtered' WHEN e.p % 22 = 0 THEN 'suppressed' ELSE 'missing' END AS outcome
         FROM expected e LEFT JOIN matched m USING (instance_id, tile_key) LEFT JOIN gone x USING (instance_id, tile_key)),
     boxes_s AS (SELECT instance_id, count(*) AS expected, count(*) FILTER (outcome = 'matched') AS matched, count(*) FILTER (outcome = 'filtered') AS filtered,
@@ -119,7 +122,7 @@ def coverage_status(spark, d):
     return _coverage(spark, d).groupBy("status", "severity").agg(F.count("*").alias("n"))
 
 
-_SPARSE = f"sparse AS (SELECT *, {q.low('poly', 'x')} AS x0, {q.low('poly', 'y')} AS y0, {q.high('poly', 'x')} AS x1, {q.high('poly', 'y')} AS y1, count(*) OVER (PARTITION BY tile_key) AS size FROM labelled WHERE p % 6 = 0)"
+_SPARSE = f"sparse AS (SELECT *, {q.low('poly', 'x')} AS x0, {q.low('poly', 'y')} AS y0, {q.high('poly', 'x')} AS x1, {q.high('poly', 'y')} AS y1, count(*) OVER (PARTITION BY tile_key) AS size FROM labelled)"
 _CENTRES = " + ".join(f"({q.centre('a.poly', x)} - {q.centre('b.poly', x)}) ** 2" for x in "xy")
 _SPARSE_PAIRS = f"(SELECT a.tile_key, a.line AS first, b.line AS second, a.size AS size, a.poly AS pa, b.poly AS pb, sqrt({_CENTRES}) AS apart, a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1 AS meet FROM sparse a JOIN sparse b ON a.tile_key = b.tile_key AND a.line < b.line AND a.size <= 80 AND abs(a.x0 - b.x0) < 200 AND abs(a.y0 - b.y0) < 200)"
 
@@ -133,13 +136,16 @@ def dup_labels_bucketed(spark, d):
     return spatial.label_pairs(v.labels(spark, d))
 
 
-@query(f"""{v.base('labels')} SELECT tile_key, line, {q.half_up('least(w, h)', 3)} AS min_side, least(w, h) < 11.75 AS is_tiny,
+_SIDES = "list_min(list_transform(range(1, 5), lambda i: sqrt((l.poly[i].x - l.poly[i % 4 + 1].x) ** 2 + (l.poly[i].y - l.poly[i % 4 + 1].y) ** 2)))"
+
+
+@query(f"""{v.base('labels')} SELECT tile_key, line, {q.half_up('side', 3)} AS min_side, side < 11.73 AS is_tiny,
     lx0 <= 3 OR ly0 <= 3 OR lx1 >= 1021 OR ly1 >= 1021 AS touches_boundary FROM (
-    SELECT l.tile_key, line, b.w, b.h, {q.low('l.poly', 'x')} - tile_x AS lx0, {q.low('l.poly', 'y')} - tile_y AS ly0, {q.high('l.poly', 'x')} - tile_x AS lx1, {q.high('l.poly', 'y')} - tile_y AS ly1
-    FROM labelled l JOIN obbs b USING (instance_id) WHERE l.p % 6 = 0)""")
+    SELECT l.tile_key, line, {_SIDES} AS side, {q.low('l.poly', 'x')} - tile_x AS lx0, {q.low('l.poly', 'y')} - tile_y AS ly0, {q.high('l.poly', 'x')} - tile_x AS lx1, {q.high('l.poly', 'y')} - tile_y AS ly1
+    FROM labelled l)""")
 def label_flags(spark, d):
     local = F.transform("poly", lambda a: g.point(a["x"] - F.col("tile_x"), a["y"] - F.col("tile_y")))
-    flags = spatial.label_flags(v.labels(spark, d).withColumn("poly", local), Policy(small_side=11.75))
+    flags = spatial.label_flags(v.labels(spark, d).withColumn("poly", local), Policy(small_side=11.73))
     return flags.select("tile_key", "line", g.round_half_up(F.col("min_side"), 3).alias("min_side"), "is_tiny", "touches_boundary")
 
 
@@ -174,7 +180,7 @@ def canonical_tile(spark, d):
     return tiles.canonical_tiles(both, ["group_key", "tile_x", "tile_y"], "kind", "name", "split").select("group_key", "tile_x", "tile_y", "name")
 
 
-@query(f"""{v.base('boxes')}, raw AS (SELECT *, unnest([{{'x': (x0 + x1) / 2 - 512, 'y': (y0 + y1) / 2 - 512}}, {{'x': x0, 'y': y0}}, {{'x': x1 - 1024, 'y': y0}}, {{'x': x0, 'y': y1 - 1024}}, {{'x': x1 - 1024, 'y': y1 - 1024}}]) AS c FROM bounded WHERE p % 4 = 0),
+@query(f"""{v.base('boxes')}, raw AS (SELECT *, unnest([{{'x': (x0 + x1) / 2 - 512, 'y': (y0 + y1) / 2 - 512}}, {{'x': x0, 'y': y0}}, {{'x': x1 - 1024, 'y': y0}}, {{'x': x0, 'y': y1 - 1024}}, {{'x': x1 - 1024, 'y': y1 - 1024}}]) AS c FROM bounded),
     origins AS (SELECT DISTINCT instance_id, poly, w * h AS size, greatest(0, least(CAST(round_even(c.x, 0) AS BIGINT), parent_width - 1024)) AS x, greatest(0, least(CAST(round_even(c.y, 0) AS BIGINT), parent_height - 1024)) AS y FROM raw),
     kept AS (SELECT *, {q.half_up(f"{q.poly_area('clip')} / size", 6)} AS retained FROM ({q.clipped('origins', 'poly', q.rect_planes('x', 'y', 'x + 1024', 'y + 1024'))}))
     SELECT instance_id, x, y, {q.half_up('retained', 4)} AS retained FROM (SELECT *, row_number() OVER (PARTITION BY instance_id ORDER BY retained DESC, y, x) AS rn FROM kept) WHERE rn = 1 AND retained >= 0.25""")
@@ -182,17 +188,17 @@ def recovery_origin(spark, d):
     return tiles.choose_recovery_origin(v.boxes(spark, d), "instance_id").select("instance_id", "x", "y", r4(F.col("retained")).alias("retained"))
 
 
-@query(f"""{v.base('seen')}, windows AS (SELECT t.group_key, t.tile_key, t.tile_x + 200 * k.k AS x, t.tile_y AS y, t.tile_key || '_' || k.k AS name FROM tiles t, (SELECT unnest([0, 1]) AS k) k WHERE t.tile_x + 200 * k.k + 1024 <= t.width),
-    covered AS (SELECT w.group_key, w.name, w.x, w.y, coalesce(list(b.instance_id) FILTER (b.instance_id IS NOT NULL), []) AS ids FROM windows w LEFT JOIN bounded b ON b.group_key = w.group_key AND b.p % 40 = 0 AND b.x0 >= w.x AND b.x1 <= w.x + 1024 AND b.y0 >= w.y AND b.y1 <= w.y + 1024 GROUP BY ALL),
+@query(f"""{v.base('seen')}, windows AS (SELECT t.group_key, t.tile_key, t.tile_x + 8 * k.k AS x, t.tile_y AS y, t.tile_key || '_' || k.k AS name FROM tiles t, (SELECT unnest([0, 1]) AS k) k WHERE t.tile_x + 8 * k.k + 1024 <= t.width),
+    covered AS (SELECT w.group_key, w.name, w.x, w.y, coalesce(list(b.instance_id) FILTER (b.instance_id IS NOT NULL), []) AS ids FROM windows w LEFT JOIN bounded b ON b.group_key = w.group_key AND b.x0 >= w.x AND b.x1 <= w.x + 1024 AND b.y0 >= w.y AND b.y1 <= w.y + 1024 GROUP BY ALL),
     paired AS (SELECT a.group_key, a.name AS first, b.name AS second, a.ids AS ia, b.ids AS ib, greatest(0, 1024 - abs(a.x - b.x)) * greatest(0, 1024 - abs(a.y - b.y)) AS inter FROM covered a JOIN covered b ON a.group_key = b.group_key AND a.name < b.name)
-    SELECT group_key, first, second, {q.half_up('inter / (2 * 1024.0 * 1024.0 - inter)', 4)} AS iou FROM paired WHERE {q.half_up('inter / (2 * 1024.0 * 1024.0 - inter)', 4)} >= 0.6 AND (list_has_all(ia, ib) OR list_has_all(ib, ia))""")
+    SELECT group_key, first, second, {q.half_up('inter / (2 * 1024.0 * 1024.0 - inter)', 4)} AS iou FROM paired WHERE {q.half_up('inter / (2 * 1024.0 * 1024.0 - inter)', 4)} >= 0.7 AND (list_has_all(ia, ib) OR list_has_all(ib, ia))""")
 def redundant_windows(spark, d):
-    t = v.all_tiles(spark, d).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("tile_x", F.col("tile_x") + 200 * F.col("k")).filter("tile_x + 1024 <= width")
+    t = v.all_tiles(spark, d).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("tile_x", F.col("tile_x") + 8 * F.col("k")).filter("tile_x + 1024 <= width")
     t = t.select("group_key", F.concat_ws("_", "tile_key", "k").alias("tile_key"), "tile_x", "tile_y", "tile_width", "tile_height")
     b = v.boxes(spark, d).select(F.col("group_key").alias("_g"), "instance_id", "x0", "y0", "x1", "y1")
     inside = (F.col("x0") >= F.col("tile_x")) & (F.col("x1") <= F.col("tile_x") + 1024) & (F.col("y0") >= F.col("tile_y")) & (F.col("y1") <= F.col("tile_y") + 1024)
     covered = t.join(b, (F.col("group_key") == F.col("_g")) & inside, "left").groupBy(*t.columns).agg(F.collect_list("instance_id").alias("covered"))
-    return spatial.redundant_windows(covered, Policy(redundant_window_iou=0.6))
+    return spatial.redundant_windows(covered)
 
 
 @query(f"""{v.base('boxes')} SELECT instance_id, CASE WHEN small_a OR small_b THEN 'threshold_' || concat_ws('_and_', CASE WHEN small_a THEN 'area' END, CASE WHEN small_b THEN 'short_side' END) || ':' || concat_ws('+', CASE WHEN dataset = 'xview' THEN 'xview_aggressive' END, CASE qa_tag WHEN 'small' THEN 'aggressive' WHEN 'low' THEN 'low_aggressive' END) END AS reason FROM (
@@ -241,11 +247,15 @@ def metadata_checks(spark, d):
     return reports.metadata_checks(recs, v.parents(spark, d).filter("s % 7 <> 6"))
 
 
-@query()
+@query(f"""{v.base('seen')} SELECT instance_id, tile_key, {q.half_up(f"{q.poly_area('fit')} / (t_w * t_h)", 4)} AS retained, {', '.join(f"{q.half_up(f(x), 2)} AS {n}{x}" for x in 'xy' for n, f in (('low_', lambda x: q.low('fit', x)), ('high_', lambda x: q.high('fit', x)), ('mean_', lambda x: q.centre('fit', x))))}
+    FROM ({q.truncated('(SELECT * FROM seen WHERE visible >= 0.5)')}) WHERE fit IS NOT NULL""")
 def project_to_tile(spark, d):
+    """Envelope and middle of the corners: the rectangle may start at any corner."""
     seen = spatial.visible_tiles(v.boxes(spark, d), v.all_tiles(spark, d)).filter("visible >= 0.5")
-    done = seen.withColumn("j", g.project_to_tile(F.col("poly"), F.col("tile_x"), F.col("tile_y"), F.col("tile_width"), F.col("tile_height")))
-    return done.select("instance_id", "tile_key", r4(F.col("j.retained")).alias("retained"), p.points_to_text(F.col("j.points")).alias("points"))
+    done = seen.withColumn("j", g.project_to_tile(F.col("poly"), F.col("tile_x"), F.col("tile_y"), F.col("tile_width"), F.col("tile_height"))).filter("j IS NOT NULL")
+    done = done.withColumn("b", g.bounds(F.col("j.points"))).withColumn("m", g.centre_of(F.col("j.points")))
+    r2 = lambda c: g.round_half_up(F.col(c), 2)
+    return done.select("instance_id", "tile_key", r4(F.col("j.retained")).alias("retained"), *[r2(f"b.{a}{k}").alias(f"{n}{a}") for a in "xy" for n, k in (("low_", 0), ("high_", 1))], *[r2(f"m.{a}").alias(f"mean_{a}") for a in "xy"])
 
 
 @query(f"""{v.base('labels')}, numbered AS (SELECT tile_key, line, row_number() OVER (PARTITION BY tile_key, p ORDER BY line) AS rn FROM labelled) SELECT tile_key, line FROM numbered WHERE rn = 1""")
@@ -282,3 +292,46 @@ def audit_readiness(spark, d):
     SELECT instance_id, issue_type AS bucket, CAST(turn AS INT) AS turn FROM turns WHERE turn <= 40 ORDER BY turn, issue_type LIMIT 40""")
 def preview_round_robin(spark, d):
     return reports.round_robin(_issues(spark, d), F.col("issue_type"), [F.col("group_key"), F.col("instance_id")], 40).select("instance_id", "bucket", "turn")
+
+
+_ROI_SQL = f"""cut AS (SELECT p.*, [0, round_even(width / 3.0, 0), round_even(width * 2 / 3.0, 0), width] AS X, [0, round_even(height / 3.0, 0), round_even(height * 2 / 3.0, 0), height] AS Y FROM parents p WHERE dataset IN ('dota', 'xview')),
+    cells AS (SELECT group_key, parent_id, X[c + 1] AS a0, Y[r + 1] AS b0, X[c + 2] AS a1, Y[r + 2] AS b1 FROM cut, (SELECT CAST(unnest(range(0, 3)) AS INT) AS c), (SELECT CAST(unnest(range(0, 3)) AS INT) AS r) WHERE (grid_mask >> ((2 - r) * 3 + c)) & 1 = 1),
+    near_cell AS (SELECT b.instance_id, b.poly, b.cx >= a0 AND b.cx < a1 AND b.cy >= b0 AND b.cy < b1 AS centre, k.a0, k.b0, k.a1, k.b1 FROM bounded b JOIN cells k ON k.group_key = b.group_key AND b.x1 >= a0 AND b.x0 <= a1 AND b.y1 >= b0 AND b.y0 <= b1),
+    parts AS MATERIALIZED ({q.clipped('near_cell', 'poly', q.rect_planes('a0', 'b0', 'a1', 'b1'))}), shares AS (SELECT instance_id, centre, {q.poly_area('clip')} AS part FROM parts),
+    touched AS (SELECT instance_id, bool_or(centre) AS centre, bool_or(part > 1e-6) AS inside FROM shares GROUP BY instance_id),
+    where_is AS (SELECT o.instance_id, p.parent_id, o.group_key, coalesce(centre, false) AS centre, coalesce(inside, false) AS inside FROM obbs o JOIN (SELECT DISTINCT group_key, parent_id FROM cells) p ON p.group_key = o.group_key LEFT JOIN touched t ON t.instance_id = o.instance_id),
+    tile_share AS (SELECT t.tile_key, t.group_key, any_value(t.tile_source) AS tile_source, sum(greatest(0, least(tile_x + 1024, a1) - greatest(tile_x, a0)) * greatest(0, least(tile_y + 1024, b1) - greatest(tile_y, b0))) / (1024.0 * 1024.0) AS share FROM tiles t JOIN cells k ON k.group_key = t.group_key GROUP BY ALL)"""
+_STRICT = ("P0003", "P0009", "P0019", "P0039")
+
+
+@query(f"""{_CASCADE}, {_ROI_SQL}, found AS (SELECT CASE WHEN NOT centre AND status IN ('uncovered_by_any_tile', 'covered_but_clipped_below_threshold') THEN CASE WHEN parent_id IN {_STRICT} THEN 'intentional_strict_roi_exclusion' ELSE 'possible_roi_grid_exclusion' END
+        WHEN NOT centre AND inside THEN 'roi_boundary_object' END AS issue_type, group_key, instance_id, NULL AS tile_key FROM where_is JOIN judged USING (instance_id)
+    UNION ALL SELECT 'tile_below_roi_threshold', group_key, NULL, tile_key FROM tile_share WHERE share < 0.25 AND tile_source <> 'annotation_recovery')
+    SELECT *, CASE issue_type WHEN 'intentional_strict_roi_exclusion' THEN 'low' WHEN 'roi_boundary_object' THEN NULL ELSE 'medium' END AS severity FROM found WHERE issue_type IS NOT NULL""")
+def roi_risk(spark, d):
+    return audit.roi_risk(v.boxes(spark, d), v.all_tiles(spark, d), _coverage(spark, d), v.parents(spark, d), list(_STRICT))
+
+
+_RECOVERY = f"""{v.base('labels')}, mine AS (SELECT * FROM tiles WHERE tile_source = 'annotation_recovery'),
+    meta AS (SELECT m.tile_key, list(b.instance_id) FILTER (b.instance_id IS NOT NULL) AS covered FROM mine m LEFT JOIN bounded b ON b.group_key = m.group_key AND b.x0 >= m.tile_x AND b.x1 <= m.tile_x + 1024 AND b.y0 >= m.tile_y AND b.y1 <= m.tile_y + 1024 WHERE m.s % 5 <> 0 GROUP BY m.tile_key),
+    seen_in AS (SELECT tile_key, group_key, unnest(covered) AS other FROM meta JOIN mine USING (tile_key))"""
+
+
+@query(f"""{_RECOVERY}, found AS (SELECT 'recovery_tile_missing_metadata' AS issue_type, group_key, tile_key, NULL AS other, 'high' AS severity FROM mine WHERE s % 5 = 0
+    UNION ALL SELECT 'recovery_tile_missing_plan', group_key, tile_key, NULL, 'medium' FROM mine WHERE s % 5 <> 0 AND (s + row) % 4 = 0
+    UNION ALL SELECT 'zero_label_recovery_tile', group_key, tile_key, NULL, 'medium' FROM mine WHERE s % 5 <> 0 AND tile_key NOT IN (SELECT tile_key FROM labelled WHERE line % 3 = 0)
+    UNION ALL SELECT 'recovery_instance_covered_by_multiple_windows', first(group_key ORDER BY tile_key), min(tile_key), other, 'medium' FROM seen_in GROUP BY other HAVING count(*) > 1)
+    SELECT * FROM found""")
+def recovery_effectiveness(spark, d):
+    t = v.all_tiles(spark, d)
+    mine = t.filter("tile_source = 'annotation_recovery'")
+    b = v.boxes(spark, d).select(F.col("group_key").alias("_g"), "instance_id", "x0", "y0", "x1", "y1")
+    inside = (F.col("group_key") == F.col("_g")) & (F.col("x0") >= F.col("tile_x")) & (F.col("x1") <= F.col("tile_x") + 1024) & (F.col("y0") >= F.col("tile_y")) & (F.col("y1") <= F.col("tile_y") + 1024)
+    metadata = mine.filter("s % 5 <> 0").join(b, inside, "left").groupBy("tile_key").agg(F.collect_list("instance_id").alias("covered"))
+    plans = mine.filter("(s + row) % 4 <> 0").select("group_key", "tile_x", "tile_y", "tile_width", "tile_height")
+    return audit.recovery_effectiveness(t, v.labels(spark, d).filter("line % 3 = 0"), metadata, plans)
+
+
+@query(f"{_CASCADE}, {_FINDINGS} SELECT issue_type, severity, count(*) AS n FROM issues GROUP BY ALL")
+def fix_plan(spark, d):
+    return audit.fix_plan(_issues(spark, d))

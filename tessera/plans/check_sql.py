@@ -72,3 +72,28 @@ def box_iou(a: str, b: str) -> str:
     inter = f"(greatest(least({a}.x1, {b}.x1) - greatest({a}.x0, {b}.x0), 0) * greatest(least({a}.y1, {b}.y1) - greatest({a}.y0, {b}.y0), 0))"
     size = lambda r: f"(({r}.x1 - {r}.x0) * ({r}.y1 - {r}.y0))"
     return f"coalesce({inter} / nullif({size(a)} + {size(b)} - {inter}, 0), 0)"
+
+
+def truncated(source: str, out: str = "fit", size: int = 1024) -> str:
+    """A subquery over `source` (cx, cy, w, h, rot of a box, w >= h, and tile_x, tile_y) with the corners
+    that a tile would hold of the box, in tile pixels, as one more column; null if none fits."""
+    most = size - 1
+    text = f"SELECT *, {half_up('cx - tile_x - w / 2', 2)} AS t_x0, {half_up('cx - tile_x + w / 2', 2)} AS t_x1, {half_up('cy - tile_y - h / 2', 2)} AS t_y0, {half_up('cy - tile_y + h / 2', 2)} AS t_y1 FROM {source}"
+    text = f"SELECT *, {ring('((t_x0 + t_x1) / 2)', '((t_y0 + t_y1) / 2)', '(t_x1 - t_x0)', '(t_y1 - t_y0)', 'rot')} AS t_p, cos(radians(rot)) AS t_c, sin(radians(rot)) AS t_s, t_x1 - t_x0 AS t_w, t_y1 - t_y0 AS t_h FROM ({text})"
+    reach = lambda base, step: f"(CASE WHEN {step} > 1e-12 THEN ({most} - {base}) / ({step}) WHEN {step} < -1e-12 THEN -({base}) / ({step}) ELSE 1e300 END)"
+    sides = {(0, -1): ((0, 3), (1, 2), "t_c", "t_s", "t_w"), (0, 1): ((1, 2), (0, 3), "(-t_c)", "(-t_s)", "t_w"), (1, -1): ((0, 1), (3, 2), "(-t_s)", "t_c", "t_h"), (1, 1): ((3, 2), (0, 1), "t_s", "(-t_c)", "t_h")}
+    at = lambda k, axis: f"t_p[{k + 1}].{axis}"
+    ends = [", ".join(f"{reach(at(k, a), d)}" for k in kept for a, d in (("x", dx), ("y", dy))) for kept, _, dx, dy, _ in sides.values()]
+    text = "SELECT *, " + ", ".join(f"least({s[4]}, {e}) AS t_n{i}" for i, (s, e) in enumerate(zip(sides.values(), ends, strict=True))) + f" FROM ({text})"
+    rings = []
+    for i, (kept, far, dx, dy, _) in enumerate(sides.values()):
+        corner = {k: f"{{'x': {at(k, 'x')}, 'y': {at(k, 'y')}}}" for k in kept} | {f: f"{{'x': {at(k, 'x')} + t_n{i} * {dx}, 'y': {at(k, 'y')} + t_n{i} * {dy}}}" for k, f in zip(kept, far, strict=True)}
+        rings.append(f"[{', '.join(corner[k] for k in range(4))}] AS t_r{i}")
+    text = f"SELECT *, {', '.join(rings)} FROM ({text})"
+    inside = lambda p: f"({low(p, 'x')} >= -1e-6 AND {high(p, 'x')} <= {most + 1e-6} AND {low(p, 'y')} >= -1e-6 AND {high(p, 'y')} <= {most + 1e-6})"
+    over = lambda a: f"list_sum(list_transform(t_p, lambda v: greatest(-v.{a}, 0) + greatest(v.{a} - {most}, 0)))"
+    values = [f"CASE WHEN t_n{i} > 0 AND {inside(f't_r{i}')} THEN t_n{i} / {s[4]} + CASE WHEN ({over('x')} >= {over('y')}) = ({'true' if axis == 0 else 'false'}) THEN 0.05 ELSE 0 END ELSE -1 END AS t_v{i}" for i, ((axis, _), s) in enumerate(sides.items())]
+    text = f"SELECT *, {inside('t_p')} AS t_whole, {', '.join(values)} FROM ({text})"
+    best = "greatest(t_v0, t_v1, t_v2, t_v3)"
+    chosen = "CASE WHEN t_whole THEN t_p " + " ".join(f"WHEN {best} > 0 AND t_v{i} = {best} THEN t_r{i}" for i in range(4)) + " END"
+    return f"SELECT * EXCLUDE ({', '.join(f't_{k}{i}' for k in 'nrv' for i in range(4))}, t_whole, t_p, t_c, t_s, t_x0, t_x1, t_y0, t_y1), {chosen} AS {out} FROM ({text})"

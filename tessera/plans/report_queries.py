@@ -94,7 +94,7 @@ def dir_rollup(spark, d):
     return reports.path_rollup(files, "path", "size")
 
 
-@query("SELECT n_chars, source, count(*) AS copies, count(DISTINCT CASE WHEN strlen(text) <= 4000 THEN sha256(text) END) AS contents FROM documents GROUP BY ALL HAVING count(*) > 1")
+@query("SELECT n_chars, source, count(*) AS copies, count(DISTINCT CASE WHEN strlen(text) <= 10485760 THEN sha256(text) END) AS contents FROM documents GROUP BY ALL HAVING count(*) > 1")
 def dup_candidates(spark, d):
     return reports.duplicate_files(table(spark, d, "documents"), ["n_chars", "source"], "text", 10 * 1024 * 1024)
 
@@ -110,7 +110,7 @@ def secret_scan(spark, d):
 _STEM = "'im' || (l_partkey % 40)"
 
 
-@query(f"SELECT l_returnflag AS dataset, k, 'x' || l_returnflag AS u0, CASE WHEN rn = 1 THEN l_returnflag || '__' || stem ELSE l_returnflag || '__' || stem || '__' || rn END AS unique_stem FROM (SELECT l_returnflag, {_STEM} AS stem, l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS k, row_number() OVER (PARTITION BY l_returnflag, {_STEM} ORDER BY l_orderkey * 1000000 + l_partkey * 10 + l_linenumber, l_suppkey, l_extendedprice) AS rn FROM lineitem WHERE l_partkey % 5 = 0)")
+@query(f"SELECT l_returnflag AS dataset, k, 'x' || l_returnflag AS u0, CASE WHEN rn = 1 THEN l_returnflag || '__' || stem ELSE l_returnflag || '__' || stem || '__' || rn END AS unique_stem FROM (SELECT l_returnflag, {_STEM} AS stem, l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS k, row_number() OVER (PARTITION BY l_returnflag, {_STEM} ORDER BY l_orderkey * 1000000 + l_partkey * 10 + l_linenumber, l_suppkey, l_extendedprice) AS rn FROM lineitem)")
 def unique_stems(spark, d):
     rows = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("dataset"), F.expr(_STEM.replace("(l_partkey % 40)", "CAST(l_partkey % 40 AS STRING)")).alias("stem"), F.expr("l_orderkey * 1000000 + l_partkey * 10 + l_linenumber").alias("k"), F.struct(F.expr("l_orderkey * 1000000 + l_partkey * 10 + l_linenumber"), "l_suppkey", "l_extendedprice").alias("order"))
     return reports.unique_stems(rows, "dataset", "stem", "order").select("dataset", "k", F.concat(F.lit("x"), "dataset").alias("u0"), "unique_stem")
@@ -278,7 +278,8 @@ def recovered_annotations(spark, d):
     return recovery.recover(_candidates(spark, d)).select("parent", "cluster", "cluster_size", "source_kind", "ambiguous", g.round_half_up(F.col("score"), 3).alias("score"), p.points_to_text(F.col("points")).alias("points"))
 
 
-_CAND = f"""cand AS (SELECT s AS parent, o * 10000000 + p * 100 + n * 2 AS seq, parent_width, parent_height, ['cleaned', 'second_pass', 'raw'][CAST(p % 3 + 1 AS INT)] AS kind, x0, y0, x1, y1 FROM bounded WHERE p % 6 = 0)"""
+_CAND = """cand AS (SELECT s AS parent, o * 10000000 + p * 100 + n * 2 + copy + 16 * again AS seq, parent_width, parent_height, ['cleaned', 'second_pass', 'raw'][CAST((p + copy) % 3 + 1 AS INT)] AS kind, x0 + 3 * copy AS x0, y0 + 2 * copy AS y0, x1 + 3 * copy AS x1, y1 + 2 * copy AS y1
+    FROM (SELECT *, unnest(CASE WHEN p % 4 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM (SELECT *, row_number() OVER (PARTITION BY s, o, p, n ORDER BY instance_id) - 1 AS again FROM bounded)))"""
 
 
 @query(f"""{v.base('boxes')}, {_CAND}, m AS (SELECT *, greatest(0, least(x0, y0, parent_width - 1 - x1, parent_height - 1 - y1)) AS margin FROM cand),

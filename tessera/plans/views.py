@@ -29,9 +29,12 @@ def all_tiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def labels(spark: SparkSession, d: str) -> DataFrame:
-    """Labels of tiles in parent pixels: boxes seen at least by half, some left out, some twice with a
-    jitter of one pixel."""
+    """Labels of tiles in parent pixels: boxes seen at least by half, some left out, some as the tile
+    holds them, some twice with a jitter of one pixel."""
     seen = spatial.visible_tiles(boxes(spark, d), all_tiles(spark, d)).filter((F.col("visible") >= 0.5) & (F.col("p") % 11 != 0) & (F.col("p") % 13 != 0))
+    held = g.project_to_tile(F.when((F.col("p") % 7 == 0) & (F.col("visible") < 1), F.col("poly")), F.col("tile_x"), F.col("tile_y"), F.col("tile_width"), F.col("tile_height"))
+    back = F.transform("_j.points", lambda c: g.point(c["x"] + F.col("tile_x"), c["y"] + F.col("tile_y")))
+    seen = seen.withColumn("_j", held).withColumn("poly", F.coalesce(back, "poly"))
     copies = F.when(F.col("p") % 17 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     out = seen.withColumn("copy", F.explode(copies))
     moved = F.transform("poly", lambda v: g.point(v["x"] + F.col("copy"), v["y"] + F.col("copy")))
@@ -61,9 +64,11 @@ _PAIRS = """SELECT b.*, t.tile_key, t.tile_source, t.tile_x, t.tile_y FROM bound
     AND b.x1 >= t.tile_x AND b.x0 <= t.tile_x + 1024 AND b.y1 >= t.tile_y AND b.y0 <= t.tile_y + 1024"""
 SQL_SEEN = f"""seen AS (SELECT * EXCLUDE (clip), CASE WHEN x0 >= tile_x AND x1 <= tile_x + 1024 AND y0 >= tile_y AND y1 <= tile_y + 1024 THEN 1.0
     ELSE {q.poly_area('clip')} / (w * h) END AS visible FROM ({q.clipped(f'({_PAIRS})', 'poly', q.rect_planes('tile_x', 'tile_y', 'tile_x + 1024', 'tile_y + 1024'))}))"""
+_CUT = "CASE WHEN p % 7 = 0 AND visible < 1 AND fit IS NOT NULL THEN list_transform(fit, lambda c: {'x': c.x + tile_x, 'y': c.y + tile_y}) ELSE poly END"
+SQL_SHOWN = f"""shown AS (SELECT * REPLACE ({_CUT} AS poly) FROM ({q.truncated('(SELECT * FROM seen WHERE visible >= 0.5 AND p % 11 <> 0 AND p % 13 <> 0)')}))"""
 SQL_LABELS = """labelled AS (
     SELECT tile_key, group_key, tile_x, tile_y, p, o * 1000000 + p * 20 + n * 2 + copy AS line, list_transform(poly, lambda v: {'x': v.x + copy, 'y': v.y + copy}) AS poly, instance_id
-    FROM (SELECT *, unnest(CASE WHEN p % 17 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM seen WHERE visible >= 0.5 AND p % 11 <> 0 AND p % 13 <> 0))"""
+    FROM (SELECT *, unnest(CASE WHEN p % 17 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM shown))"""
 
 
 def base(*names: str) -> str:
@@ -72,5 +77,5 @@ def base(*names: str) -> str:
     parts += [SQL_BOXES, SQL_BOUNDED] if {"boxes", "seen", "labels"} & set(names) else []
     parts += [SQL_TILES] if {"tiles", "seen", "labels"} & set(names) else []
     parts += [SQL_SEEN] if {"seen", "labels"} & set(names) else []
-    parts += [SQL_LABELS] if "labels" in names else []
+    parts += [SQL_SHOWN, SQL_LABELS] if "labels" in names else []
     return "WITH " + ",\n".join(parts)
