@@ -15,7 +15,7 @@ from .mixing import mix_sources
 from .packing import pack_documents
 from .quality_classifier import select_quality
 from .quality_rules import BOILERPLATE, clean_lines
-from .sharding import read_shards, reshard, write_shards
+from .sharding import plan_files, read_shards, rewrite_shards, row_size, write_shards
 from .token_counts import token_counts
 from .token_output import stored_tokens
 
@@ -37,16 +37,19 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From 32 shards by hash of the id to 40 of equal bytes; all columns come from the files."""
+    """32 shards by hash of the id are stored; a plan then makes 40 of equal bytes of them in place. All
+    columns come from the files as they are in the end."""
     rows = only(_read(spark, sf_dir), doc_id="doc_id", text="text")
-    rows = rows.withColumn("old_shard", F.pmod(F.xxhash64("doc_id"), F.lit(32)).cast("int"))
+    rows = rows.withColumns({"old_shard": F.pmod(F.xxhash64("doc_id"), F.lit(32)).cast("int"), "shard": F.pmod(F.xxhash64("doc_id"), F.lit(32)).cast("int")})
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string, old_shard int"
     with Scratch(spark) as scratch:
-        placed, plan = reshard(rows, 40, scratch)
-        write_shards(placed, scratch.path("shards"), 40, sum(n for parts in plan for _, n in parts))
-        found = read_shards("doc_id long, text string, old_shard int", scratch.path("shards"), scratch)
+        path = scratch.path("shards")
+        write_shards(rows, path, scratch)
+        _, cuts = plan_files(spark, schema, path, 40)
+        rewrite_shards(spark, schema, path, cuts)
+        found = read_shards(schema, path, scratch)
         crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8"))
-        size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long")
-        return found.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard").checkpoint()
+        return found.select("doc_id", row_size(F.col("text")).alias("size"), crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard").checkpoint()
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
 """Minimum-cost-flow resharding: block transfers that move the fewest bytes from old shard sizes to
-new capacities, and the rewriting of the shards that they touch."""
+new capacities, and the rewriting of the files that they touch."""
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, Scratch
@@ -79,78 +80,140 @@ def equal_capacities(total: int, shards: int) -> list[int]:
     return [total // shards + (j < total % shards) for j in range(shards)]
 
 
-def affected(plan: list[list[tuple[int, int]]]) -> set[int]:
-    """Shards that lose or gain bytes, and so are written again; the files of the others stay."""
-    return {x for i, parts in enumerate(plan) for j, _ in parts if i != j for x in (i, j)}
+def cut_line(sizes: list[int], parts: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """For each of the files on a shard's byte line its (shard, end) in order: the bytes up to `end` from
+    the file's start go to the shard."""
+    out, ends, at = [], [], 0
+    for j, amount in parts:
+        at += amount
+        ends.append((j, at))
+    start = k = 0
+    for size in sizes:
+        while k + 1 < len(ends) and ends[k][1] <= start:
+            k += 1
+        mine, last = [], k
+        while last < len(ends):
+            mine.append((ends[last][0], ends[last][1] - start))
+            if ends[last][1] >= start + size:
+                break
+            last += 1
+        out.append(mine)
+        start += size
+    return out
+
 
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
-def reshard(rows: DataFrame, shards: int, scratch: Scratch, old_col: str = "old_shard", block_bytes: int = 1 << 20) -> tuple[DataFrame, list[list[tuple[int, int]]]]:
-    """`rows` (doc_id, text and the column of the old shard, an int from 0) with `shard`, its new one,
-    and the transfers. Other columns pass through.
 
-    A shard's documents lie on a line of bytes, in blocks by hash of id and text: blocks of documents
-    over 16 times the mean size come first, so that the ends of the line, which are what moves, are
-    made of short ones. Transfers cut the line; a document goes where its middle lies. Blocks that
-    no cut crosses move as a whole, straight from the scan; only the few others are ordered inside.
-    Null ids and texts hash like values; rows that repeat both tie, and either may lie on either side
-    of a cut, which makes no difference. Sizes are summed over all rows; at most 64 blocks a shard
-    (or as many as hold `block_bytes` each, if that is more) reach the driver.
+def write_shards(rows: DataFrame, path: str, scratch: Scratch, shard_col: str = "shard", files_a_shard: int = 8, file_bytes: int = 128 << 20) -> None:
+    """Writes `rows` (doc_id, text, an int column of the shard and more) as folders shard=0, shard=1, ...
+    of several files each, at most about `file_bytes` of text and at least `files_a_shard` if there is
+    enough of it.
+
+    A shard's rows lie on a line of bytes, by size class (powers of two), the largest first, then by
+    hash of id and text: the end of the line, which is what a later plan moves, is made of short
+    documents. A file is a stretch of the line; its number is in the column _file. Each task writes
+    one file. Null ids and texts hash like values. Of the sums of sizes, 16 for each shard and size
+    class reach the driver.
     """
     spark = rows.sparkSession
-    sized = rows.withColumn("_size", row_size(F.col("text")))
-    total, count, n_old = sized.agg(F.sum("_size"), F.count("*"), F.max(old_col)).first()
-    if not count:
-        return rows.withColumn("shard", F.lit(0)), []
-    n_old += 1
-    blocks = max(64, min(4096, total // n_old // block_bytes)) * 2
-    half = F.when(F.col("_size") > 16 * (total // count), 0).otherwise(blocks // 2)
-    sized = sized.withColumn("_block", (F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks // 2)) + half).cast("int"))
-    sums = {(r[0], r[1]): r[2] for r in sized.groupBy(old_col, "_block").agg(F.sum("_size")).collect()}
-    lines = [[sums.get((i, b), 0) for b in range(blocks)] for i in range(n_old)]
-    plan = transfers([sum(x) for x in lines], equal_capacities(total, shards))
-    table = []
-    for i, (line, parts) in enumerate(zip(lines, plan, strict=True)):
-        ends, at = [], 0
-        for j, amount in parts:
-            at += amount
-            ends.append((at, j))
-        start = k = 0
-        for b, size in enumerate(line):
-            if not size:
-                continue
-            while ends[k][0] <= start and k + 1 < len(ends):
-                k += 1
-            crossed = [(e - start, j) for e, j in ends[k:] if e > start]
-            stop = next((x for x, (e, _) in enumerate(crossed) if e >= size), len(crossed) - 1)
-            table.append((i, b, [e for e, _ in crossed[: stop + 1]], [j for _, j in crossed[: stop + 1]]))
-            start += size
-    cuts = spark.createDataFrame(table, f"{old_col} int, _block int, _ends array<long>, _to array<int>")
-    placed = sized.join(F.broadcast(cuts), [old_col, "_block"])  # at most 8192 blocks a shard
-    whole = placed.filter(F.size("_to") == 1).withColumn("shard", F.col("_to")[0])
-    inside = Window.partitionBy(old_col, "_block").orderBy("doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, -1)
-    middle = F.coalesce(F.sum("_size").over(inside), F.lit(0)) + F.col("_size") / 2
-    split = placed.filter(F.size("_to") > 1).withColumn("_middle", middle)
-    passed = F.size(F.filter("_ends", lambda e: e <= F.col("_middle")))
-    split = split.withColumn("shard", F.col("_to")[F.least(passed, F.size("_to") - 1)])
-    return whole.unionByName(split.drop("_middle")).drop("_size", "_block", "_ends", "_to"), plan
-
-
-def write_shards(placed: DataFrame, path: str, shards: int, total_bytes: int, file_bytes: int = 128 << 20, rewrite: set[int] | None = None) -> None:
-    """Writes shard folders, several files each if large; with `rewrite`, only those shards."""
-    if rewrite is not None:
-        placed = placed.filter(F.col("shard").isin(sorted(rewrite)))
-    files = max(1, total_bytes // shards // file_bytes + 1)
-    salt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(files))
-    placed.repartition(shards * files, "shard", salt).write.mode("overwrite").option("compression", "zstd").partitionBy("shard").parquet(path)
+    sized = rows.withColumnsRenamed({shard_col: "shard"}).withColumn("_size", row_size(F.col("text")))
+    sized = sized.withColumns({"_class": -F.floor(F.log2("_size")).cast("int"), "_block": F.pmod(F.xxhash64("doc_id", "text"), F.lit(16)).cast("int")})
+    sums = sorted(tuple(r) for r in sized.groupBy("shard", "_class", "_block").agg(F.sum("_size")).collect())
+    files, fs = [], _folder(spark, path)
+    fs[0].mkdirs(fs[1])
+    if not sums:
+        return
+    totals: dict[int, int] = {}
+    for shard, _, _, size in sums:
+        totals[shard] = totals.get(shard, 0) + size
+    starts, number, last = dict.fromkeys(totals, 0), -1, None
+    for shard, kind, block, size in sums:
+        stretch = starts[shard] * max(files_a_shard, -(-totals[shard] // file_bytes)) // totals[shard]
+        number += (shard, stretch) != last
+        last = (shard, stretch)
+        files.append((shard, kind, block, number))
+        starts[shard] += size
+    where = spark.createDataFrame(files, "shard int, _class int, _block int, _file int")
+    placed = sized.join(F.broadcast(where), ["shard", "_class", "_block"]).drop("_class", "_block", "_size")  # 16 rows a size class
+    placed.repartitionById(number + 1, "_file").write.mode("overwrite").option("compression", "zstd").partitionBy("shard").parquet(path)
+
+
+def _stored(spark: SparkSession, docs_schema: str, path: str) -> DataFrame:
+    return spark.read.schema(f"{docs_schema}, _file int, shard int").parquet(path)
+
+
+def plan_files(spark: SparkSession, docs_schema: str, path: str, shards: int) -> tuple[list[list[tuple[int, int]]], list[tuple[str, int, list[tuple[int, int]]]]]:
+    """The transfers from the stored shards to `shards` of equal bytes, and for each file (path, shard,
+    its cuts). A row for each file reaches the driver."""
+    rows = _stored(spark, docs_schema, path)
+    found = rows.groupBy(F.col("_metadata.file_path").alias("file"), "shard").agg(F.min("_file").alias("number"), F.sum(row_size(F.col("text"))).alias("size")).collect()
+    found = sorted(found, key=lambda r: (r.shard, r.number, r.file))
+    n_old = 1 + max((r.shard for r in found), default=-1)
+    lines = [[r for r in found if r.shard == i] for i in range(n_old)]
+    sizes = [[r.size for r in line] for line in lines]
+    plan = transfers([sum(x) for x in sizes], equal_capacities(sum(map(sum, sizes)), shards)) if n_old else []
+    cuts = [(r.file, r.shard, c) for line, size, parts in zip(lines, sizes, plan, strict=True) for r, c in zip(line, cut_line(size, parts), strict=True)]
+    return plan, cuts
+
+
+def affected(cuts: list[tuple[str, int, list[tuple[int, int]]]]) -> tuple[list[tuple[str, int]], list[tuple[str, list[tuple[int, int]]]]]:
+    """Files that move whole, with their new shard, and files that a cut crosses, with their cuts; all
+    others stay as they are."""
+    moved = [(f, c[0][0]) for f, i, c in cuts if len(c) == 1 and c[0][0] != i]
+    return moved, [(f, c) for f, _, c in cuts if len(c) > 1]
+
+
+def rewrite_shards(spark: SparkSession, docs_schema: str, path: str, cuts: list[tuple[str, int, list[tuple[int, int]]]]) -> None:
+    """Carries a plan out in place: files that move whole are renamed into their new shard's folder, and
+    only files that a cut crosses are written again. In those, documents go by falling size, and each
+    to where its middle lies; rows that repeat an id and a text tie, and either may go first.
+
+    What is written anew lies beside the shards until it is whole; then the old files go and the new
+    ones are renamed, so a lost executor costs a task, and a plan that broke off is made again from
+    the files as they are.
+    """
+    moved, split = affected(cuts)
+    if split:
+        table = spark.createDataFrame([(f, [e for _, e in c], [j for j, _ in c]) for f, c in split], "_path string, _ends array<long>, _to array<int>")
+        # Folders of shards give the column, so they are read from above.
+        rows = _stored(spark, docs_schema, path).select("*", F.col("_metadata.file_path").alias("_path")).filter(F.col("_path").isin([f for f, _ in split]) if len(split) <= 1000 else F.lit(True))
+        rows = rows.join(F.broadcast(table), "_path").withColumn("_size", row_size(F.col("text")))  # at most two files a shard and cut
+        before = Window.partitionBy("_path").orderBy(F.desc("_size"), "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, -1)
+        middle = F.coalesce(F.sum("_size").over(before), F.lit(0)) + F.col("_size") / 2
+        passed = F.size(F.filter("_ends", lambda e: e <= F.col("_middle")))
+        rows = rows.withColumn("_middle", middle).withColumn("shard", F.col("_to")[F.least(passed, F.size("_to") - 1)])
+        rows.drop("_path", "_ends", "_to", "_size", "_middle").write.mode("overwrite").option("compression", "zstd").partitionBy("shard").parquet(f"{path}/_new")
+    fs, _ = _folder(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    uri = lambda f: hadoop.Path(spark._jvm.java.net.URI(f))
+
+    def move(file, folder: str, name: str) -> None:
+        fs.mkdirs(hadoop.Path(f"{path}/{folder}"))
+        if not fs.rename(file, hadoop.Path(f"{path}/{folder}/{name}")):
+            raise OSError(f"{file} can't be moved to {folder}")
+
+    for file, shard in moved:
+        move(uri(file), f"shard={shard}", uri(file).getName())
+    for file, _ in split:
+        fs.delete(uri(file), False)
+    if split:
+        for folder in fs.listStatus(hadoop.Path(f"{path}/_new")):
+            if folder.isDirectory():
+                for file in fs.listStatus(folder.getPath()):
+                    if file.getPath().getName().startswith("part-"):  # a task names its files of all folders alike
+                        move(file.getPath(), folder.getPath().getName(), f"part-{uuid.uuid4().hex}.zstd.parquet")
+        fs.delete(hadoop.Path(f"{path}/_new"), True)
 
 
 def read_shards(docs_schema: str, path: str, scratch: Scratch) -> DataFrame:
     """Rows of all shards with shard and slot: the row's place in its shard, files in name order."""
-    spark = scratch.spark
-    rows = spark.read.schema(f"{docs_schema}, shard int").parquet(path)
-    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    counts = scratch.table(rows.groupBy("shard", "_file").agg(F.count("*").alias("n")), "files")
-    before = Window.partitionBy("shard").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    rows = _stored(scratch.spark, docs_schema, path).drop("_file")
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    counts = scratch.table(rows.groupBy("shard", "_path").agg(F.count("*").alias("n")), "files")
+    before = Window.partitionBy("shard").orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("_path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
     few = counts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(bases) if few else bases, "_file").withColumn("slot", F.col("_base") + F.col("_row")).drop("_file", "_row", "_base")
+    return rows.join(F.broadcast(bases) if few else bases, "_path").withColumn("slot", F.col("_base") + F.col("_row")).drop("_path", "_row", "_base")

@@ -20,7 +20,8 @@ from tessera.llm.packing import best_fit, pack_documents, sequences
 from tessera.llm.quality_classifier import _features, select_quality
 from tessera.llm.quality_rules import clean_lines
 from tessera.llm.range_coder import BLOCK, decode_blocks, encode_blocks
-from tessera.llm.sharding import affected, equal_capacities, min_cost_flow, read_shards, reshard, transfers, write_shards
+from tessera.llm.sharding import affected, cut_line, equal_capacities, min_cost_flow, plan_files, read_shards, rewrite_shards, transfers, write_shards
+from tessera.llm.shingles import word_hashes
 from tessera.llm.token_counts import token_counts
 from tessera.llm.token_output import joined_crc, read_ids, stored_tokens, write_tokens
 from tessera.llm.tokenizing import PieceEncoder
@@ -263,6 +264,33 @@ def test_encoder_on_odd_texts():
             assert found.tolist() == ids(text), repr(text)
 
 
+def unlike_words(bits):
+    """Two words of 2 ** bits letters that agree under polynomial hashes modulo powers of two."""
+    word = "a"
+    for _ in range(bits):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_structured_words_are_told_apart(spark):
+    for bits in (10, 11, 12):
+        one, two = unlike_words(bits)
+        hashes, *_ = word_hashes([one.encode(), two.encode(), one.encode()])
+        assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
+        for path in (BYTE, WORD):
+            texts = [f"x {w} y" for w in (one, two, one)]
+            assert [x.tolist() for x in PieceEncoder(path).encode_all([t.encode() for t in texts])] == [tokens(path)(t) for t in texts]
+    rows = [(k, " ".join([*(f"w{j}" for j in range(30)), w])) for k, w in enumerate((one, two, one))]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n=3, percent=99, links=True)
+    assert {r.doc_id: (r.component_id, r.n_links) for r in found.collect()} == {0: (0, 1), 1: (1, 0), 2: (0, 1)}
+
+
+def test_pieces_that_share_a_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr("tessera.llm.tokenizing.hashed", lambda one, two, n: one & np.uint64(3))
+    texts = ["one two three four", "two five one six seven", "Eight nine. ten, one"] * 3
+    assert [x.tolist() for x in PieceEncoder(BYTE).encode_all([t.encode() for t in texts])] == [tokens(BYTE)(t) for t in texts]
+
+
 def test_token_output(spark, docs, nothing, tmp_path):
     ids = tokens(WORD)
     found = stored_tokens(docs, WORD).collect()
@@ -316,31 +344,56 @@ def test_flow_and_transfers():
         assert all(got[j] == c for j, c in enumerate(new))
         moved = sum(n for i, p in enumerate(plan) for j, n in p if i != j)
         assert moved == sum(old) - sum(min(a, b) for a, b in zip(old, new, strict=False))  # the fewest possible
-    assert affected([[(0, 5)], [(1, 3), (2, 2)]]) == {1, 2}
+    assert cut_line([5, 5, 5], [(0, 7), (2, 8)]) == [[(0, 7)], [(0, 2), (2, 10)], [(2, 5)]] and cut_line([4], [(1, 4)]) == [[(1, 4)]] and cut_line([], []) == []
+    assert affected([("a", 0, [(0, 7)]), ("b", 0, [(0, 2), (2, 10)]), ("c", 0, [(2, 5)])]) == ([("c", 2)], [("b", [(0, 2), (2, 10)])])
+
 
+def files_of(path):
+    return {f.name: (f.parent.name, f.stat().st_mtime_ns, f.stat().st_ino) for f in path.glob("shard=*/part-*")}
 
-def test_sharding(spark, docs, nothing, tmp_path):
-    rows = docs.select("doc_id", "text").withColumn("old_shard", F.pmod(F.xxhash64("doc_id"), F.lit(4)).cast("int"))
-    many = rows.crossJoin(spark.range(20)).select((F.col("doc_id") * 20 + F.col("id")).alias("doc_id"), "text").filter("length(text) < 5000 OR text IS NULL").withColumn("old_shard", F.pmod(F.xxhash64("doc_id"), F.lit(4)).cast("int"))
+
+def test_sharding(spark, docs, tmp_path):
+    rows = docs.select("doc_id", "text").crossJoin(spark.range(20)).select((F.col("doc_id") * 20 + F.col("id")).alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "id"), F.lit(4)).cast("int").alias("shard"))
+    rows = rows.withColumn("old_shard", F.col("shard")).filter("text IS NULL OR length(text) < 5000")
+    want = Counter((r.doc_id, r.text, r.old_shard) for r in rows.collect())
+    schema, path, size = "doc_id long, text string, old_shard int", tmp_path / "s", lambda t: len((t or "").encode()) + 16
+    with common.Scratch(spark) as scratch:
+        write_shards(rows, str(path), scratch, files_a_shard=6)
+        stored = files_of(path)
+        assert len(stored) >= 20 and {f[0] for f in stored.values()} == {f"shard={k}" for k in range(4)}
+        for shards in (6, 3, 9):  # each time from what the folder then holds
+            plan, cuts = plan_files(spark, schema, str(path), shards)
+            moved, split = affected(cuts)
+            before = {(r.doc_id, r.text, r.old_shard): r.shard for r in read_shards(schema, str(path), scratch).collect()}
+            rewrite_shards(spark, schema, str(path), cuts)
+            found = read_shards(schema, str(path), scratch).collect()
+            assert Counter((r.doc_id, r.text, r.old_shard) for r in found) == want
+            now, name = files_of(path), lambda f: f.rsplit("/", 1)[1]
+            for f, (folder, when, inode) in stored.items():
+                if f in {name(x) for x, _ in split}:
+                    assert f not in now
+                elif f in {name(x) for x, _ in moved}:
+                    assert now[f] == (f"shard={next(j for x, j in moved if name(x) == f)}", when, inode)
+                else:
+                    assert now[f] == (folder, when, inode)  # untouched
+            stored, slots, sizes = now, {}, Counter()
+            for r in found:
+                sizes[r.shard] += size(r.text)
+                slots.setdefault(r.shard, []).append(r.slot)
+            assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+            largest = max(size(r.text) for r in found)
+            assert sorted(sizes) == list(range(shards)) and max(sizes.values()) - min(sizes.values()) < 2 * largest
+            planned = sum(n for i, p in enumerate(plan) for j, n in p if i != j)
+            assert abs(sum(size(r.text) for r in found if r.shard != before[r.doc_id, r.text, r.old_shard]) - planned) < largest * shards
+
+
+def test_sharding_of_nothing(spark, nothing, tmp_path):
+    schema = "doc_id long, text string"
     with common.Scratch(spark) as scratch:
-        placed, plan = reshard(many, 6, scratch, block_bytes=64)
-        write_shards(placed, str(tmp_path / "s"), 6, 1)
-        found = read_shards("doc_id long, text string, old_shard int", str(tmp_path / "s"), scratch).collect()
-        assert Counter((r.doc_id, r.text) for r in found) == Counter((r.doc_id, r.text) for r in many.collect())
-        size, slots = Counter(), {}
-        for r in found:
-            size[r.shard] += len((r.text or "").encode()) + 16
-            slots.setdefault(r.shard, []).append(r.slot)
-        assert all(sorted(x) == list(range(len(x))) for x in slots.values())
-        assert sorted(size) == list(range(6)) and max(size.values()) - min(size.values()) < 3000
-        moved = sum(len((r.text or "").encode()) + 16 for r in found if r.shard != r.old_shard)
-        planned = sum(n for i, p in enumerate(plan) for j, n in p if i != j)
-        assert abs(moved - planned) < 6000
-        write_shards(placed, str(tmp_path / "part"), 6, 1, rewrite={0, 5})
-        assert {r.shard for r in spark.read.parquet(str(tmp_path / "part")).select("shard").distinct().collect()} == {0, 5}
-        empty, plan = reshard(rows.limit(0), 6, scratch)
-        assert empty.count() == 0 and plan == []
-        assert reshard(rows, 3, scratch)[0].count() == len(awkward())
+        write_shards(nothing.select("doc_id", "text", F.lit(0).alias("shard")), str(tmp_path / "s"), scratch)
+        plan, cuts = plan_files(spark, schema, str(tmp_path / "s"), 6)
+        rewrite_shards(spark, schema, str(tmp_path / "s"), cuts)
+        assert plan == cuts == [] and read_shards(schema, str(tmp_path / "s"), scratch).count() == 0
 
 
 def test_html():
