@@ -151,15 +151,14 @@ PATH_CATEGORIES = (
     (("models", "outputs"), "private_model_or_generated_output"),
     (("reports",), "historical_or_local_report"),
     (("release",), "release_metadata_or_local_artifact"),
-    (("deployment",), "deployment_candidate"),
     (("scripts", "configs", "tests", "docs"), "code_or_public_documentation_candidate"),
 )
 
 
-def path_category(path: Column, categories=PATH_CATEGORIES) -> Column:
-    """The category of the path's first folder; pass other categories for other trees."""
+def path_category(path: Column, deployment: tuple[str, ...], categories=PATH_CATEGORIES) -> Column:
+    """The category of the path's first folder; `deployment` names the folders of what is deployed."""
     first = F.when(path.contains("/"), F.substring_index(path, "/", 1))
-    out = F.when(F.lit(False), "")
+    out = F.when(first.isin(*deployment), "deployment_candidate") if deployment else F.when(F.lit(False), "")
     for folders, name in categories:
         out = out.when(first.isin(*folders), name)
     return out.otherwise("requires_manual_classification")
@@ -168,6 +167,43 @@ def path_category(path: Column, categories=PATH_CATEGORIES) -> Column:
 def secret_findings(lines):
     """Rows (source, line, kind) of the lines of a table (source, line, text) that hold a secret or a
     local absolute path; the value itself is never returned."""
-    kinds = {**SECRET_PATTERNS, "local_absolute_path": r"/home/|[A-Za-z]:\\\\Users\\\\"}
+    kinds = {**SECRET_PATTERNS, "absolute_local_path": r"/home/|[A-Za-z]:\\\\Users\\"}
     found = F.filter(F.array(*[F.when(F.col("text").rlike(p), F.lit(k)) for k, p in kinds.items()]), lambda k: k.isNotNull())
     return lines.select("source", "line", F.explode(found).alias("kind"))
+
+
+def json_list(value: Column) -> Column:
+    """A JSON list of texts held in a cell; an empty list if it is null or no list."""
+    return F.coalesce(F.from_json(value, "array<string>"), F.array().cast("array<string>"))
+
+
+def class_map(config: dict) -> dict[int, str]:
+    """Class names by id: of id2label, else of label2id turned round."""
+    if config.get("id2label"):
+        return {int(k): str(v) for k, v in config["id2label"].items()}
+    return {int(v): str(k) for k, v in (config.get("label2id") or {}).items()}
+
+
+def resolve_class_ids(wanted: list[str], names: dict[int, str]) -> list[int]:
+    """Ids of classes given by id or by name in any case; an unknown one is an error."""
+    by_name = {v.casefold(): k for k, v in names.items()}
+    out = []
+    for w in map(str, wanted):
+        found = int(w) if w.isdigit() and int(w) in names else by_name.get(w.casefold())
+        if found is None:
+            raise ValueError(f"unknown class: {w}")
+        out.append(found)
+    return sorted(set(out))
+
+
+def class_label(class_id: Column, names: dict[int, str]) -> Column:
+    """The name of an id, or the id as text."""
+    if not names:
+        return class_id.cast("string")
+    table = F.create_map(*[F.lit(x) for k, v in sorted(names.items()) for x in (k, v)])
+    return F.coalesce(F.try_element_at(table, class_id.cast("int")), class_id.cast("string"))
+
+
+def frame_time(frame: Column, fps: Column) -> Column:
+    """Seconds into a video, to six decimals; null without a positive rate."""
+    return F.when(fps > 0, F.floor(frame / fps * 1e6 + 0.5) / 1e6)

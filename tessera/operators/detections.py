@@ -64,3 +64,32 @@ def serve(tensors: DataFrame, key: list[str], policy: Policy = DEFAULT) -> DataF
 def summary(detections: DataFrame, by: list[str], conf: str) -> DataFrame:
     """detections, greatest and mean confidence (six decimals) of each group."""
     return detections.groupBy(*by).agg(F.count("*").alias("detections"), F.max(conf).alias("top"), g.round_half_up(F.avg(conf), 6).alias("mean"))
+
+
+def xyxy_to_xywh(box: Column) -> Column:
+    """x0, y0, x1, y1 as an array to x, y, width, height."""
+    at = lambda k: F.get(box, F.lit(k))
+    return F.array(at(0), at(1), at(2) - at(0), at(3) - at(1))
+
+
+def valid_xyxy(box: Column) -> Column:
+    """Whether a box is finite and has a width and a height; false if null."""
+    at = lambda k: F.get(box, F.lit(k))
+    return F.coalesce(_finite(box) & (at(2) > at(0)) & (at(3) > at(1)), F.lit(False))
+
+
+def xyxy_to_source(box: Column, scale: Column, pad_x: Column, pad_y: Column, width: Column, height: Column) -> Column:
+    """A box of the letterboxed picture in the original image's pixels, clamped to it."""
+    value = lambda k, pad, most: F.least(F.greatest((F.get(box, F.lit(k)) - pad) / scale, F.lit(0.0)), most.cast("double"))
+    return F.array(value(0, pad_x, width), value(1, pad_y, height), value(2, pad_x, width), value(3, pad_y, height))
+
+
+def shift_flat(points: Column, dx: Column, dy: Column) -> Column:
+    """Alternating x and y coordinates (a box, or four corners) moved by a tile's offset."""
+    return F.transform(points, lambda v, i: v + F.when(i % 2 == 0, dx).otherwise(dy))
+
+
+def normalise(poly: Column, width: Column, height: Column) -> Column:
+    """Points as shares of an image, clamped to [0, 1], to six decimals."""
+    share = lambda v, n: g.round_half_up(F.least(F.greatest(v / n, F.lit(0.0)), F.lit(1.0)), 6)
+    return F.transform(poly, lambda p: g.point(share(p["x"], width), share(p["y"], height)))

@@ -120,3 +120,50 @@ def recover(candidates: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     kind = F.when(F.col("merged").isNotNull(), "merged").otherwise(F.col("source_kind"))
     ambiguous = F.col("ambiguous") & F.col("merged").isNull()
     return out.select("parent", "cluster", "cluster_size", kind.alias("source_kind"), ambiguous.alias("ambiguous"), "score", F.coalesce("merged", "poly").alias("points"))
+
+
+def cluster_order(members: DataFrame) -> DataFrame:
+    """parent, cluster, cluster_size, cluster_index: a parent's clusters by their uppermost, then leftmost
+    tile, then by size, then by their first candidate."""
+    found = members.groupBy("parent", "cluster").agg(F.min("tile_y").alias("_y"), F.min("tile_x").alias("_x"), F.count("*").alias("cluster_size"))
+    order = Window.partitionBy("parent").orderBy("_y", "_x", "cluster_size", "cluster")
+    return found.withColumn("cluster_index", F.row_number().over(order) - 1).drop("_y", "_x")
+
+
+def review_entries(members: DataFrame, recovered: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
+    """One row per cluster whose winner is unclear: parent, cluster, candidate_count, score_gap and its
+    candidates by falling score."""
+    listed = F.sort_array(F.collect_list(F.struct("score", "seq", "source_kind", "edge_touch", "margin")), asc=False)
+    unclear = recovered.filter("ambiguous").select("parent", "cluster")
+    out = members.join(unclear, ["parent", "cluster"]).groupBy("parent", "cluster").agg(F.count("*").alias("candidate_count"), listed.alias("candidates"))
+    return out.withColumn("score_gap", g.round_half_up(F.col("candidates")[0]["score"] - F.col("candidates")[1]["score"], 3))
+
+
+def parent_summary(parents: DataFrame, candidates: DataFrame, recovered: DataFrame) -> DataFrame:
+    """One row per parent: candidates, annotation_count, merged_count, review_cluster_count,
+    raw_fallback_used and source_kind (merged before cleaned before raw_fallback, empty without any)."""
+    held = candidates.groupBy("parent").agg(F.count("*").alias("candidates"), F.max(F.col("source_kind") == "raw_fallback").alias("raw_fallback_used"))
+    made = recovered.groupBy("parent").agg(
+        F.count("*").alias("annotation_count"), F.count_if(F.col("source_kind") == "merged").alias("merged_count"), F.count_if("ambiguous").alias("review_cluster_count"),
+        F.max(F.col("source_kind") == "cleaned").alias("_cleaned"),
+    )
+    out = parents.select("parent").distinct().join(held, "parent", "left").join(made, "parent", "left")
+    out = out.fillna(0, ["candidates", "annotation_count", "merged_count", "review_cluster_count"]).fillna(False, ["raw_fallback_used", "_cleaned"])
+    kind = F.when(F.col("annotation_count") == 0, "empty").when(F.col("merged_count") > 0, "merged").when(F.col("_cleaned"), "cleaned").otherwise("raw_fallback")
+    return out.withColumn("source_kind", kind).drop("_cleaned")
+
+
+def recovery_summary(parents: DataFrame, cleaned: DataFrame, summary: DataFrame) -> DataFrame:
+    """One row: parents of the membership, cleaned ones, stale ones (cleaned but no member), members
+    without a cleaned file, those that fell back on raw labels, empty ones; candidates, clusters, merged
+    and unclear clusters. parents and cleaned: parent; summary: that of `parent_summary`."""
+    both = parents.select("parent").distinct().withColumn("_in", F.lit(True)).join(cleaned.select("parent").distinct().withColumn("_clean", F.lit(True)), "parent", "full_outer")
+    counts = both.agg(
+        F.count("_in").alias("membership_parent_count"), F.count_if(F.col("_in") & F.col("_clean")).alias("cleaned_parent_count"),
+        F.count_if(F.col("_in").isNull()).alias("stale_cleaned_parent_count"), F.count_if(F.col("_clean").isNull()).alias("missing_current_parent_count"),
+    )
+    made = summary.agg(
+        F.count_if("raw_fallback_used").alias("raw_fallback_parents"), F.count_if(F.col("source_kind") == "empty").alias("empty_parent_count"), F.coalesce(F.sum("candidates"), F.lit(0)).alias("lifted_candidate_count"),
+        F.coalesce(F.sum("annotation_count"), F.lit(0)).alias("cluster_count"), F.coalesce(F.sum("merged_count"), F.lit(0)).alias("merged_cluster_count"), F.coalesce(F.sum("review_cluster_count"), F.lit(0)).alias("ambiguous_cluster_count"),
+    )
+    return counts.crossJoin(made)  # one row each

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..policy import SEVERITY
 
 
 def upper_median(values: str | Column) -> Column:
@@ -78,10 +77,6 @@ def best_epochs(results: DataFrame, run: str, epoch: str, map50: str, map95: str
     return out.select(run, F.col(f"b.{epoch}").alias("best_epoch"), fitness.alias("fitness"), "last_time")
 
 
-def severity_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, s) for s, issues in SEVERITY.items() for i in issues], "issue_type string, severity string")
-
-
 def review_queue(issues: DataFrame, order: list[str]) -> DataFrame:
     """High and medium findings with their priority: severity, type, then `order`. The rank is global
     and the queue is for people, so it is sized by findings and not by data."""
@@ -103,14 +98,16 @@ def readiness(issues: DataFrame) -> DataFrame:
 
 
 def round_robin(items: DataFrame, bucket: Column, order: list[Column], n: int) -> DataFrame:
-    """The first n items, taking one of each bucket in turn."""
+    """The first n items, taking one of each bucket in turn; `order` ranks the items of a bucket, so put
+    the severity first to take the gravest."""
     ranked = items.withColumn("bucket", bucket).withColumn("turn", F.row_number().over(Window.partitionBy("bucket").orderBy(*order)))
     return ranked.filter(F.col("turn") <= n).orderBy("turn", "bucket").limit(n)
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n rows without replacement, equal for equal seeds whatever the partitioning."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    """n rows without replacement, by the MD5 of seed and key: equal for equal seeds, whatever the
+    partitioning and the engine."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)
 
 
 def unique_stems(df: DataFrame, group: str, stem: str, order: str) -> DataFrame:
@@ -144,3 +141,76 @@ def setting_changes(base: dict, variant: dict) -> dict:
 def require_frozen(base: dict, variant: dict, frozen: list[str]) -> None:
     if changed := [k for k in frozen if base.get(k) != variant.get(k)]:
         raise ValueError(f"frozen settings changed: {', '.join(changed)}")
+
+
+def tile_area_stats(labels: DataFrame, tiles: DataFrame, key: str = "tile_key") -> DataFrame:
+    """objects, least and most: number and envelope areas (x0, y0, x1, y1) of each tile's labels; 0 for
+    tiles without any."""
+    area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
+    stats = labels.groupBy(key).agg(F.count("*").alias("objects"), F.min(area).alias("least"), F.max(area).alias("most"))
+    return tiles.select(key).distinct().join(stats, key, "left").fillna(0, ["objects"]).fillna(0.0, ["least", "most"])
+
+
+def duration_stats(rows: DataFrame, by: list[str], ms: str) -> DataFrame:
+    """runs, mean_ms, median_ms (the mean of both middle ones for an even number) and total_s."""
+    return rows.groupBy(*by).agg(F.count(ms).alias("runs"), F.avg(ms).alias("mean_ms"), F.median(ms).alias("median_ms"), (F.sum(ms) / 1000).alias("total_s"))
+
+
+def lookup_counts(names: DataFrame, counts: DataFrame, key: str, value: str = "n") -> DataFrame:
+    """Each name with its count, 0 where there is none."""
+    return names.join(counts.select(key, value), key, "left").withColumn(value, F.coalesce(value, F.lit(0)))
+
+
+def lookup_with_stem(rows: DataFrame, table: DataFrame, name: str, key: str) -> DataFrame:
+    """Rows with the table's columns, found by the file name, else by its stem."""
+    own = [c for c in table.columns if c != key]
+    keyed = rows.withColumn("_stem", F.regexp_replace(name, r"\.[^.]*$", ""))
+    sides = [table.select(F.col(key).alias(f"_key{k}"), *[F.col(c).alias(f"_{c}{k}") for c in own], F.lit(True).alias(f"_hit{k}")) for k in (1, 2)]
+    both = keyed.join(sides[0], F.col(name) == F.col("_key1"), "left").join(sides[1], F.col("_stem") == F.col("_key2"), "left")
+    picked = [F.when(F.col("_hit1"), F.col(f"_{c}1")).otherwise(F.col(f"_{c}2")).alias(c) for c in own]
+    return both.select(*rows.columns, *picked, F.when(F.col("_hit1"), "name").when(F.col("_hit2"), "stem").alias("found_by"))
+
+
+def run_table(variants: DataFrame, metrics: DataFrame, smoke: DataFrame, key: str) -> DataFrame:
+    """Variants with the figures of their runs and of their smoke runs; null where there is none."""
+    return variants.join(metrics, key, "left").join(smoke, key, "left")
+
+
+def not_completed(work: DataFrame, results: DataFrame, key: str, payload: str) -> DataFrame:
+    """Work whose result isn't there: a result counts if its payload is a JSON object with a list of
+    detections."""
+    whole = results.filter(F.get_json_object(payload, "$.detections").startswith("["))
+    return work.join(whole.select(key).distinct(), key, "left_anti")
+
+
+def promotion_gate(coverage: DataFrame, rows: DataFrame, bad_labels: DataFrame, window: list[str], parent: str, excluded: list[str]) -> DataFrame:
+    """check, found, passed: what must hold before a dataset becomes the active one. Readiness by the
+    coverage's severities, missing labels, uncovered boxes, duplicate windows, excluded parents and
+    invalid labels (`bad_labels`) must all be clear."""
+    of = lambda status: coverage.agg(F.count_if(F.col("status") == status).alias("found"))
+    checks = {
+        "readiness": coverage.agg(F.count_if(F.col("severity") == "high").alias("found")),
+        "covered_but_missing_label": of("covered_but_missing_label"),
+        "uncovered_by_any_tile": of("uncovered_by_any_tile"),
+        "duplicate_windows": rows.groupBy(*window).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("found")),
+        "excluded_parents": rows.agg(F.count_if(F.col(parent).isin(excluded)).alias("found")),
+        "invalid_labels": bad_labels.agg(F.count("*").alias("found")),
+    }
+    out = None
+    for name, df in checks.items():
+        one = df.select(F.lit(name).alias("check"), F.col("found").cast("long").alias("found"))
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("passed", F.col("found") == 0)
+
+
+def require(checks: DataFrame) -> None:
+    """Raises if a check failed; names those that did."""
+    if failed := [r.check for r in checks.filter("NOT passed").orderBy("check").collect()]:
+        raise ValueError(f"checks failed: {', '.join(failed)}")
+
+
+def dataset_contract(rows: DataFrame, labels: DataFrame, window: list[str], by: list[str]) -> DataFrame:
+    """For each group of the index: tiles, duplicate windows, labels and invalid labels (with errors)."""
+    doubled = rows.groupBy(*by, *window).count().groupBy(*by).agg(F.sum("count").alias("tiles"), F.sum(F.col("count") - 1).alias("duplicate_windows"))
+    held = labels.groupBy(*by).agg(F.count("*").alias("labels"), F.count_if(F.size("errors") > 0).alias("invalid_labels"))
+    return doubled.join(held, by, "left").fillna(0, ["labels", "invalid_labels"])

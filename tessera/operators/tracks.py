@@ -8,68 +8,63 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from ..functions.kernels import Polygons
 from ..policy import DEFAULT, Policy
 
 OBSERVATION = "video string, frame long, det long, cls string, conf double, poly array<struct<x:double,y:double>>, track_id long"
 
 
-def _area(p: np.ndarray) -> float:
-    return float(np.dot(p[:, 0], np.roll(p[:, 1], -1)) - np.dot(np.roll(p[:, 0], -1), p[:, 1])) / 2
+def aligned(poly: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """The cyclic shift of four corners nearest to the reference's, the first on ties."""
+    shifts = [np.roll(poly, -k, 0) for k in range(4)]
+    return shifts[int(np.argmin([((s - reference) ** 2).sum() for s in shifts]))]
 
 
-def _clip(p: np.ndarray, q: np.ndarray) -> float:
-    """Area of the intersection of two convex polygons."""
-    if _area(q) < 0:
-        q = q[::-1]
-    for a, b in zip(q, np.roll(q, -1, 0), strict=True):
-        if len(p) == 0:
-            return 0.0
-        side = (b[0] - a[0]) * (p[:, 1] - a[1]) - (b[1] - a[1]) * (p[:, 0] - a[0])
-        out = []
-        for k in range(len(p)):
-            n = (k + 1) % len(p)
-            if side[k] >= 0:
-                out.append(p[k])
-            if (side[k] >= 0) != (side[n] >= 0):
-                out.append(p[k] + (p[n] - p[k]) * (side[k] / (side[k] - side[n])))
-        p = np.array(out)
-    return abs(_area(p)) if len(p) > 2 else 0.0
-
-
-def score(p: np.ndarray, q: np.ndarray) -> float:
-    """0.7 of the IoU and 0.3 of the nearness of the vertex means."""
-    inter = _clip(p, q)
-    union = abs(_area(p)) + abs(_area(q)) - inter
-    reach = max(64.0, 2.5 * max(float(np.hypot(*(x.max(0) - x.min(0)))) for x in (p, q)))
-    near = max(0.0, 1 - float(np.hypot(*(p.mean(0) - q.mean(0)))) / reach)
-    return 0.7 * (inter / union if union >= 1 else 0.0) + 0.3 * near
+def scores(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Of pairs of quadrilaterals (n, 4, 2): 0.7 of the IoU and 0.3 of the nearness of the vertex means."""
+    four = np.full(len(first), 4)
+    p, q = (Polygons(x[:, :, 0], x[:, :, 1], four) for x in (first, second))
+    inter, a, b = p.within(q).area(), p.area(), q.area()
+    union = a + b - inter
+    size = [np.hypot(*np.moveaxis(x.max(1) - x.min(1), 1, 0)) for x in (first, second)]
+    apart = np.hypot(*np.moveaxis(first.mean(1) - second.mean(1), 1, 0))
+    near = np.maximum(0.0, 1 - apart / np.maximum(64.0, 2.5 * np.maximum(*size)))
+    return 0.7 * np.divide(inter, union, out=np.zeros_like(inter), where=union >= 1) + 0.3 * near
 
 
 class Tracker:
     """Greedy assignment of one video's detections, frame by frame. Tracks unseen for more than the
-    gap are forgotten; the state is their last frame, class and polygon."""
+    gap are forgotten; the state is their last frame, class and polygon. A detection that goes on a
+    track gets its corners in the order of the track's last polygon."""
 
     def __init__(self, policy: Policy = DEFAULT, next_id: int = 1, active: list | None = None):
         self.policy, self.next_id, self.active = policy, next_id, {t[0]: (t[1], t[2], np.array(t[3])) for t in active or []}
 
-    def update(self, frame: int, detections: list[tuple[str, np.ndarray]]) -> list[int]:
+    def update(self, frame: int, detections: list[tuple[str, np.ndarray]]) -> tuple[list[int], list[np.ndarray]]:
+        """Track ids and aligned polygons of a frame's detections."""
         reach = self.policy.track_gap + 1
         self.active = {t: v for t, v in self.active.items() if frame - v[0] <= reach}
-        pairs = []
-        for t, (_, cls, last) in self.active.items():
-            for d, (name, poly) in enumerate(detections):
-                if name == cls and (s := score(last, poly)) >= self.policy.track_match:
-                    pairs.append((-s, t, d))
-        ids, used = [0] * len(detections), set()
-        for _, t, d in sorted(pairs):
-            if not ids[d] and t not in used:
-                ids[d] = t
-                used.add(t)
-        for d, (name, poly) in enumerate(detections):
-            if not ids[d]:
-                ids[d], self.next_id = self.next_id, self.next_id + 1
-            self.active[ids[d]] = (frame, name, poly)
-        return ids
+        ids, polys, used = [0] * len(detections), [poly for _, poly in detections], set()
+        if self.active and detections:
+            tracks = list(self.active)
+            last, new = np.array([self.active[t][2] for t in tracks]), np.array(polys)
+            classes = {c: k for k, c in enumerate({v[1] for v in self.active.values()} | {c for c, _ in detections})}
+            same = np.array([classes[self.active[t][1]] for t in tracks])[:, None] == np.array([classes[c] for c, _ in detections])
+            # Beyond the reach of nearness polygons don't overlap either, and the score is 0.
+            size = [np.hypot(*np.moveaxis(x.max(1) - x.min(1), 1, 0)) for x in (last, new)]
+            apart = np.hypot(*np.moveaxis(last.mean(1)[:, None] - new.mean(1), 2, 0))
+            at, d = np.nonzero(same & (apart < np.maximum(64.0, 2.5 * np.maximum(size[0][:, None], size[1]))))
+            found = scores(last[at], new[d])
+            good = found >= self.policy.track_match
+            for _, t, k in sorted(zip((-found[good]).tolist(), (tracks[i] for i in at[good]), d[good].tolist(), strict=True)):
+                if not ids[k] and t not in used:
+                    ids[k], polys[k] = t, aligned(polys[k], self.active[t][2])
+                    used.add(t)
+        for k, (name, _) in enumerate(detections):
+            if not ids[k]:
+                ids[k], self.next_id = self.next_id, self.next_id + 1
+            self.active[ids[k]] = (frame, name, polys[k])
+        return ids, polys
 
     def state(self) -> list:
         return [(t, f, c, p.tolist()) for t, (f, c, p) in self.active.items()]
@@ -80,22 +75,36 @@ def _polygon(points) -> np.ndarray:
 
 
 def run_frames(tracker: Tracker, rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one video, sorted here by frame and detection, with their track ids."""
+    """Rows of one video, sorted here by frame and detection, with their track ids, and polygons whose
+    corners go in the track's order."""
     rows = rows.sort_values(["frame", "det"], kind="stable")
     ids: list[int] = []
+    polys: list[list[dict]] = []
     for frame, part in rows.groupby("frame", sort=True):
-        ids += tracker.update(int(frame), [(c, _polygon(p)) for c, p in zip(part["cls"], part["poly"], strict=True)])
-    return rows.assign(track_id=ids)
+        found, placed = tracker.update(int(frame), [(c, _polygon(p)) for c, p in zip(part["cls"], part["poly"], strict=True)])
+        ids += found
+        polys += [[{"x": float(x), "y": float(y)} for x, y in p] for p in placed]
+    return rows.assign(track_id=ids, poly=pd.Series(polys, index=rows.index, dtype=object))
 
 
 def assign_tracks(detections: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
-    """Adds track_id to detections (video, frame, det, cls, conf, poly). A video is one ordered group;
-    videos are independent, so they are the unit of parallel work."""
+    """Adds track_id to detections (video, frame, det, cls, conf, poly of four corners). No track goes
+    over more than `track_gap` frames without a detection, so a video is cut there: each stretch is one
+    ordered group, and its ids go on from those of the stretches before it."""
 
     def track(rows: pd.DataFrame) -> pd.DataFrame:
-        return run_frames(Tracker(policy), rows)[["video", "frame", "det", "cls", "conf", "poly", "track_id"]]
+        return run_frames(Tracker(policy), rows)[["video", "frame", "det", "cls", "conf", "poly", "track_id", "stretch"]]
 
-    return detections.select("video", "frame", "det", "cls", "conf", "poly").groupBy("video").applyInPandas(track, OBSERVATION)
+    rows = detections.select("video", "frame", "det", "cls", "conf", "poly")
+    frames = rows.select("video", "frame").distinct()
+    order = Window.partitionBy("video").orderBy("frame")
+    starts = (F.col("frame") - F.lag("frame").over(order) > policy.track_gap + 1).cast("int")
+    frames = frames.withColumn("_new", F.coalesce(starts, F.lit(0))).withColumn("stretch", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    found = rows.join(frames, ["video", "frame"]).groupBy("video", "stretch").applyInPandas(track, f"{OBSERVATION}, stretch long")
+    made = found.groupBy("video", "stretch").agg(F.max("track_id").alias("_made"))
+    before = Window.partitionBy("video").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    made = made.withColumn("_before", F.coalesce(F.sum("_made").over(before), F.lit(0))).drop("_made")
+    return found.join(made, ["video", "stretch"]).withColumn("track_id", F.col("track_id") + F.col("_before")).drop("_before", "stretch").select("video", "frame", "det", "cls", "conf", "poly", "track_id")
 
 
 def fill_gaps(tracks: DataFrame, by: list[str], policy: Policy = DEFAULT) -> DataFrame:
@@ -139,3 +148,12 @@ def track_lengths(tracks: DataFrame, by: list[str]) -> DataFrame:
     lengths = tracks.groupBy(*by, "track_id").agg(F.count("*").alias("n"))
     return lengths.groupBy(*by).agg(F.count("*").alias("tracks"), F.min("n").alias("shortest"), g.round_half_up(F.avg("n"), 4).alias("mean_length"), F.max("n").alias("longest"))
 
+
+
+def final_by_frame(tracks: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
+    """What a video shows in the end: gaps filled, polygons smoothed, and place, the order of a frame's
+    detections by track, class and falling confidence. tracks: video, track_id, frame, cls, conf, poly."""
+    by = ["video", "track_id"]
+    done = smooth(fill_gaps(tracks.select(*by, "frame", "cls", "conf", "poly"), by, policy), by, policy)
+    order = Window.partitionBy("video", "frame").orderBy("track_id", "cls", F.desc("conf"))
+    return done.withColumn("place", F.row_number().over(order))

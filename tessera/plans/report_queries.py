@@ -49,9 +49,11 @@ def lineage_counts(spark, d):
     return reports.lineage_counts(_index(spark, d), ["dataset", "split"], "group_key", "labels")
 
 
-@query(f"WITH {_COUNTS}, expected(dataset, split, expected) AS (VALUES ('dota', 'train', CAST(1 AS BIGINT)), ('xview', 'val', 2), ('none', 'train', 3)) SELECT e.dataset, e.split, expected, tiles AS found, expected IS NOT DISTINCT FROM tiles AS passed FROM expected e LEFT JOIN counts USING (dataset, split)")
+@query(f"WITH {_COUNTS}, expected(dataset, split, expected) AS (SELECT * FROM (VALUES ('dota', 'train', CAST(1 AS BIGINT)), ('xview', 'val', 2), ('none', 'train', 3)) UNION ALL SELECT 'hrsc', 'train', count(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 7 <> 0) SELECT e.dataset, e.split, expected, tiles AS found, expected IS NOT DISTINCT FROM tiles AS passed FROM expected e LEFT JOIN counts USING (dataset, split)")
 def expected_checks(spark, d):
     expected = spark.createDataFrame([("dota", "train", 1), ("xview", "val", 2), ("none", "train", 3)], "dataset string, split string, tiles long")
+    known = table(spark, d, "orders").filter("o_orderstatus = 'P' AND o_orderkey % 7 <> 0").agg(F.lit("hrsc").alias("dataset"), F.lit("train").alias("split"), F.count("*").alias("tiles"))
+    expected = expected.unionByName(known)  # one that must pass
     return reports.expected_checks(reports.lineage_counts(_index(spark, d), ["dataset", "split"], "group_key", "labels"), expected, ["dataset", "split"], "tiles")
 
 
@@ -100,7 +102,7 @@ def dup_candidates(spark, d):
 
 
 @query(r"""SELECT doc_id AS source, line, kind FROM (SELECT doc_id, line, unnest(list_filter([CASE WHEN regexp_matches(t, '\bhf_[A-Za-z0-9]{24,}\b') THEN 'huggingface_token' END, CASE WHEN regexp_matches(t, '\bgh[pousr]_[A-Za-z0-9]{20,}\b') THEN 'github_token' END,
-    CASE WHEN regexp_matches(t, '(?i)\b(?:token|secret|api[_-]?key|password)\b\s*[:=]\s*(?:[''"][^''"]{8,}[''"]|[A-Za-z0-9_-]{20,})') THEN 'generic_secret_assignment' END, CASE WHEN regexp_matches(t, '/home/|[A-Za-z]:\\\\Users\\\\') THEN 'local_absolute_path' END], lambda k: k IS NOT NULL)) AS kind
+    CASE WHEN regexp_matches(t, '(?i)\b(?:token|secret|api[_-]?key|password)\b\s*[:=]\s*(?:[''"][^''"]{8,}[''"]|[A-Za-z0-9_-]{20,})') THEN 'generic_secret_assignment' END, CASE WHEN regexp_matches(t, '/home/|[A-Za-z]:\\\\Users\\') THEN 'absolute_local_path' END], lambda k: k IS NOT NULL)) AS kind
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(0, len(string_split(text, chr(10))))) AS line FROM documents))""")
 def secret_scan(spark, d):
     lines = table(spark, d, "documents").select(F.col("doc_id").alias("source"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
@@ -122,9 +124,10 @@ def file_parity(spark, d):
     return spatial.presence(rows.filter("o_orderkey % 3 <> 0"), rows.filter("o_orderkey % 5 <> 0"), ["split", "image"])
 
 
-@query("SELECT DISTINCT c_custkey AS parent FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT DISTINCT c_custkey AS parent FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def stale_missing_ids(spark, d):
-    return spatial.left_miss(table(spark, d, "customer").select(F.col("c_custkey").alias("parent")), table(spark, d, "orders").select(F.col("o_custkey").alias("parent")), ["parent"])
+    urgent = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'")
+    return spatial.left_miss(table(spark, d, "customer").select(F.col("c_custkey").alias("parent")), urgent.select(F.col("o_custkey").alias("parent")), ["parent"])
 
 
 @query("SELECT s_suppkey, s_name, s_suppkey % 4 <> 0 AS in_index, CASE WHEN s_suppkey % 4 = 0 THEN 'tile_missing_from_training_index' END AS issue_type FROM supplier")
@@ -295,10 +298,3 @@ def best_candidate(spark, d):
 def candidate_clusters(spark, d):
     c = recovery.with_score(_candidates(spark, d))
     return recovery.clusters(c, recovery.cluster_links(c))
-
-
-@query("SELECT c_custkey, c_name, a.n AS opened, b.n AS closed FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) a ON a.o_custkey = c_custkey LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) b ON b.o_custkey = c_custkey")
-def run_comparison(spark, d):
-    o = table(spark, d, "orders")
-    count = lambda status, name: o.filter(F.col("o_orderstatus") == status).groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias(name))
-    return table(spark, d, "customer").select("c_custkey", "c_name").join(count("O", "opened"), "c_custkey", "left").join(count("F", "closed"), "c_custkey", "left")

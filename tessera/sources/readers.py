@@ -53,8 +53,9 @@ def count_cvat_shapes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def count_objects(spark: SparkSession, path: str) -> DataFrame:
-    """file, objects: <object> elements at any depth of each XML file, files without any too."""
-    files = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
+    """file, objects: <object> elements at any depth of each XML file, files without any too. What
+    stands in comments and CDATA is no element."""
+    files = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "").alias("value"))
     return files.select("file", F.size(F.regexp_extract_all("value", F.lit(r"<object[\s/>]"), F.lit(0))).cast("long").alias("objects"))
 
 
@@ -83,6 +84,109 @@ def read_dota(spark: SparkSession, path: str, label: str = "ship") -> DataFrame:
     return rows.select("file", "line", "poly", F.get("f", F.lit(9)).alias("difficulty"))
 
 
+def count_dota(spark: SparkSession, path: str, names: DataFrame | None = None, label: str = "ship") -> DataFrame:
+    """file, objects of each label file, those without any too. With `names` (file) only those, and
+    missing tells which of them aren't there."""
+    raw = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
+    fields = F.transform(F.split("value", r"\r?\n"), lambda x: F.split(F.trim(x), r"\s+"))
+    counts = raw.select("file", F.size(F.filter(fields, lambda f: (F.size(f) >= 9) & (F.get(f, F.lit(8)) == label))).cast("long").alias("objects"))
+    if names is None:
+        return counts
+    return names.select("file").distinct().join(counts, "file", "left").withColumn("missing", F.col("objects").isNull()).fillna(0, ["objects"])
+
+
+def count_geojson(spark: SparkSession, path: str, types: tuple[int, ...] = MARITIME_TYPES) -> DataFrame:
+    """image, objects: features of wanted types of each image, whatever their bounds."""
+    schema = "features array<struct<properties:struct<type_id:string,image_id:string>>>"
+    rows = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features.properties").alias("p")).select("p.*")
+    image = p.base_name(F.col("image_id"))
+    return rows.filter(F.col("type_id").try_cast("int").isin(*types) & (image != "")).groupBy(image.alias("image")).agg(F.count("*").alias("objects"))
+
+
+def read_removed(spark: SparkSession, path: str, tiles: DataFrame) -> DataFrame:
+    """Labels that a filter removed (CSV with image_name and label_line) of known tiles (tile_key,
+    tile_width, tile_height): tile_key, line (0), poly. Lines with errors go; an absent file is empty."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], "tile_key string, line long, poly array<struct<x:double,y:double>>")
+    rows = read_table(spark, path, {"image_name", "label_line"}).select(F.col("image_name").alias("tile_key"), "label_line")
+    parsed = rows.join(tiles, "tile_key").withColumn("v", p.parse_yolo(F.col("label_line"), F.col("tile_width"), F.col("tile_height")))
+    return parsed.filter(F.size("v.errors") == 0).select("tile_key", F.lit(0).cast("long").alias("line"), F.col("v.points").alias("poly"))
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """Training logs (folder of a run / results.csv): run, epoch, map50, map95, time. Heads may be padded;
+    cells that are no numbers are null and rows without an epoch go."""
+    raw = spark.read.options(header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, inferSchema=False).csv(path)
+    found = {c.strip(): c for c in raw.columns}
+    require_columns(raw.toDF(*[c.strip() for c in raw.columns]), {"epoch", "metrics/mAP50(B)", "metrics/mAP50-95(B)", "time"})
+    number = lambda c: F.col(f"`{found[c]}`").try_cast("double")
+    run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    rows = raw.select(run.alias("run"), number("epoch").cast("long").alias("epoch"), number("metrics/mAP50(B)").alias("map50"), number("metrics/mAP50-95(B)").alias("map95"), number("time").alias("time"))
+    return rows.filter("epoch IS NOT NULL")
+
+
+def read_yaml(path: str, frozen: dict | None = None) -> dict:
+    """A YAML mapping; other documents are an error, and so are settings that differ from `frozen` ones."""
+    import yaml
+
+    with open(path) as f:
+        value = yaml.safe_load(f)
+    if not isinstance(value, dict):
+        raise ValueError(f"{path} holds no mapping")
+    if changed := sorted(k for k, v in (frozen or {}).items() if value.get(k) != v):
+        raise ValueError(f"{path} changes {', '.join(changed)}")
+    return value
+
+
+def require_single_class(config: dict, name: str = "ship") -> dict:
+    """A dataset's configuration, if it has the one class."""
+    names = config.get("names")
+    names = list(names.values()) if isinstance(names, dict) else names
+    if names != [name] or config.get("nc", 1) != 1:
+        raise ValueError(f"expected the one class {name}, found {names}")
+    return config
+
+
+def settings(environment: dict[str, str], ranges: dict[str, tuple[type, object, float, float]]) -> dict:
+    """Values of an environment by name (kind, default, least, most); one that is no number or out of
+    its range is an error that names it."""
+    out = {}
+    for name, (kind, default, least, most) in ranges.items():
+        try:
+            value = kind(environment.get(name, default))
+        except ValueError as e:
+            raise ValueError(f"{name} must be a {kind.__name__}") from e
+        if not least <= value <= most:
+            raise ValueError(f"{name} must lie between {least} and {most}")
+        out[name] = value
+    return out
+
+
+def upload_problems(files: DataFrame, most_bytes: int, most_pixels: int = 24_000_000) -> DataFrame:
+    """Files (path, size, width, height) with the first rule that refuses them: too_large, not_an_image
+    (no size in the header) or too_many_pixels; null if none does."""
+    reason = F.when(F.col("size") > most_bytes, "too_large").when(F.col("width").isNull() | F.col("height").isNull(), "not_an_image").when(F.col("width").cast("long") * F.col("height") > most_pixels, "too_many_pixels")
+    return files.withColumn("problem", reason)
+
+
+def inventory(files: DataFrame, root: str, skip: tuple[str, ...] = (".git",), relevant: tuple[str, ...] = (), large_bytes: int = 10 << 20) -> DataFrame:
+    """Files (path, size) below `root` without those in folders to skip: path (from the root), name, size,
+    is_large, and is_relevant (the first folder is one of `relevant`)."""
+    base = root.rstrip("/") + "/"
+    rest = F.substring_index("path", base, -1)
+    folders = F.slice(F.split(rest, "/"), F.lit(1), F.size(F.split(rest, "/")) - 1)
+    held = files.select(rest.alias("path"), F.element_at(F.split(rest, "/"), -1).alias("name"), "size", folders.alias("_folders")).filter(~F.arrays_overlap("_folders", F.array(*[F.lit(x) for x in skip])))
+    first = F.get("_folders", F.lit(0))
+    return held.select("path", "name", "size", (F.col("size") >= large_bytes).alias("is_large"), F.coalesce(first.isin(*relevant) if relevant else F.lit(False), F.lit(False)).alias("is_relevant"))
+
+
+def absolute_references(lines: DataFrame, word: str) -> DataFrame:
+    """file, line, value: absolute paths in lines (file, line, text) that name the word, in any case."""
+    pattern = rf"(?i)(?:[A-Za-z]:\\|/)[^\s\"']*{word}[^\s\"']*"
+    return lines.select("file", "line", F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("value"))
+
+
 def read_geojson(spark: SparkSession, path: str, types: tuple[int, ...] = MARITIME_TYPES) -> DataFrame:
     """image, type_id, x0, y0, x1, y1 of the features of wanted types with four bounds."""
     schema = "features array<struct<properties:struct<type_id:string,image_id:string,bounds_imcoords:string>>>"

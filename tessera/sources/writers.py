@@ -84,3 +84,62 @@ def rejected_entries(entries: DataFrame, prefixes: tuple[str, ...], suffixes: tu
         .when(c("text").rlike("/home/"), "home_path")
     )
     return entries.withColumn("reason", reason).filter("reason IS NOT NULL").select("source", "destination", "reason")
+
+
+def subset_manifest(rows: DataFrame, root: str, order: list[str]) -> DataFrame:
+    """What a subset of a dataset (dataset, split, image_name) is made of: for each row its source image
+    and label and the unique names that both get in the subset."""
+    from ..operators.reports import unique_stems
+
+    stem = p.stem(F.col("image_name"))
+    named = unique_stems(rows.withColumns({"_stem": stem, "_order": F.struct(*order)}), "dataset", "_stem", "_order")
+    suffix = F.regexp_extract("image_name", r"(\.[^.]*)$", 1)
+    base = F.lit(root.rstrip("/"))
+    return named.select(
+        *rows.columns, F.concat_ws("/", base, F.lit("images"), "split", "image_name").alias("source_image"), F.concat_ws("/", base, F.lit("labels"), "split", F.concat("_stem", F.lit(".txt"))).alias("source_label"),
+        F.concat("unique_stem", suffix).alias("subset_image"), F.concat("unique_stem", F.lit(".txt")).alias("subset_label"),
+    )
+
+
+def copy_files(spark, pairs: DataFrame, source: str, destination: str, dry_run: bool = True) -> int:
+    """Copies files named by pairs (one narrow row each; made on executors, through any file system) into
+    a folder, or with `dry_run` only counts them. A copy that was made before is made again, so lost
+    tasks are harmless."""
+    wanted = pairs.select(source, destination)
+    if dry_run:
+        return wanted.count()
+    data = spark.read.format("binaryFile").load([r[0] for r in wanted.select(source).distinct().collect()]).select(F.col("path").alias("_from"), "content")
+    listed = wanted.withColumn("_name", p.base_name(F.col(source)))
+    both = listed.join(data.withColumn("_name", p.base_name(F.col("_from"))), "_name")
+
+    def write(rows) -> None:
+        for r in rows:
+            target = Path(r[destination])
+            target.parent.mkdir(parents=True, exist_ok=True)
+            held = target.with_suffix(target.suffix + ".tmp")
+            held.write_bytes(bytes(r["content"]))
+            os.replace(held, target)
+
+    both.foreachPartition(write)
+    return wanted.count()
+
+
+def write_yaml(path: str, value: dict) -> None:
+    """A YAML mapping in the order of its keys; the file appears whole or not at all."""
+    import yaml
+
+    target = Path(path)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    held = target.with_suffix(target.suffix + ".tmp")
+    held.write_text(yaml.safe_dump(value, sort_keys=False))
+    os.replace(held, target)
+
+
+def write_lineage(path: str, stages: list[dict], notes: dict | None = None) -> None:
+    """The stages of a dataset, in order, with what each was made from."""
+    known: set[str] = set()
+    for stage in stages:
+        if missing := sorted(set(stage.get("inputs", [])) - known):
+            raise ValueError(f"{stage['name']} is made from unknown stages: {', '.join(missing)}")
+        known.add(stage["name"])
+    write_json(path, {"schema_version": 1, "stages": stages, "notes": notes or {}})
