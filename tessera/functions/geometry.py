@@ -93,7 +93,7 @@ def centre_of(poly: Column) -> Column:
 
 
 def vertex_mean(poly: Column) -> Column:
-    return let(poly, lambda v: point(total(xs(v)) / F.size(v), total(ys(v)) / F.size(v)))
+    return let(poly, lambda v: point(F.try_divide(total(xs(v)), F.size(v)), F.try_divide(total(ys(v)), F.size(v))))
 
 
 def centroid(poly: Column) -> Column:

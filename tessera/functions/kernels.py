@@ -55,13 +55,13 @@ class Polygons:
         after = self.following(side)
         inside, crossing = (side >= 0) & held, ((side >= 0) != (after >= 0)) & held
         share = np.divide(side, side - after, out=np.zeros_like(side), where=crossing)
-        keep = np.stack([inside, crossing], 2).reshape(len(side), -1)
+        keep = np.stack([inside, crossing], 2).reshape(len(side), 2 * side.shape[1])
         n = keep.sum(1)
         out = Polygons(np.zeros((len(n), max(4, int(n.max(initial=0))))), np.zeros((len(n), max(4, int(n.max(initial=0))))), n)
         row, at = np.nonzero(keep)
         place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         for mine, name in ((self.x, "x"), (self.y, "y")):
-            both = np.stack([mine, mine + (self.following(mine) - mine) * share], 2).reshape(len(side), -1)
+            both = np.stack([mine, mine + (self.following(mine) - mine) * share], 2).reshape(len(side), 2 * side.shape[1])
             getattr(out, name)[row, place] = both[row, at]
         return out
 

@@ -20,16 +20,26 @@ def aligned(poly: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return shifts[int(np.argmin([((s - reference) ** 2).sum() for s in shifts]))]
 
 
+def _spread(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of quadrilaterals (n, 4, 2): least and greatest corner, vertex mean, and diagonal of the envelope."""
+    low, high = x.min(1), x.max(1)
+    return low, high, x.sum(1) / 4, np.sqrt(((high - low) ** 2).sum(1))
+
+
 def scores(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Of pairs of quadrilaterals (n, 4, 2): 0.7 of the IoU and 0.3 of the nearness of the vertex means."""
-    four = np.full(len(first), 4)
-    p, q = (Polygons(x[:, :, 0], x[:, :, 1], four) for x in (first, second))
-    inter, a, b = p.within(q).area(), p.area(), q.area()
-    union = a + b - inter
-    size = [np.hypot(*np.moveaxis(x.max(1) - x.min(1), 1, 0)) for x in (first, second)]
-    apart = np.hypot(*np.moveaxis(first.mean(1) - second.mean(1), 1, 0))
-    near = np.maximum(0.0, 1 - apart / np.maximum(64.0, 2.5 * np.maximum(*size)))
-    return 0.7 * np.divide(inter, union, out=np.zeros_like(inter), where=union >= 1) + 0.3 * near
+    """Of pairs of quadrilaterals (n, 4, 2): 0.7 of the IoU and 0.3 of the nearness of the vertex means.
+    Only pairs whose envelopes meet are clipped."""
+    (a0, a1, ma, da), (b0, b1, mb, db) = _spread(first), _spread(second)
+    apart = np.sqrt(((ma - mb) ** 2).sum(1))
+    out = 0.3 * np.maximum(0.0, 1 - apart / np.maximum(64.0, 2.5 * np.maximum(da, db)))
+    meet = np.flatnonzero(((a0 < b1) & (b0 < a1)).all(1))
+    if len(meet):
+        four = np.full(len(meet), 4)
+        p, q = (Polygons(x[meet, :, 0], x[meet, :, 1], four) for x in (first, second))
+        inter = p.within(q).area()
+        union = p.area() + q.area() - inter
+        out[meet] += 0.7 * np.divide(inter, union, out=np.zeros_like(inter), where=union >= 1)
+    return out
 
 
 class Tracker:
@@ -51,9 +61,9 @@ class Tracker:
             classes = {c: k for k, c in enumerate({v[1] for v in self.active.values()} | {c for c, _ in detections})}
             same = np.array([classes[self.active[t][1]] for t in tracks])[:, None] == np.array([classes[c] for c, _ in detections])
             # Beyond the reach of nearness polygons don't overlap either, and the score is 0.
-            size = [np.hypot(*np.moveaxis(x.max(1) - x.min(1), 1, 0)) for x in (last, new)]
-            apart = np.hypot(*np.moveaxis(last.mean(1)[:, None] - new.mean(1), 2, 0))
-            at, d = np.nonzero(same & (apart < np.maximum(64.0, 2.5 * np.maximum(size[0][:, None], size[1]))))
+            (*_, middle, size), (*_, others, sizes) = _spread(last), _spread(new)
+            apart = np.sqrt(((middle[:, None] - others) ** 2).sum(2))
+            at, d = np.nonzero(same & (apart < np.maximum(64.0, 2.5 * np.maximum(size[:, None], sizes))))
             found = scores(last[at], new[d])
             good = found >= self.policy.track_match
             for _, t, k in sorted(zip((-found[good]).tolist(), (tracks[i] for i in at[good]), d[good].tolist(), strict=True)):
@@ -78,19 +88,21 @@ def run_frames(tracker: Tracker, rows: pd.DataFrame) -> pd.DataFrame:
     """Rows of one video, sorted here by frame and detection, with their track ids, and polygons whose
     corners go in the track's order."""
     rows = rows.sort_values(["frame", "det"], kind="stable")
+    frames, classes, given = rows["frame"].to_numpy(), rows["cls"].tolist(), [_polygon(p) for p in rows["poly"]]
     ids: list[int] = []
     polys: list[list[dict]] = []
-    for frame, part in rows.groupby("frame", sort=True):
-        found, placed = tracker.update(int(frame), [(c, _polygon(p)) for c, p in zip(part["cls"], part["poly"], strict=True)])
+    cuts = [0, *(np.flatnonzero(np.diff(frames)) + 1).tolist(), len(rows)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        found, placed = tracker.update(int(frames[a]), list(zip(classes[a:b], given[a:b], strict=True))) if b > a else ([], [])
         ids += found
         polys += [[{"x": float(x), "y": float(y)} for x, y in p] for p in placed]
     return rows.assign(track_id=ids, poly=pd.Series(polys, index=rows.index, dtype=object))
 
 
-def assign_tracks(detections: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
+def assign_tracks(detections: DataFrame, policy: Policy = DEFAULT, stretches: int = 256) -> DataFrame:
     """Adds track_id to detections (video, frame, det, cls, conf, poly of four corners). No track goes
-    over more than `track_gap` frames without a detection, so a video is cut there: each stretch is one
-    ordered group, and its ids go on from those of the stretches before it."""
+    over more than `track_gap` frames without a detection, so a video is cut there: each `stretches` of them
+    are one ordered group, and its ids go on from those of the groups before it."""
 
     def track(rows: pd.DataFrame) -> pd.DataFrame:
         return run_frames(Tracker(policy), rows)[["video", "frame", "det", "cls", "conf", "poly", "track_id", "stretch"]]
@@ -99,7 +111,7 @@ def assign_tracks(detections: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     frames = rows.select("video", "frame").distinct()
     order = Window.partitionBy("video").orderBy("frame")
     starts = (F.col("frame") - F.lag("frame").over(order) > policy.track_gap + 1).cast("int")
-    frames = frames.withColumn("_new", F.coalesce(starts, F.lit(0))).withColumn("stretch", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    frames = frames.withColumn("_new", F.coalesce(starts, F.lit(0))).withColumn("stretch", F.floor(F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)) / stretches)).drop("_new")
     found = rows.join(frames, ["video", "frame"]).groupBy("video", "stretch").applyInPandas(track, f"{OBSERVATION}, stretch long")
     made = found.groupBy("video", "stretch").agg(F.max("track_id").alias("_made"))
     before = Window.partitionBy("video").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,6 +1,7 @@
-import math
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +168,53 @@ def test_rect_relations(spark):
 def test_tracker_score_matches_columns(spark):
     a, b = square(0, 0), square(4, 3)
     as_col = lambda s: F.array(*[g.point(q["x"], q["y"]) for q in s])
-    want = spark.range(1).select(g.match_score(as_col(a), as_col(b))).first()[0]
-    assert tracks.score(tracks._polygon(a), tracks._polygon(b)) == pytest.approx(want)
-    assert math.isfinite(want)
+    far = square(300, 0)
+    want = spark.range(1).select(g.match_score(as_col(a), as_col(b)), g.match_score(as_col(a), as_col(far))).first()
+    pairs = np.array([tracks._polygon(x) for x in (a, a)]), np.array([tracks._polygon(x) for x in (b, far)])
+    assert tracks.scores(*pairs).tolist() == pytest.approx(list(want))
+
+
+def brute_tracks(seen, gap, match, score):
+    """Ids and polygons by going through frames and pairs one by one; `score` of two polygons."""
+    tracks_of, out = {}, {}
+    for frame in sorted({s[1] for s in seen}):
+        now = sorted((s for s in seen if s[1] == frame), key=lambda s: s[2])
+        pairs = sorted((-score(t[2], s[5]), k, n) for n, s in enumerate(now) for k, t in tracks_of.items() if frame - t[0] <= gap + 1 and t[1] == s[3] and score(t[2], s[5]) >= match)
+        taken = {}
+        for _, k, n in pairs:
+            if n not in taken and k not in taken.values():
+                taken[n] = k
+        for n, s in enumerate(now):
+            k, poly = taken.get(n), [(p["x"], p["y"]) for p in s[5]]
+            if k is None:
+                k = len(tracks_of) + 1
+            else:
+                last = [(p["x"], p["y"]) for p in tracks_of[k][2]]
+                poly = min((poly[i:] + poly[:i] for i in range(4)), key=lambda q: sum((a - c) ** 2 + (b - d) ** 2 for (a, b), (c, d) in zip(q, last, strict=True)))
+            tracks_of[k] = (frame, s[3], [{"x": x, "y": y} for x, y in poly])
+            out[frame, s[2]] = (k, poly)
+    return out
+
+
+@pytest.mark.parametrize("stretches", [1, 2, 256])
+def test_tracks_align_corners_and_go_on_over_stretches(spark, stretches):
+    rng = random.Random(stretches)
+    seen = []
+    for frame in [*range(6), *range(12, 16), 17, 30, 31]:
+        for k in range(4):
+            corners = square(40 * k + 3 * frame % 17 + rng.random(), 5 * k + rng.random())
+            turn = rng.randrange(4)
+            seen.append(("v", frame, k, "ab"[k % 2], 0.5, corners[turn:] + corners[:turn]))
+    score = lambda a, b: float(tracks.scores(np.array([tracks._polygon(a)]), np.array([tracks._polygon(b)]))[0])
+    want = brute_tracks(seen, Policy().track_gap, Policy().track_match, score)
+    found = tracks.assign_tracks(spark.createDataFrame(seen, TRACK), stretches=stretches).collect()
+    assert {(r.frame, r.det): (r.track_id, [(p.x, p.y) for p in r.poly]) for r in found} == want and max(k for k, _ in want.values()) > 8
+    lengths = Counter(k for k, _ in want.values())
+    assert rows(tracks.track_lengths(spark.createDataFrame(found), ["video"]), "video") == [("v", len(lengths), min(lengths.values()), pytest.approx(sum(lengths.values()) / len(lengths), abs=1e-4), max(lengths.values()))]
+    # corners in one order: what is between two polygons isn't twisted
+    between = tracks.fill_gaps(spark.createDataFrame(found), ["video", "track_id"]).filter("interpolated").select(g.area(F.col("poly")).alias("a")).collect()
+    assert between and all(r.a > 90 for r in between)
+    final = tracks.final_by_frame(spark.createDataFrame(found)).collect()
+    for frame in {r.frame for r in final}:
+        mine = sorted((r for r in final if r.frame == frame), key=lambda r: r.place)
+        assert [r.place for r in mine] == list(range(1, len(mine) + 1)) and [r.track_id for r in mine] == sorted(r.track_id for r in mine)
