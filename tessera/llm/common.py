@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: taken first, and beyond it the same join is done by a shuffle.
 BROADCAST_ROWS = 500_000
 
+ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 #: Whether Spark removes the shuffle files of a query when it ends, and not when the driver's garbage is
 #: collected.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -34,6 +36,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named or context.getCheckpointDir()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of an Arrow batch in this session, unless a smaller bound holds: texts may be long,
+    and both sides hold whole batches. It stays, as results may be computed later; it changes nothing
+    but memory."""
+    if int(re.sub(r"\D", "", spark.conf.get(ARROW_BYTES))) > BATCH_BYTES:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+
+
 class Scratch:
     """Parquet tables in the shared folder that live as long as the `with` block.
 
@@ -43,6 +53,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        bound_batches(spark)
         self.root = f"{checkpoint_dir(spark)}/tessera-scratch-{uuid.uuid4().hex}"
 
     def __enter__(self) -> Scratch:

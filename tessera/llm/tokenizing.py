@@ -37,7 +37,7 @@ class PieceTable:
 
     def __init__(self):
         self.n, self.bits = 0, 16
-        self.rows, self.hashes = np.zeros((1 << 15, 4), np.uint64), np.zeros(1 << 15, np.uint64)
+        self.rows = np.zeros((1 << 15, 4), np.uint64)
         self.slots = np.full(1 << self.bits, -1, np.int32)
 
     def find(self, keys: tuple[np.ndarray, ...], places: np.ndarray) -> np.ndarray:
@@ -64,18 +64,15 @@ class PieceTable:
         """Adds keys that differ from each other and from all held."""
         end = self.n + len(places)
         if end > len(self.rows):
-            room = max(2 * len(self.rows), end) - len(self.rows)
-            self.rows = np.concatenate([self.rows, np.zeros((room, 4), np.uint64)])
-            self.hashes = np.concatenate([self.hashes, np.zeros(room, np.uint64)])
+            self.rows = np.concatenate([self.rows, np.zeros((max(len(self.rows) // 2, len(places)), 4), np.uint64)])
         for k, column in enumerate((*keys, where)):
             self.rows[self.n : end, k] = column
-        self.hashes[self.n : end] = places
         first, self.n = self.n, end
         if 2 * end > len(self.slots):
             self.bits, first = int(2 * end).bit_length(), 0
-            self.slots = np.full(1 << self.bits, -1, np.int32)
+            self.slots, places = np.full(1 << self.bits, -1, np.int32), hashed(*self.rows[:end, :3].T)
         left = np.arange(first, end)
-        at = (self.hashes[left] >> np.uint64(64 - self.bits)).astype(np.int64)
+        at = (places >> np.uint64(64 - self.bits)).astype(np.int64)
         while len(left):
             free = self.slots[at] < 0
             self.slots[at[free]] = left[free]  # of pieces that want one slot the last has it
@@ -93,17 +90,18 @@ class PieceEncoder:
     table starts anew; nothing depends on what it holds.
     """
 
-    def __init__(self, path: str, limit: int = 1_500_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library, self.limit = Tokenizer.from_file(path), limit
+        self.kind = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
         self.line_feed = len(self.library.encode("\n", add_special_tokens=False).ids)
         self._clear()
 
     def _clear(self) -> None:
         self.table = PieceTable()
-        self.pool, self.used = np.zeros(1 << 18, np.uint32), 1  # no piece lies at 0
+        self.pool, self.used = np.zeros(1 << 18, self.kind), 1  # no piece lies at 0
 
     def _learn(self, keys: tuple[np.ndarray, ...], places: np.ndarray, pieces: list[str], heads: np.ndarray) -> None:
         """Encodes new pieces, many in one call: each begins with the space or line feed before it,
@@ -119,11 +117,11 @@ class PieceEncoder:
             ends = np.cumsum(np.fromiter(map(len, pieces[start:end]), np.int64, end - start))
             owner = np.searchsorted(ends, np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0], "right")
             counts.append(np.bincount(owner, minlength=end - start))
-            ids.append(np.array(found.ids, np.uint32))
+            ids.append(np.array(found.ids, self.kind))
             start = end
         n, new = np.concatenate(counts), np.concatenate(ids)
         while self.used + len(new) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool) // 2, len(new)), self.kind)])
         self.pool[self.used : self.used + len(new)] = new
         at = self.used + np.cumsum(n) - n
         self.used += len(new)
@@ -131,7 +129,7 @@ class PieceEncoder:
         self.table.add(keys, places, (at << 31 | n).view(np.uint64))
 
     def _whole(self, text: bytes) -> np.ndarray:
-        return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
+        return np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, self.kind)
 
     def _batch(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text. Texts are joined by a line feed, so every border looks alike."""
@@ -183,7 +181,7 @@ class PieceEncoder:
             yield self._whole(text) if bad[k] else ids[edge[k] : edge[k + 1]]
 
     def encode_all(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
-        """Ids (uint32) of UTF-8 texts, in order; an empty text has none."""
+        """Ids (unsigned) of UTF-8 texts, in order; an empty text has none."""
         for some in batched(texts, 1_000_000):
             full = [t for t in some if t]
             found = self._batch(full) if full else iter(())
