@@ -59,8 +59,8 @@ class _Open:
 
 def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
     """The main text of a page without the `templates`, and the hashes of its subtrees that may be
-    templates: all but those that hold or are the article, and inside it paragraphs, inline elements and
-    elements whose nearest block is a paragraph."""
+    templates: blocks that neither hold, are nor lie in an article or main element, and don't lie in a
+    paragraph."""
     out: list[str | None] = []
     hashes: set[int] = set()
     roots: dict[str, list[tuple[int, int]]] = {"article": [], "main": []}
@@ -74,8 +74,8 @@ def read_page(page: str, templates=frozenset()) -> tuple[str, set[int]]:
         key = int.from_bytes(digest, "little", signed=True)
         parent.parts.append(f"{key:x}")
         is_root = node.tag in roots and not node.drop
-        prose = node.in_root and (node.in_paragraph or node.tag in _PARAGRAPH or node.tag in _INLINE)
-        if not (is_root or node.holds_root or prose) and node.tag not in ("html", "body", "head"):
+        block = node.tag not in _INLINE and not node.in_paragraph and node.tag not in ("html", "body", "head")
+        if block and not (is_root or node.holds_root or node.in_root):
             hashes.add(key)
             node.drop |= key in templates
         if node.worded and not node.drop:
@@ -196,8 +196,9 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     The text is that of the article elements (else of main, else of the page) without furniture
     (elements, roles and class words that name menus, headers, footers, sidebars, notices, adverts,
-    forms, comments, hidden parts) and without the templates of its host. Paragraphs of an article
-    and inline elements stay however often they recur. Class words count as whole words and never on
+    forms, comments, hidden parts) and without the templates of its host: blocks outside article and
+    main elements that recur, such as menus and notices that no name gives away. What lies in an
+    article, and inline elements, stay however often they recur. Class words count as whole words and never on
     html, body, main and article. An element they name is kept if it holds articles outside any other
     article; these are taken when a page has no other article or main. A null or empty page has the text ''. Pages without a host in the
     url share the host ''. Repeated rows count as pages. Other columns are ignored.

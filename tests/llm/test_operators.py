@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm import common, queries
+from tessera.llm.components import connected_components
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.html_extraction import extract_pages, read_page, site_templates
 from tessera.llm.jaccard_join import near_duplicates
 from tessera.llm.mixing import mix_sources, water_fill
 from tessera.llm.packing import best_fit, pack_documents, sequences
-from tessera.llm.quality_classifier import _features, select_quality
+from tessera.llm.quality_classifier import BUCKETS, _features, select_quality
 from tessera.llm.quality_rules import clean_lines
 from tessera.llm.range_coder import BLOCK, decode_blocks, encode_blocks
 from tessera.llm.sharding import affected, cut_line, equal_capacities, min_cost_flow, plan_files, read_shards, rewrite_shards, transfers, write_shards
@@ -426,7 +427,40 @@ def test_recurring_inline_elements_of_an_article_stay(spark):
     inside = '<p>by <a href="/x">The Author</a> and <b>Bold</b> <em>stress</em> <x-tag>odd</x-tag> {0}<p><b>One unclosed<br><p>{0}<div>Same box</div>'
     df = spark.createDataFrame([(k, "http://a.example/x", f"<b>Same</b><article>{inside.format(k)}</article>") for k in range(8)], "page_id long, url string, html string")
     found = {r.page_id: r.text for r in extract_pages(df).collect()}
-    assert found == {k: f"by The Author and Bold stress\nodd\n{k}\nOne unclosed\n{k}" for k in range(8)}
+    assert found == {k: f"by The Author and Bold stress\nodd\n{k}\nOne unclosed\n{k}\nSame box" for k in range(8)}
+
+
+def test_templates_of_many_pages(spark):
+    """Menus and notices without a name go as they recur on a host; one-off blocks, sentences with
+    recurring parts and whole articles stay."""
+    menus = ["<div><div>Home</div><div>News <span>today</span></div></div>", "<ul><li><a href=/a>Start</a><li>Help</ul>"]
+    pages, want = [], {}
+    for host in range(3):
+        for k in range(50):
+            own = f"Text {k} of host {host} says <b>hello</b> and <a href=/x>link</a> end"
+            plain = f"Text {k} of host {host} says hello and link end"
+            notice = "<section>We changed our terms</section>" if k % 2 else f"<section>Only here {k}</section>"
+            if host < 2:
+                page = f'<body class="no-sidebar">{menus[host]}<article class="comments-open"><h1>Same head</h1><p>{own}<p><b>{own}<br><p>Same words</article>{notice}'
+                text = f"Same head\n{plain}\n{plain}\nSame words"
+            else:  # no article
+                page = f"<body>{menus[0]}<div><p>{own}</p></div>{notice}<p>Go on <em>always</em> {k}</p>"
+                text = f"{plain}\n" + ("" if k % 2 else f"Only here {k}\n") + f"Go on always {k}"
+            pages.append((100 * host + k, f"https://h{host}.example/{k}", page))
+            want[100 * host + k] = text
+    pages.append((900, "https://h0.example/x", "<article>top" + "".join(f"<article>r{k}</article>" for k in range(500)) + "</article>"))
+    want[900] = "\n".join(["top", *[f"r{k}" for k in range(500)]])
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in extract_pages(df).collect()} == want
+    without = {k: read_page(h)[0] for k, _, h in pages}
+    assert sum(without[k] != want[k] for k in want) == 50  # names alone don't find what recurs
+
+
+def test_long_and_deep_pages():
+    deep = "<div>" * 3000 + "middle" + "</div>" * 3000
+    assert read_page(deep)[0] == "middle"
+    long = "<article>" + "".join(f"<p>line {k}" for k in range(40000)) + "</article>"
+    assert read_page(long)[0] == "\n".join(f"line {k}" for k in range(40000))
 
 
 def test_nested_articles_give_their_text_once():
@@ -464,6 +498,69 @@ def test_quality_classifier_on_held_out_rows(spark):
     assert counted(select_quality(df.repartition(3), lab).select("doc_id", "selected").collect()) == Counter((k, r.selected) for k, r in found.items())
 
 
+def labelled_rows(n, seed):
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        good = rng.random() < 0.8
+        words = [rng.choice(["the", "river", "house", "walks", "slowly", "green", "stone"]) + rng.choice(["", "s"]) for _ in range(rng.randint(5, 80))]
+        rows.append((k, " ".join(words) + "." if good else " ".join(w + rng.choice(["###", "$$$", "%%%"]) for w in words), good))
+    return rows
+
+
+def test_weights_and_selection_by_brute_force(spark):
+    rows = [*((k, t) for k, t, _ in labelled_rows(150, 4)), (150, None), (151, ""), (3, "again the river"), (None, "stone")]
+    labels = [(k, int(good)) for k, _, good in labelled_rows(150, 4)[:60]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prior, shrink, effective = 65536.0, 50.0, 50.0
+    raw, target, mine = Counter(), Counter(), []
+    known = dict(labels)
+    for k, t in rows:
+        families = [list(f[b[0] : b[-1]]) for f, b in _features([(t or "").encode()])] if t else [[], [], []]
+        mine.append(families)
+        for n, f in enumerate(families):
+            for x in f:
+                raw[n, x] += 1
+                target[n, x] += known.get(k) == 1
+    share = {n: sum(raw[m, x] + 1 for m, x in raw if m == n) + BUCKETS - sum(m == n for m, _ in raw) for n in range(3)}
+    hits = {n: sum(v for (m, _), v in target.items() if m == n) for n in range(3)}
+
+    def ratio(n, x):
+        p = (raw[n, x] + 1) / share[n]
+        return np.log((target[n, x] + prior * p) / ((hits[n] + prior) * p))
+
+    want = [sum(ratio(n, x) for n, f in enumerate(fs) for x in f) * effective / (sum(map(len, fs)) + shrink) for fs in mine]
+    found = select_quality(df, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    order = lambda pairs: sorted((k is None, k or 0, float(w)) for k, w in pairs)
+    got, right = order((r.doc_id, r.log_weight) for r in found), order((k, w) for (k, _), w in zip(rows, want, strict=True))
+    assert [x[:2] for x in got] == [x[:2] for x in right] and [x[2] for x in got] == pytest.approx([x[2] for x in right], abs=1e-8)
+    n = int(np.ceil(len(rows) * (sum(v for _, v in labels) / len(labels) + 0.02)))
+    ranked = sorted(found, key=lambda r: -r.sampling_key)
+    assert {(r.doc_id, r.log_weight) for r in found if r.selected} == {(r.doc_id, r.log_weight) for r in ranked[:n]}
+    assert all(r.sampling_key != r.log_weight for r in found)
+
+
+def test_draws_decide_near_the_cut(spark):
+    """Texts of two kinds, both unlike the target by little: seeds differ, and over seeds a kind is drawn
+    as its weights say."""
+    rows = [(k, f"alpha beta w{k % 7} gamma" if k % 2 else f"delta w{k % 5} eps zeta") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    labels = spark.createDataFrame([(k, int(k % 4 > 0)) for k in range(200)], "doc_id long, quality int")
+    chosen = []
+    for seed in (11, 12, 13):
+        found = select_quality(df, labels, seed=seed, slack=-0.25).collect()
+        chosen.append({r.doc_id for r in found if r.selected})
+        weights = {r.doc_id: r.log_weight for r in found}
+    assert len(chosen[0] ^ chosen[1]) > 40 and len(chosen[1] ^ chosen[2]) > 40
+    # Gumbel top k is sampling without replacement: compare with such draws by weight.
+    rng, drawn = np.random.default_rng(1), 0
+    w = np.exp([weights[k] for k in range(400)])
+    for _ in range(50):
+        drawn += sum(k % 2 for k in rng.choice(400, len(chosen[0]), replace=False, p=w / w.sum()))
+    share = sum(k % 2 for c in chosen for k in c) / sum(map(len, chosen))
+    assert abs(share - drawn / 50 / len(chosen[0])) < 0.08
+
+
 def test_features_of_a_text_alone():
     rng = random.Random(2)
     texts = [bytes(rng.choices(b"ab \n\xc3\xa9", k=rng.choice([0, 1, 2, 3, 4, 30]))) for _ in range(300)]
@@ -478,3 +575,25 @@ def test_quality_classifier_edges(spark, docs, nothing):
     assert select_quality(docs, labels).count() == len(awkward())
     assert select_quality(nothing, labels).count() == 0
     assert select_quality(docs, labels.limit(0)).filter("NOT selected").count() == 0
+
+
+def test_components(spark, monkeypatch):
+    rng = random.Random(3)
+    graphs = [[], [(1, 1)], [(k, k + 1) for k in range(200)], [(k, 0) for k in range(1, 100)], [(a, b) for a in range(30) for b in range(a)], [(rng.randrange(300), rng.randrange(300)) for _ in range(200)], [(a, a ^ 1) for a in range(40)] + [(39, 5), (5, 39), (100, 0)]]
+    for links in graphs:
+        root = {x: x for e in links for x in e}
+
+        def find(x):
+            while root[x] != x:  # noqa: B023
+                x = root[x]  # noqa: B023
+            return x
+
+        for a, b in links:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        with common.Scratch(spark) as scratch:
+            found = connected_components(spark.createDataFrame(links, "a long, b long"), scratch, "g").collect()
+            assert counted(found) == Counter((x, find(x)) for x in root if find(x) != x)
+    monkeypatch.setattr("tessera.llm.components.ROUNDS", 2)
+    with common.Scratch(spark) as scratch, pytest.raises(RuntimeError):
+        connected_components(spark.createDataFrame(graphs[2], "a long, b long"), scratch, "g")
