@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, Scratch, bounded_semi, only, row_key
-from .components import connected_components
+from .components import connected_components, downhill_roots
 from .shingles import as_bytes, batched, grams, shingle_set, small, word_hashes
 
 SKETCH_BITS = 22
 CHUNKS = 256
 #: Words of 64 bits of a set's parities: bit k tells whether an odd number of shingles hash to range k.
 PARITIES = 4
+#: N-grams of a class that go with each of its postings, so that a pair is made but once.
+HEAD = 12
 
 
 def _texts(column):
@@ -98,7 +100,8 @@ def _sets(n: int):
             found = [shingle_set(words, n).view(np.int64) for words in _texts(batch["text"])]
             flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), pa.int64())
             bounds = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch["i"], pa.ListArray.from_arrays(bounds, flat)], ["i", "shingles"])
+            kept = [k for k in batch.schema.names if k != "text"]
+            yield pa.RecordBatch.from_arrays([*[batch[k] for k in kept], pa.ListArray.from_arrays(bounds, flat)], [*kept, "shingles"])
 
     return sets
 
@@ -164,19 +167,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     pairs = pairs.join(facts.select(F.col("i").alias(end), F.col("bits").alias(mine)), end)
                 pairs = pairs.filter(_may_equal(percent, F.col("size"))).drop("bits1", "bits2")
             else:
-                held = scratch.table(_with_earlier(labelled.join(span.select("gram"), "gram"), facts), "held")
-                # Both sides rename all columns: equal plans, so the table is shuffled once for both.
+                held = _with_head(labelled.join(span.select("gram"), "gram"), facts)
+                # Both sides rename all columns: equal plans, so the rows are shuffled once for both.
                 left, right = (held.select([F.col(k).alias(f"{k}{side}") for k in held.columns]) for side in (1, 2))
-                # A pair is made once, at its first common n-gram.
-                once = (F.col("root1") < F.col("root2")) & _may_reach(percent) & _may_equal(percent, F.col("n1") + F.col("n2")) & ~F.arrays_overlap("earlier1", "earlier2")
-                pairs = left.join(right, (F.col("gram1") == F.col("gram2")) & once)
-                pairs = pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"), (F.col("n1") + F.col("n2")).alias("size"))
+                pairs = left.join(right, (F.col("gram1") == F.col("gram2")) & (F.col("root1") < F.col("root2")) & _may_reach(percent) & _may_equal(percent, F.col("n1") + F.col("n2")) & _at_first())
+                pairs = pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b"), (F.col("n1") + F.col("n2")).alias("size")).distinct()
             if verified is not None:
                 pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
             pairs = scratch.table(pairs, f"pairs-{stage}")
-            scratch.drop("held")
             found = (_verify_by_differences if links else _verify)(rows, members, classes, pairs, n, percent, scratch, stage)
-            scratch.drop(f"sets-{stage}", f"pairs-{stage}")
+            scratch.drop(f"sets-{stage}", f"pairs-{stage}", "apart")
             verified = found if verified is None else verified.unionByName(found)
             # Links of earlier stages go in as what they made: one link from each node to its root.
             similar = found.filter("similar").select("a", "b")
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         columns = ["c", "keeper"]
         named = named.join(keepers, "root")
         if links:
-            named = named.join(_linked(classes, verified, scratch), "i", "left").withColumn("n_links", F.col("rows") - 1 + F.coalesce("linked", F.lit(0)))
+            named = named.join(_linked(verified), "i", "left").withColumn("n_links", F.col("rows") - 1 + F.coalesce("linked", F.lit(0)))
             columns.append("n_links")
         named = scratch.table(named.select(*columns), "components")
         out = members.select("doc_id", "row", "n", F.when(F.col("n") > 0, F.col("c")).alias("c")).join(named, "c", "left")
@@ -200,23 +200,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return out.select(*columns).checkpoint()
 
 
-def _linked(classes: DataFrame, verified: DataFrame, scratch: Scratch) -> DataFrame:
+def _linked(verified: DataFrame) -> DataFrame:
     """i, linked: of each class the rows of the classes that it links with."""
-    pairs = verified.filter("similar").select("a", "b")
-    for end in "ab":
-        pairs = pairs.join(classes.select(F.col("i").alias(end), F.col("rows").alias(f"rows_{end}")), end)
-    pairs = scratch.table(pairs, "linked")
+    pairs = verified.filter("similar")
     ends = pairs.select(F.col("a").alias("i"), F.col("rows_b").alias("rows")).union(pairs.select("b", "rows_a"))
     return ends.groupBy("i").agg(F.sum("rows").alias("linked"))
 
 
-def _with_earlier(held: DataFrame, facts: DataFrame) -> DataFrame:
-    """Postings with their class's parities and the n-grams among them that come before in the same
-    prefix."""
+def _with_head(held: DataFrame, facts: DataFrame) -> DataFrame:
+    """Postings with their class's parities, the first HEAD of its n-grams among them, and the place of
+    the posting's own there (from 1)."""
     lists = held.groupBy("i").agg(F.first("n").alias("n"), F.first("root").alias("root"), F.array_sort(F.collect_list(F.struct("at", "gram"))).alias("items"))
-    each = lists.join(facts, "i").select("i", "n", "root", "bits", F.posexplode("items").alias("k", "item"), "items")
-    earlier = F.transform(F.slice("items", F.lit(1), F.col("k")), lambda x: x["gram"])
-    return each.select("item.gram", "i", "n", "root", "item.at", "bits", earlier.alias("earlier"))
+    head = F.transform(F.slice("items", 1, HEAD), lambda x: x["gram"])
+    each = lists.join(facts, "i").select("i", "n", "root", "bits", head.alias("head"), F.posexplode("items").alias("k", "item"))
+    return each.select("item.gram", "i", "n", "root", "item.at", "bits", "head", (F.col("k") + 1).alias("place"))
+
+
+def _at_first():
+    """Whether a pair is to be made at an n-gram: at the first that both heads hold, or, should they hold
+    none, at each common one."""
+    both = (F.col("place1") <= HEAD) & (F.col("place2") <= HEAD)
+    before = lambda side: F.slice(f"head{side}", F.lit(1), F.least(F.col(f"place{side}") - 1, F.lit(HEAD)))
+    return F.when(both, ~F.arrays_overlap(before(1), before(2))).otherwise(~F.arrays_overlap("head1", "head2"))
 
 
 def _overlap(percent: int, total):
@@ -239,20 +244,24 @@ def _may_equal(percent: int, size):
     return apart <= size - 2 * _overlap(percent, size)
 
 
-def _whole_sets(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, scratch: Scratch, stage: int) -> DataFrame:
-    """(i, shingles) of the classes that pairs name, from the text of one row of each."""
-    named = pairs.select(F.col("a").alias("i")).union(pairs.select("b")).distinct()
-    needed = scratch.table(classes.join(named, "i", "left_semi").select("row", "i"), f"needed-{stage}")
-    texts = bounded_semi(rows.select("row", "text"), needed, ["row"], "inner").select("i", "text")
+def _whole_sets(rows: DataFrame, members: DataFrame, named: DataFrame, n: int, scratch: Scratch, stage: int) -> DataFrame:
+    """The classes `named` (row, i and more) with their sets of shingles, from the text of one row of each."""
+    named = scratch.table(named, f"needed-{stage}")
+    texts = bounded_semi(rows.select("row", "text"), named, ["row"], "inner").drop("row")
     # Only rows that share a key can give a set twice; without any, nothing need be moved.
-    if members.join(needed, "row", "left_semi").count() > needed.count():
+    if members.join(named, "row", "left_semi").count() > named.count():
         texts = texts.dropDuplicates(["i"])
-    return scratch.table(texts.mapInArrow(_sets(n), "i long, shingles array<long>"), f"sets-{stage}")
+    schema = ", ".join(f"{c} {kind}" for c, kind in texts.drop("text").dtypes)
+    return scratch.table(texts.mapInArrow(_sets(n), f"{schema}, shingles array<long>"), f"sets-{stage}")
+
+
+def _named(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("i")).union(pairs.select("b")).distinct()
 
 
 def _verify(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
     """(a, b, similar) of the pairs, from whole sets."""
-    sets = _whole_sets(rows, members, classes, pairs, n, scratch, stage)
+    sets = _whole_sets(rows, members, classes.join(_named(pairs), "i", "left_semi").select("row", "i"), n, scratch, stage)
     both = pairs.join(sets.select(F.col("i").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("i").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     similar = common * (100 + percent) >= F.col("size") * percent
@@ -260,18 +269,29 @@ def _verify(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: Data
 
 
 def _verify_by_differences(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
-    """(a, b, similar) of the pairs, as `_verify` gives them.
+    """(a, b, similar) of the pairs, as `_verify` gives them, and the rows of both classes.
 
-    The classes that pairs connect are compared with one of them, whole set with whole set. What only
+    Classes are compared with one that pairs connect them with, whole set with whole set. What only
     one of two sets holds is what only one of their differences from a third holds, so differences,
-    which are small for near copies, are all that goes with a pair."""
-    sets = _whole_sets(rows, members, classes, pairs, n, scratch, stage)
-    roots = scratch.table(connected_components(pairs.select("a", "b"), scratch, "candidates"), "candidates")
-    both = sets.join(roots.withColumnRenamed("node", "i"), "i", "left").withColumn("root", F.coalesce("root", "i"))
-    both = both.join(sets.select(F.col("i").alias("root"), F.col("shingles").alias("other")), "root")
+    which are small for near copies, are all that goes with a pair. The few pairs whose classes were
+    compared with different ones are verified on whole sets."""
+    roots = scratch.table(downhill_roots(pairs, scratch, "candidates"), "candidates").withColumnRenamed("node", "i")
+    named = _named(pairs).join(roots, "i", "left").select("i", F.coalesce("root", "i").alias("root"))
+    sets = _whole_sets(rows, members, classes.select("row", "i", "rows").join(named, "i"), n, scratch, stage)
+    third = sets.filter("i = root").select("root", F.col("shingles").alias("other"))
     apart = F.concat(F.array_except("shingles", "other"), F.array_except("other", "shingles"))
-    apart = scratch.table(both.select("i", apart.alias("apart")), "apart")
-    both = pairs.join(apart.select(F.col("i").alias("a"), F.col("apart").alias("x")), "a").join(apart.select(F.col("i").alias("b"), F.col("apart").alias("y")), "b")
-    twice = F.col("size") - (F.size("x") + F.size("y") - 2 * F.size(F.array_intersect("x", "y")))  # twice the common shingles
-    similar = twice * (100 + percent) >= 2 * F.col("size") * percent
-    return scratch.table(both.select("a", "b", similar.alias("similar")), f"verified-{stage}")
+    apart = scratch.table(sets.join(third, "root").select("i", "root", "rows", apart.alias("apart")), "apart")
+    for end in "ab":
+        pairs = pairs.join(apart.select(F.col("i").alias(end), *[F.col(k).alias(f"{k}_{end}") for k in ("root", "rows", "apart")]), end)
+    common = F.size(F.array_intersect("apart_a", "apart_b"))
+    twice = F.col("size") - (F.size("apart_a") + F.size("apart_b") - 2 * common)  # twice the common shingles
+    similar = F.when(F.col("root_a") == F.col("root_b"), twice * (100 + percent) >= 2 * F.col("size") * percent)
+    judged = scratch.table(pairs.select("a", "b", "size", "rows_a", "rows_b", similar.alias("similar")), f"judged-{stage}")
+    rest = judged.filter("similar IS NULL")
+    if not rest.limit(1).count():
+        return judged.drop("size")
+    for end, side in (("a", "x"), ("b", "y")):
+        rest = rest.join(sets.select(F.col("i").alias(end), F.col("shingles").alias(side)), end)
+    whole = F.size(F.array_intersect("x", "y")) * (100 + percent) >= F.col("size") * percent
+    rest = scratch.table(rest.select("a", "b", "rows_a", "rows_b", whole.alias("similar")), f"rest-{stage}")
+    return judged.filter("similar IS NOT NULL").select(rest.columns).unionByName(rest)
