@@ -30,6 +30,16 @@ def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).filter("_n = 1").drop("_n")
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, name and size of every file below a folder, empty ones too (which Spark's readers pass over)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found, rows = at.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(at, True), []
+    while found.hasNext():
+        f = found.next()
+        rows.append((f.getPath().toString(), f.getPath().getName(), f.getLen()))
+    return spark.createDataFrame(rows, "path string, name string, size long")
+
+
 def read_cvat(spark: SparkSession, path: str, labels: tuple[str, ...] = ("ship",)) -> DataFrame:
     """Named images with their boxes: name, width, height, boxes. Labels are compared with white space
     collapsed (none given: all); missing numbers are 0, boxes with other text for a number go."""
@@ -56,7 +66,8 @@ def count_objects(spark: SparkSession, path: str) -> DataFrame:
     """file, objects: <object> elements at any depth of each XML file, files without any too. What
     stands in comments and CDATA is no element."""
     files = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "").alias("value"))
-    return files.select("file", F.size(F.regexp_extract_all("value", F.lit(r"<object[\s/>]"), F.lit(0))).cast("long").alias("objects"))
+    counts = files.select("file", F.size(F.regexp_extract_all("value", F.lit(r"<object[\s/>]"), F.lit(0))).cast("long").alias("objects"))
+    return list_files(spark, path).select(F.col("name").alias("file")).join(counts, "file", "left").fillna(0, ["objects"])
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -90,9 +101,10 @@ def count_dota(spark: SparkSession, path: str, names: DataFrame | None = None, l
     raw = spark.read.text(path, wholetext=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), "value")
     fields = F.transform(F.split("value", r"\r?\n"), lambda x: F.split(F.trim(x), r"\s+"))
     counts = raw.select("file", F.size(F.filter(fields, lambda f: (F.size(f) >= 9) & (F.get(f, F.lit(8)) == label))).cast("long").alias("objects"))
+    there = list_files(spark, path).select(F.col("name").alias("file"), F.lit(False).alias("missing")).join(counts, "file", "left")
     if names is None:
-        return counts
-    return names.select("file").distinct().join(counts, "file", "left").withColumn("missing", F.col("objects").isNull()).fillna(0, ["objects"])
+        return there.drop("missing").fillna(0, ["objects"])
+    return names.select("file").distinct().join(there, "file", "left").select("file", "objects", F.coalesce("missing", F.lit(True)).alias("missing")).fillna(0, ["objects"])
 
 
 def count_geojson(spark: SparkSession, path: str, types: tuple[int, ...] = MARITIME_TYPES) -> DataFrame:
@@ -247,9 +259,12 @@ def read_qa_tags(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_files(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
-    """path, name, size of every file below a folder, and its content if asked for."""
+    """path, name, size of every file below a folder, and its content if asked for (then without empty
+    files)."""
+    if not content:
+        return list_files(spark, path)
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return raw.select("path", p.base_name(F.col("path")).alias("name"), F.col("length").alias("size"), *["content"] * content)
+    return raw.select("path", p.base_name(F.col("path")).alias("name"), F.col("length").alias("size"), "content")
 
 
 def image_sizes(files: DataFrame) -> DataFrame:
