@@ -22,6 +22,9 @@ _FILE = [("part", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("n
 #: of, with the place of their first id in the part; data: the coded block with its checksum.
 FILE_SCHEMA = "part int, block long, first long, n long, docs array<struct<doc_id:long,at:long,n_tokens:long>>, data binary"
 
+#: Bytes of the input, as stored, that a task codes.
+PART_BYTES = 64 << 20
+
 
 def _writer(tokenizer: str, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -64,15 +67,21 @@ def _writer(tokenizer: str, end_id: int):
     return write
 
 
+def _parts(docs: DataFrame) -> int:
+    least, size = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(least, size // PART_BYTES + 1) if size < 1 << 60 else least  # beyond it the size isn't known
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> None:
     """Writes the ids of all documents, each with `end_id` after it, in ascending order of doc_id.
 
     Null texts are empty, null ids come first. Rows that repeat an id follow each other, ordered by
     their texts' hashes. Very long texts go over as many blocks as they need. Texts are dealt by
-    ranges of ids into `parts` stretches (the session's number of shuffle partitions by default),
-    each coded by a task of its own with at most 1024 blocks in memory.
+    ranges of ids into `parts` stretches (by default as many as the session's shuffle partitions, or one
+    for each PART_BYTES of the input if that is more), each coded by a task of its own with at most
+    2048 blocks in memory.
     """
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or _parts(docs)
     rows = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     rows.mapInArrow(_writer(tokenizer, end_id), FILE_SCHEMA).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
