@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions import parsing as p
 from ..functions import sql as functions
-from ..operators import detections, recovery, repair, reports, spatial, tracks
+from ..operators import detections, pipelines, recovery, repair, reports, spatial, tracks
 from ..policy import EXCLUDED_PARENTS, Policy
 from ..sources import writers
 from . import audit_queries as audit
@@ -251,3 +251,17 @@ def sql_functions(spark, d):
     text = """SELECT k, s, floor(rect_iou(x0, y0, x1, y1, 100D, 100D, 300D, 300D) * 1e6 + 0.5000001D) / 1e6 AS iou, floor(ring_area(rect_ring(x0, y0, x1, y1)) * 1e4 + 0.5000001D) / 1e4 AS area,
         floor(angle_between_axes(k % 180, 90) * 1e4 + 0.5000001D) / 1e4 AS turn, frame_time(k % 1000, 25) AS t, source_group_key(concat('a/im', s, '_row', k % 5, '_col1.png')) AS source FROM {boxes}"""
     return spark.sql(text, boxes=view(spark, d, "boxes"))
+
+
+@query(f"""{v.base('boxes', 'tiles')}, inside AS (SELECT t.tile_key, greatest(b.x0, tile_x) - tile_x AS u0, greatest(b.y0, tile_y) - tile_y AS v0, least(b.x1, tile_x + 1024) - tile_x AS u1, least(b.y1, tile_y + 1024) - tile_y AS v1, (b.x1 - b.x0) * (b.y1 - b.y0) AS size
+        FROM (SELECT p.*, c AS col, r AS row, c * 824 AS tile_x, r * 824 AS tile_y, parent_id || '_row' || r || '_col' || c AS tile_key FROM parents p, (SELECT CAST(unnest(range(0, 4)) AS INT) AS c), (SELECT CAST(unnest(range(0, 4)) AS INT) AS r) WHERE c <= (width - 1024) // 824 AND r <= (height - 1024) // 824) t
+        JOIN bounded b ON b.group_key = t.group_key AND b.x1 > tile_x AND b.x0 < tile_x + 1024 AND b.y1 > tile_y AND b.y0 < tile_y + 1024),
+    grid AS (SELECT parent_id || '_row' || r || '_col' || c AS tile_key, row_number() OVER (ORDER BY parent_id, r, c) - 1 AS seq FROM parents, (SELECT CAST(unnest(range(0, 4)) AS INT) AS c), (SELECT CAST(unnest(range(0, 4)) AS INT) AS r) WHERE c <= (width - 1024) // 824 AND r <= (height - 1024) // 824)
+    SELECT g.seq, g.tile_key || '.png' AS name, CAST(count(i.size) AS INT) AS objects, coalesce({q.half_up('sum((u1 - u0) * (v1 - v0))', 2)}, 0) AS pixels FROM grid g LEFT JOIN inside i ON i.tile_key = g.tile_key AND (u1 - u0) * (v1 - v0) >= 0.5 * size GROUP BY ALL""")
+def feature_tiles(spark, d):
+    images = v.parents(spark, d).select(F.concat("parent_id", F.lit(".tif")).alias("name"), "width", "height", "s")
+    parts = v.boxes(spark, d).join(v.parents(spark, d).select(F.col("group_key").alias("_g"), "parent_id"), F.col("group_key") == F.col("_g"))
+    key = F.when(F.col("s") % 2 == 0, F.concat("parent_id", F.lit(".tif"))).otherwise(F.col("parent_id"))  # by name or by stem
+    made = pipelines.tile_features(parts.select(key.alias("image"), "x0", "y0", "x1", "y1"), images)
+    size = lambda r: (r[2]["x"] - r[0]["x"]) * (r[2]["y"] - r[0]["y"])
+    return made.select("seq", "name", F.size("polygons").alias("objects"), g.round_half_up(F.aggregate("polygons", F.lit(0.0), lambda a, r: a + size(r)), 2).alias("pixels"))

@@ -35,6 +35,13 @@ def write_cvat(images: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").format("xml").options(rootTag="annotations", rowTag="image").save(path)
 
 
+def write_cvat_polygons(images: DataFrame, path: str, label: str = "ship") -> None:
+    """Images (seq, name, width, height, polygons) as CVAT XML, with points to two decimals."""
+    shape = lambda r: F.struct(F.lit(label).alias("_label"), F.lit("0").alias("_occluded"), F.lit("manual").alias("_source"), p.points_to_text(r).alias("_points"))
+    rows = images.select(F.col("seq").cast("string").alias("_id"), F.col("name").alias("_name"), F.col("width").cast("string").alias("_width"), F.col("height").cast("string").alias("_height"), F.transform("polygons", shape).alias("polygon"))
+    rows.write.mode("overwrite").format("xml").options(rootTag="annotations", rowTag="image").save(path)
+
+
 def write_yolo(labels: DataFrame, path: str) -> None:
     """Label lines of tiles (tile_key, line, class_id, poly, tile_width, tile_height), in one folder for
     each tile, in order of line."""
