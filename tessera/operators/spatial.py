@@ -22,9 +22,7 @@ def visible_tiles(obbs: DataFrame, tiles: DataFrame) -> DataFrame:
     t = tiles.select("group_key", "tile_key", "tile_source", "tile_x", "tile_y", "tile_width", "tile_height")
     touch = (F.col("x1") >= F.col("tile_x")) & (F.col("x0") <= F.col("tile_x") + F.col("tile_width")) & (F.col("y1") >= F.col("tile_y")) & (F.col("y0") <= F.col("tile_y") + F.col("tile_height"))
     pairs = obbs.alias("o").join(t.withColumnRenamed("group_key", "_group"), (F.col("group_key") == F.col("_group")) & touch).drop("_group")
-    share = g.overlap_ratio(F.col("poly"), F.col("tile_x"), F.col("tile_y"), F.col("tile_x") + F.col("tile_width"), F.col("tile_y") + F.col("tile_height"))
-    whole = (F.col("x0") >= F.col("tile_x")) & (F.col("x1") <= F.col("tile_x") + F.col("tile_width")) & (F.col("y0") >= F.col("tile_y")) & (F.col("y1") <= F.col("tile_y") + F.col("tile_height"))
-    return g.once(pairs, "visible", F.when(whole, F.lit(1.0)).otherwise(share))
+    return g.with_overlap(pairs, "visible", "poly", F.col("tile_x"), F.col("tile_y"), F.col("tile_x") + F.col("tile_width"), F.col("tile_y") + F.col("tile_height"))
 
 
 def fit_pairs(expected: DataFrame, labels: DataFrame, how: str, policy: Policy = DEFAULT) -> DataFrame:

@@ -45,7 +45,7 @@ def choose_recovery_origin(obbs: DataFrame, key: str, policy: Policy = DEFAULT)
     x, y, retained. Boxes of which no window keeps the policy's least share have no row."""
     size = policy.tile_size
     options = obbs.select(key, "poly", F.explode(origins_around(F.col("poly"), F.col("parent_width"), F.col("parent_height"), size)).alias("o"))
-    options = g.once(options, "retained", g.round_half_up(g.overlap_ratio(F.col("poly"), F.col("o.x"), F.col("o.y"), F.col("o.x") + size, F.col("o.y") + size), 6))
+    options = g.with_overlap(options, "_share", "poly", F.col("o.x"), F.col("o.y"), F.col("o.x") + size, F.col("o.y") + size).withColumn("retained", g.round_half_up(F.col("_share"), 6))
     best = options.groupBy(key).agg(F.max(F.struct("retained", (-F.col("o.y")).alias("y"), (-F.col("o.x")).alias("x"))).alias("b"))
     return best.filter(F.col("b.retained") >= policy.min_retained).select(key, (-F.col("b.x")).alias("x"), (-F.col("b.y")).alias("y"), F.col("b.retained").alias("retained"))
 
