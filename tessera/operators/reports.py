@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 
 
 
-def upper_median(values: str | Column) -> Column:
-    """Aggregate: the element at n div 2 of the sorted values."""
-    listed = F.array_sort(F.collect_list(values))
-    return F.element_at(listed, F.floor(F.size(listed) / 2).cast("int") + 1)
-
-
 def inventory(tiles: DataFrame, by: list[str], count: str) -> DataFrame:
     """tiles, total, least, most and upper median of a count for each group. Medians are taken from
     counts of values, so a group's rows are never gathered."""
