@@ -139,6 +139,29 @@ def test_links_inside_a_component_are_counted(spark, n, percent):
     assert plain == counted(found.drop("n_links").collect())
 
 
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_links_of_long_texts(spark, n, percent):
+    """Sets too large for the parities that go with postings, of lengths about a power of two, and pairs
+    on both sides of the similarity."""
+    rng = random.Random(percent)
+    texts = []
+    for length in (300, 1000, 1030, 2200):
+        base = [f"l{length}w{k}" for k in range(length)]
+        for k in range(9):
+            words = list(base)
+            for at in rng.sample(range(length), length * rng.choice([1, 2, 3, 4, 6]) * k // 800):
+                words[at] = f"x{rng.random()}"
+            texts.append(" ".join(words[: length - rng.randint(0, length // 20)]))
+    texts += [texts[3], " ".join(f"f{k}" for k in range(1500))]
+    sets = [frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) for w in (t.split() for t in texts)]
+    linked = {a: {b for b, y in enumerate(sets) if a != b and 100 * len(x & y) >= percent * len(x | y)} for a, x in enumerate(sets)}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = near_duplicates(df, n=n, percent=percent, links=True)
+    assert {r.doc_id: r.n_links for r in found.collect()} == {a: len(x) for a, x in linked.items()}
+    assert 0 < sum(not x for x in linked.values()) and max(map(len, linked.values())) >= 3
+    assert counted(near_duplicates(df, n=n, percent=percent).collect()) == counted(found.drop("n_links").collect())
+
+
 def test_quality_rules(spark, docs, nothing):
     for r in clean_lines(docs).filter("doc_id IS NOT NULL").collect():
         text = next(t for i, t, *_ in awkward() if i == r.doc_id) or ""
