@@ -34,6 +34,13 @@ def downhill_roots(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     raise RuntimeError("the roots of a graph did not settle")
 
 
+def thinned(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Of each node the links with its least and its greatest neighbour: two a node, which connect nearly
+    what all links do."""
+    ends = scratch.table(_both_ways(links.filter("a <> b")).groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most")), f"{name}-ends")
+    return ends.select("a", F.col("least").alias("b")).union(ends.select("a", "most"))
+
+
 def connected_components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, root) for each node of the links (a, b) but the roots: root is the least node reachable.
 

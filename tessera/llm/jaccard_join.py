@@ -11,13 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, Scratch, bounded_semi, only, row_key
-from .components import connected_components, downhill_roots
+from .components import connected_components, thinned
 from .shingles import as_bytes, batched, grams, shingle_set, small, word_hashes
 
 SKETCH_BITS = 22
 CHUNKS = 256
 #: Words of 64 bits of a set's parities: bit k tells whether an odd number of shingles hash to range k.
 PARITIES = 4
+#: Most words of 64 bits of the parities that whole sets are compared by: at least two ranges a shingle
+#: for sets of up to 2**14.
+LONG_PARITIES = 512
 #: N-grams of a class that go with each of its postings, so that a pair is made but once.
 HEAD = 12
 
@@ -94,14 +97,25 @@ def _profile(n: int, percent: int, shared):
     return profile
 
 
+def _parities(found: np.ndarray, words: int) -> np.ndarray:
+    """`words` words of 64 bits: whether an odd number of shingles have each remainder."""
+    odd = np.bincount((found & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    flat = pa.array(np.concatenate(values) if values else np.zeros(0, np.int64), pa.int64())
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), flat)
+
+
 def _sets(n: int):
     def sets(batches):
         for batch in small(batches):
-            found = [shingle_set(words, n).view(np.int64) for words in _texts(batch["text"])]
-            flat = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), pa.int64())
-            bounds = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+            found = [shingle_set(words, n) for words in _texts(batch["text"])]
+            # A power of two of words, so that the parities of two sets can be folded to one length.
+            bits = [_parities(x, min(LONG_PARITIES, max(PARITIES, 1 << (max(1, len(x)) // 32).bit_length()))) for x in found]
             kept = [k for k in batch.schema.names if k != "text"]
-            yield pa.RecordBatch.from_arrays([*[batch[k] for k in kept], pa.ListArray.from_arrays(bounds, flat)], [*kept, "shingles"])
+            yield pa.RecordBatch.from_arrays([*[batch[k] for k in kept], _lists(bits), _lists([x.view(np.int64) for x in found])], [*kept, "parities", "shingles"])
 
     return sets
 
@@ -245,23 +259,40 @@ def _may_equal(percent: int, size):
 
 
 def _whole_sets(rows: DataFrame, members: DataFrame, named: DataFrame, n: int, scratch: Scratch, stage: int) -> DataFrame:
-    """The classes `named` (row, i and more) with their sets of shingles, from the text of one row of each."""
+    """The classes `named` (row, i and more) with their sets of shingles and parities of these, from the
+    text of one row of each."""
     named = scratch.table(named, f"needed-{stage}")
     texts = bounded_semi(rows.select("row", "text"), named, ["row"], "inner").drop("row")
     # Only rows that share a key can give a set twice; without any, nothing need be moved.
     if members.join(named, "row", "left_semi").count() > named.count():
         texts = texts.dropDuplicates(["i"])
     schema = ", ".join(f"{c} {kind}" for c, kind in texts.drop("text").dtypes)
-    return scratch.table(texts.mapInArrow(_sets(n), f"{schema}, shingles array<long>"), f"sets-{stage}")
+    return scratch.table(texts.mapInArrow(_sets(n), f"{schema}, parities array<long>, shingles array<long>"), f"sets-{stage}")
 
 
 def _named(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("i")).union(pairs.select("b")).distinct()
 
 
+def _still_possible(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, stage: int) -> DataFrame:
+    """The pairs that the suffix filter leaves with parities as long as the sets ask for: those in the join
+    are too few for pairs of large sets, which may differ in more than an eighth of their ranges. Of two
+    lengths the longer parities are folded."""
+    allowed = F.col("size") - 2 * _overlap(percent, F.col("size"))
+    few, pairs = pairs.filter(allowed <= 8 * PARITIES), pairs.filter(allowed > 8 * PARITIES)
+    for end in "ab":
+        pairs = pairs.join(sets.select(F.col("i").alias(end), F.col("parities").alias(f"parities_{end}")), end)
+    fold = lambda mine, other: F.when(F.size(mine) > F.size(other), F.zip_with(F.slice(mine, F.lit(1), F.size(other)), F.slice(mine, F.size(other) + 1, F.size(other)), lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(mine))
+    apart = F.aggregate(F.zip_with(fold("parities_a", "parities_b"), fold("parities_b", "parities_a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    twofold = F.greatest(F.size("parities_a"), F.size("parities_b")) <= 2 * F.least(F.size("parities_a"), F.size("parities_b"))
+    bound = F.when(twofold, apart <= allowed).otherwise(F.lit(True))
+    return scratch.table(few.unionByName(pairs.filter(bound).select(few.columns)), f"possible-{stage}")
+
+
 def _verify(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
-    """(a, b, similar) of the pairs, from whole sets."""
+    """(a, b, similar) of the pairs that may be similar, from whole sets."""
     sets = _whole_sets(rows, members, classes.join(_named(pairs), "i", "left_semi").select("row", "i"), n, scratch, stage)
+    pairs = _still_possible(pairs, sets, percent, scratch, stage)
     both = pairs.join(sets.select(F.col("i").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("i").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     similar = common * (100 + percent) >= F.col("size") * percent
@@ -269,18 +300,21 @@ def _verify(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: Data
 
 
 def _verify_by_differences(rows: DataFrame, members: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int, scratch: Scratch, stage: int) -> DataFrame:
-    """(a, b, similar) of the pairs, as `_verify` gives them, and the rows of both classes.
+    """(a, b, similar) of the pairs that may be similar, as `_verify` gives them, and the rows of both
+    classes.
 
     Classes are compared with one that pairs connect them with, whole set with whole set. What only
     one of two sets holds is what only one of their differences from a third holds, so differences,
     which are small for near copies, are all that goes with a pair. The few pairs whose classes were
     compared with different ones are verified on whole sets."""
-    roots = scratch.table(downhill_roots(pairs, scratch, "candidates"), "candidates").withColumnRenamed("node", "i")
-    named = _named(pairs).join(roots, "i", "left").select("i", F.coalesce("root", "i").alias("root"))
-    sets = _whole_sets(rows, members, classes.select("row", "i", "rows").join(named, "i"), n, scratch, stage)
-    third = sets.filter("i = root").select("root", F.col("shingles").alias("other"))
+    sets = _whole_sets(rows, members, classes.join(_named(pairs), "i", "left_semi").select("row", "i", "rows"), n, scratch, stage)
+    pairs = _still_possible(pairs, sets, percent, scratch, stage)
+    roots = connected_components(thinned(pairs, scratch, "candidates"), scratch, "candidates").withColumnRenamed("node", "i")
+    named = scratch.table(_named(pairs).join(roots, "i", "left").select("i", F.coalesce("root", "i").alias("root")), f"rooted-{stage}")
+    left = bounded_semi(sets.select("i", "rows", "shingles"), named, ["i"], "inner")
+    third = left.filter("i = root").select("root", F.col("shingles").alias("other"))
     apart = F.concat(F.array_except("shingles", "other"), F.array_except("other", "shingles"))
-    apart = scratch.table(sets.join(third, "root").select("i", "root", "rows", apart.alias("apart")), "apart")
+    apart = scratch.table(left.join(third, "root").select("i", "root", "rows", apart.alias("apart")), "apart")
     for end in "ab":
         pairs = pairs.join(apart.select(F.col("i").alias(end), *[F.col(k).alias(f"{k}_{end}") for k in ("root", "rows", "apart")]), end)
     common = F.size(F.array_intersect("apart_a", "apart_b"))
