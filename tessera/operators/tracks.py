@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,20 +102,59 @@ def run_frames(tracker: Tracker, rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(track_id=ids, poly=pd.Series(polys, index=rows.index, dtype=object))
 
 
+def track_batches(batches: Iterator[pa.RecordBatch], policy: Policy = DEFAULT) -> Iterator[pa.RecordBatch]:
+    """Batches of observations (video, stretch, frame, det, cls, conf, poly) in that order with their track ids
+    and aligned polygons. Frames, which may go on in the next batch, are taken one by one: only a batch, a
+    frame and the tracks in reach are held, however long a video is."""
+    tracker, at, held = Tracker(policy), None, None
+
+    def placed(rows: pa.RecordBatch, cuts: np.ndarray) -> pa.RecordBatch:
+        nonlocal tracker, at
+        videos, stretches, frames, classes = (rows.column(c).to_pylist() for c in ("video", "stretch", "frame", "cls"))
+        points = rows.column("poly").flatten()
+        given = np.stack([points.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)], 1).reshape(-1, 4, 2)
+        ids, polys = [], []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if at != (videos[a], stretches[a]):
+                at, tracker = (videos[a], stretches[a]), Tracker(policy)
+            found, shown = tracker.update(frames[a], list(zip(classes[a:b], given[a:b], strict=True)))
+            ids += found
+            polys += shown
+        flat = np.array(polys).reshape(-1, 2)
+        rings = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["x", "y"])
+        poly = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 4), pa.int32()), rings)
+        names = ["video", "stretch", "frame", "det", "cls", "conf"]
+        return pa.RecordBatch.from_arrays([*(rows.column(c) for c in names), poly, pa.array(ids, pa.int64())], [*names, "poly", "track_id"])
+
+    for batch in batches:
+        rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if not rows.num_rows:
+            continue
+        videos = rows.column("video").dictionary_encode().indices.fill_null(-1).to_numpy()
+        new = np.diff(videos) != 0
+        for name in ("stretch", "frame"):
+            new |= np.diff(rows.column(name).to_numpy()) != 0
+        cuts = np.concatenate([[0], np.flatnonzero(new) + 1])
+        if len(cuts) > 1:
+            yield placed(rows.slice(0, int(cuts[-1])), cuts)
+        held = rows.slice(int(cuts[-1]))
+    if held is not None:
+        yield placed(held, np.array([0, held.num_rows]))
+
+
 def assign_tracks(detections: DataFrame, policy: Policy = DEFAULT, stretches: int = 256) -> DataFrame:
     """Adds track_id to detections (video, frame, det, cls, conf, poly of four corners). No track goes
     over more than `track_gap` frames without a detection, so a video is cut there: each `stretches` of them
-    are one ordered group, and its ids go on from those of the groups before it."""
-
-    def track(rows: pd.DataFrame) -> pd.DataFrame:
-        return run_frames(Tracker(policy), rows)[["video", "frame", "det", "cls", "conf", "poly", "track_id", "stretch"]]
+    are one ordered group, and its ids go on from those of the groups before it. A group streams through its
+    task in the order of frames, so that its length doesn't bound memory."""
 
-    rows = detections.select("video", "frame", "det", "cls", "conf", "poly")
+    rows = detections.select("video", F.col("frame").cast("long").alias("frame"), F.col("det").cast("long").alias("det"), "cls", F.col("conf").cast("double").alias("conf"), "poly")
     frames = rows.select("video", "frame").distinct()
     order = Window.partitionBy("video").orderBy("frame")
     starts = (F.col("frame") - F.lag("frame").over(order) > policy.track_gap + 1).cast("int")
     frames = frames.withColumn("_new", F.coalesce(starts, F.lit(0))).withColumn("stretch", F.floor(F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)) / stretches)).drop("_new")
-    found = rows.join(frames, ["video", "frame"]).groupBy("video", "stretch").applyInPandas(track, f"{OBSERVATION}, stretch long")
+    ordered = rows.join(frames, ["video", "frame"]).select("video", "stretch", "frame", "det", "cls", "conf", "poly").repartition("video", "stretch").sortWithinPartitions("video", "stretch", "frame", "det")
+    found = ordered.mapInArrow(lambda batches: track_batches(batches, policy), f"video string, stretch long, {OBSERVATION.removeprefix('video string, ')}")
     made = found.groupBy("video", "stretch").agg(F.max("track_id").alias("_made"))
     before = Window.partitionBy("video").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     made = made.withColumn("_before", F.coalesce(F.sum("_made").over(before), F.lit(0))).drop("_made")

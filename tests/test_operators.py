@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,3 +219,20 @@ def test_tracks_align_corners_and_go_on_over_stretches(spark, stretches):
     for frame in {r.frame for r in final}:
         mine = sorted((r for r in final if r.frame == frame), key=lambda r: r.place)
         assert [r.place for r in mine] == list(range(1, len(mine) + 1)) and [r.track_id for r in mine] == sorted(r.track_id for r in mine)
+
+
+def test_tracks_stream_through_batches():
+    """A long video's tracks come out before its last batch goes in, and are those of the video in one piece."""
+    rng, kind = random.Random(11), pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+    corners = lambda x: [{"x": float(x + i), "y": float(j)} for i, j in ((0, 0), (30, 0), (30, 30), (0, 30))]
+    seen = [(v, 0, f, 10 * f + d, "ship", 0.5, corners(100 * d + rng.randint(0, 9))) for v in "ab" for f in range(12) for d in range(3)]
+    polys = [r[6] for r in seen]
+    table = pa.table({n: pa.array([r[k] for r in seen]) for k, n in enumerate(("video", "stretch", "frame", "det", "cls", "conf"))} | {"poly": pa.array(polys, kind)})
+    went = []
+    feed = lambda size: (went.append(b.num_rows) or b for b in table.to_batches(size))
+    pieces = tracks.track_batches(feed(5))
+    first = next(pieces)
+    assert len(went) == 1 and first.num_rows == 3  # the frame that the batch may cut waits
+    small = pa.Table.from_batches([first, *pieces])
+    assert small.to_pylist() == pa.Table.from_batches(list(tracks.track_batches(feed(1000)))).to_pylist()
+    assert small.column("track_id").to_pylist() == [1, 2, 3] * 24 and len(small) == len(seen)
