@@ -1,9 +1,12 @@
 import math
+from functools import reduce
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as g
+from tessera.functions.kernels import Polygons
 
 
 def value(spark, column):
@@ -91,3 +94,21 @@ def test_alignment_and_score(spark):
     assert pairs(value(spark, g.align_polygon(turned, square()))) == [(0, 0), (10, 0), (10, 10), (0, 10)]
     assert value(spark, g.match_score(square(), square())) == pytest.approx(1)
     assert value(spark, g.match_score(square(), quad((500, 0), (510, 0), (510, 10), (500, 10)))) == 0
+
+
+def test_bounds_met_exactly_count_alike(spark):
+    """Centres of equal boxes eight pixels apart, and the area of a row whatever its batch holds."""
+    rows = [(k, 100.37 + 13 * k, 900.61 + 7 * k, float(k)) for k in range(180)]
+    at = lambda d: g.corners(F.col("x") + d, F.col("y"), F.lit(40.0), F.lit(12.0), F.radians("t"))
+    pairs = spark.createDataFrame(rows, "k int, x double, y double, t double").withColumn("a", at(0)).withColumn("b", at(8))
+    plain = lambda values: reduce(lambda a, b: a + b, values)
+    for r in pairs.withColumn("d", g.centroid_distance(F.col("a"), F.col("b"))).withColumn("s", g.area(F.col("a"))).collect():
+        mean = [[plain(c[i] for c in p) / 4 for i in (0, 1)] for p in (r.a, r.b)]
+        assert r.d == math.sqrt((mean[0][0] - mean[1][0]) ** 2 + (mean[0][1] - mean[1][1]) ** 2)
+        assert r.s == abs(plain(p.x * q.y - q.x * p.y for p, q in zip(r.a, r.a[1:] + r.a[:1], strict=True))) / 2
+    rng = np.random.default_rng(5)
+    x, y = rng.uniform(0, 3000, (500, 8)), rng.uniform(0, 3000, (500, 8))
+    one = [Polygons(x[k : k + 1, :4], y[k : k + 1, :4], np.array([4])).area()[0] for k in range(500)]
+    assert Polygons(x, y, np.full(500, 4)).area().tolist() == one
+    six = [Polygons(x[k : k + 1, :6], y[k : k + 1, :6], np.array([6])).area()[0] for k in range(500)]
+    assert Polygons(x, y, np.full(500, 6)).area().tolist() == six

@@ -186,3 +186,11 @@ def test_long_copies_are_compared_whole(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([(k, t, "en", "web", len(t)) for k, t in enumerate(texts)], schema).write.parquet(str(tmp_path / "documents.parquet"))
     assert rows(report_queries.dup_candidates(spark, str(tmp_path))) == [(50, "web", 2, 1), (9000, "web", 3, 2)]
+
+
+def test_near_labels_of_different_cells(spark):
+    """Two flat labels on both sides of a cell's border whose centres are near, and equal rows counted each."""
+    flat = lambda y, x=10.0: [(x, y), (x + 10, y), (x + 10, y + 4), (x, y + 4)]
+    labels = [("t", 1, flat(59.0)), ("t", 2, flat(65.0))] + [("t", k, flat(200.0 + 20 * k, 400.0)) for k in range(3, 11)] + [("u", 1, flat(0.0)), ("u", 2, flat(0.0)), ("u", 2, flat(0.0))]
+    found = spatial.label_pairs(spark.createDataFrame(labels, "tile_key string, line long, poly array<struct<x:double,y:double>>"))
+    assert rows(found.select("tile_key", "first", "second", "iou")) == [("t", 1, 2, 0.0), ("u", 1, 2, 1.0), ("u", 1, 2, 1.0)]
