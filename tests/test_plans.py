@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import recovery, spatial
-from tessera.plans import audit_queries, repair_queries, report_queries, views
+from tessera.plans import audit_queries, operation_queries, repair_queries, report_queries, views
 
 
 def rows(df):
@@ -194,3 +194,22 @@ def test_near_labels_of_different_cells(spark):
     labels = [("t", 1, flat(59.0)), ("t", 2, flat(65.0))] + [("t", k, flat(200.0 + 20 * k, 400.0)) for k in range(3, 11)] + [("u", 1, flat(0.0)), ("u", 2, flat(0.0)), ("u", 2, flat(0.0))]
     found = spatial.label_pairs(spark.createDataFrame(labels, "tile_key string, line long, poly array<struct<x:double,y:double>>"))
     assert rows(found.select("tile_key", "first", "second", "iou")) == [("t", 1, 2, 0.0), ("u", 1, 2, 1.0), ("u", 1, 2, 1.0)]
+
+
+def test_parents_past_9999_share_names(spark, tmp_path):
+    """Names hold four digits of a key, so tiles of several parents have one name: as the SQL counts them."""
+    duckdb = pytest.importorskip("duckdb")
+    rng, keys = random.Random(6), [1234, *range(12340, 12350)]
+    lines = [(k + 1, rng.randrange(1, 240), rng.choice(keys), k % 3 + 1, float(rng.randint(20, 50)), 1000.0 + k, "ANR"[k % 3]) for k in range(400)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string"
+    spark.createDataFrame(lines, schema).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(k, f"S{k}", k % 25) for k in keys], "s_suppkey long, s_name string, s_nationkey int").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    db = duckdb.connect()
+    for name in ("lineitem", "supplier"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    for name, module in (("roi_coverage", audit_queries), ("tile_area_stats", operation_queries), ("recovery_effectiveness", audit_queries), ("coverage_cascade", audit_queries)):
+        found = module.QUERIES[name](spark, str(tmp_path))
+        # The SQL takes any group_key of the first tile.
+        columns = ", ".join("CASE WHEN issue_type NOT LIKE '%multiple%' THEN group_key END AS group_key" if c == "group_key" else c for c in found.columns)
+        want = sorted(db.execute(f"SELECT {columns} FROM ({module.SQL[name]})").fetchall(), key=repr)
+        assert rows(found.selectExpr(*columns.replace("%multiple%'", "%multiple%'").split(", "))) == want, name
