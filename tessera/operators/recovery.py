@@ -46,18 +46,32 @@ def compatible(a: dict[str, Column], b: dict[str, Column], policy: Policy = DEFA
 def cluster_links(candidates: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     """Pairs (parent, a, b) of compatible candidates, a before b in `seq`. Candidates: parent, seq,
     poly, angle, edge_touch. Only pairs whose envelopes, widened by the largest gap allowed, meet are
-    compared."""
+    compared: both are in a cell of the parent's plane then, and the first such cell compares them."""
     from .spatial import with_bounds
 
-    boxed = with_bounds(candidates)
+    boxed = with_bounds(candidates.select("parent", "seq", "poly", "angle", "edge_touch"))
     long = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
     wide = boxed.withColumn("reach", F.greatest(F.lit(policy.gap_floor), policy.gap_ratio * 1.5 * long))
-    right = wide.select(*[F.col(c).alias(f"r_{c}") for c in ("parent", "seq", "poly", "angle", "edge_touch", "x0", "y0", "x1", "y1", "reach")])
+    wide = g.once(wide, "turn", F.struct(F.cos(F.radians("angle")).alias("c"), F.sin(F.radians("angle")).alias("s"))).select("*", "turn.c", "turn.s").drop("turn")
+    spans = lambda poly, degrees: F.when(F.size(poly) == 4, g.quad_extents(poly, F.col("c"), F.col("s"))).otherwise(g.extents(poly, degrees))
+    wide = g.once(wide, "own", spans(F.col("poly"), F.col("angle")))
+    cell = lambda v: F.floor(v / policy.link_cell)
+    low = {k: F.col(f"{k}0") - 2 * F.col("reach") for k in "xy"}
+    cells = {k: F.sequence(cell(low[k]), cell(F.col(f"{k}1") + 2 * F.col("reach"))) for k in "xy"}
+    wide = wide.withColumns({f"c{k}": cell(low[k]) for k in "xy"}).withColumn("at_x", F.explode(cells["x"])).withColumn("at_y", F.explode(cells["y"]))
+    right = wide.select(*[F.col(c).alias(f"r_{c}") for c in ("parent", "seq", "poly", "angle", "edge_touch", "x0", "y0", "x1", "y1", "reach", "cx", "cy", "at_x", "at_y")])
     reach = 2 * F.greatest("reach", "r_reach")
     meet = (F.col("x0") - reach <= F.col("r_x1")) & (F.col("r_x0") - reach <= F.col("x1")) & (F.col("y0") - reach <= F.col("r_y1")) & (F.col("r_y0") - reach <= F.col("y1"))
-    pairs = wide.join(right, (F.col("parent") == F.col("r_parent")) & (F.col("seq") < F.col("r_seq")) & meet)
-    side = lambda p: {k: F.col(f"{p}{k}") for k in ("poly", "angle", "edge_touch")}
-    return pairs.filter(compatible(side(""), side("r_"), policy)).select("parent", F.col("seq").alias("a"), F.col("r_seq").alias("b"))
+    same = (F.col("parent") == F.col("r_parent")) & (F.col("at_x") == F.col("r_at_x")) & (F.col("at_y") == F.col("r_at_y"))
+    first = (F.col("at_x") == F.greatest("cx", "r_cx")) & (F.col("at_y") == F.greatest("cy", "r_cy"))
+    turned = g.angle_difference(F.col("angle"), F.col("r_angle")) <= policy.cluster_angle
+    pairs = wide.join(right, same & first & (F.col("seq") < F.col("r_seq")) & meet & turned)
+    pairs = g.once(pairs, "other", spans(F.col("r_poly"), F.col("angle")))
+    pairs = g.once(pairs, "o", g.hull_overlap(F.col("own"), F.col("other")))
+    span = lambda k: F.greatest(F.col(f"own.{k}1") - F.col(f"own.{k}0"), F.col(f"other.{k}1") - F.col(f"other.{k}0"))
+    near = [F.col(f"o.gap_{k}") <= F.greatest(F.lit(policy.gap_floor), policy.gap_ratio * span(k)) for k in "uv"]
+    linked = (F.col("o.hull_iou") >= policy.hull_iou) | ((F.col("edge_touch") | F.col("r_edge_touch")) & near[0] & near[1]) | ((F.col("o.inter_u") > 0) & (F.col("o.inter_v") > 0))
+    return pairs.filter(linked).select("parent", F.col("seq").alias("a"), F.col("r_seq").alias("b"))
 
 
 def clusters(candidates: DataFrame, links: DataFrame) -> DataFrame:

@@ -297,3 +297,20 @@ def test_recovered_annotations(spark):
             assert r.ambiguous == (len(members) > 1 and best["score"] - ranked[1]["score"] < DEFAULT.winner_gap)
     assert merged >= 3
     assert with_bounds(df).count() == len(items)
+
+
+def test_cluster_links_meet_in_cells(spark):
+    """Far apart candidates share no key of the join; links over cells' borders are those of all pairs, of six corners too."""
+    rng, items = random.Random(9), []
+    for k in range(150):
+        angle = rng.choice([0.0, 4.0, 90.0])
+        poly = ring(rng.choice([-256, 0, 256, 512]) + rng.uniform(-30, 30), rng.choice([0, 256]) + rng.uniform(-30, 30), rng.choice([20, 100]), 12, angle)
+        items.append(("p", k, points(poly[:1] + [tuple((a + b) / 2 for a, b in zip(*poly[:2], strict=True))] + poly[1:] if k % 7 == 0 else poly), angle, k % 3 == 0))
+    df = spark.createDataFrame(items, f"parent string, seq long, poly {RING}, angle double, edge_touch boolean")
+    links = recovery.cluster_links(df)
+    a, b = df, df.select(*[F.col(c).alias(f"r_{c}") for c in df.columns])
+    side = lambda p: {k: F.col(f"{p}{k}") for k in ("poly", "angle", "edge_touch")}
+    want = a.join(b, F.col("seq") < F.col("r_seq")).filter(recovery.compatible(side(""), side("r_"))).select("seq", "r_seq").collect()
+    assert sorted((r.a, r.b) for r in links.collect()) == sorted(map(tuple, want)) and len(want) > 50
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert "(at_x#" in plan and "= r_at_x#" in plan
