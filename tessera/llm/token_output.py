@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, only
-from .range_coder import BLOCK, LANES, decode_blocks, encode_blocks
+from .jvm_coder import decoded, encoded, register
+from .range_coder import BLOCK
 from .shingles import as_bytes, small
 from .tokenizing import encoder_of
 
@@ -25,6 +26,9 @@ FILE_SCHEMA = "part int, block long, first long, n long, docs array<struct<doc_i
 #: Bytes of the input, as stored, that a task codes.
 PART_BYTES = 64 << 20
 
+#: Blocks of ids that a task gathers before it gives them out.
+HELD = 64
+
 
 def _writer(tokenizer: str, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -35,23 +39,23 @@ def _writer(tokenizer: str, end_id: int):
 
         def blocks(last: bool):
             nonlocal held, docs, done
-            ids = np.frombuffer(bytes(held), "<u4")
-            many = -(-len(ids) // BLOCK) if last else len(ids) // BLOCK
-            cut = [ids[k * BLOCK : (k + 1) * BLOCK] for k in range(many)]
-            coded, rows, k = encode_blocks(cut), [], 0
-            for b, block in enumerate(cut):
-                first = done + b * BLOCK
+            size = len(held) // 4
+            many = -(-size // BLOCK) if last else size // BLOCK
+            rows, k = [], 0
+            for b in range(many):
+                block = bytes(held[4 * b * BLOCK : 4 * (b + 1) * BLOCK])
+                first, n = done + b * BLOCK, len(block) // 4
                 inside, j = [], k
-                while j < len(docs) and docs[j]["at"] < first + len(block):
+                while j < len(docs) and docs[j]["at"] < first + n:
                     inside.append(docs[j])
                     j += 1
-                k = j - 1 if inside and inside[-1]["at"] + inside[-1]["n_tokens"] > first + len(block) else j
-                rows.append((part, first // BLOCK, first, len(block), inside, coded[b]))
+                k = j - 1 if inside and inside[-1]["at"] + inside[-1]["n_tokens"] > first + n else j
+                rows.append((part, first // BLOCK, first, n, inside, block))
             docs = docs[k:]
-            done += sum(map(len, cut))
-            held = held[4 * sum(map(len, cut)) :]
-            for at in range(0, len(rows), 256):
-                columns = zip(*rows[at : at + 256], strict=True)
+            done += min(size, many * BLOCK)
+            held = held[4 * many * BLOCK :]
+            if rows:
+                columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _FILE, strict=True)], [n for n, _ in _FILE])
 
         for batch in small(batches):
@@ -60,7 +64,7 @@ def _writer(tokenizer: str, end_id: int):
                 docs.append({"doc_id": doc_id, "at": total, "n_tokens": len(raw) // 4})
                 total += len(raw) // 4
                 held += raw
-                if len(held) >= 4 * BLOCK * LANES:
+                if len(held) >= 4 * BLOCK * HELD:
                     yield from blocks(False)
         yield from blocks(True)
 
@@ -78,13 +82,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id
     Null texts are empty, null ids come first. Rows that repeat an id follow each other, ordered by
     their texts' hashes. Very long texts go over as many blocks as they need. Texts are dealt by
     ranges of ids into `parts` stretches (by default as many as the session's shuffle partitions, or one
-    for each PART_BYTES of the input if that is more), each coded by a task of its own with at most
-    2048 blocks in memory.
+    for each PART_BYTES of the input if that is more), each coded by a task of its own, whose Python worker
+    gives the ids in whole blocks, HELD of them at a time, and whose JVM codes one block after another.
     """
+    register(docs.sparkSession)
     parts = parts or _parts(docs)
     rows = only(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    rows.mapInArrow(_writer(tokenizer, end_id), FILE_SCHEMA).write.mode("overwrite").option("compression", "uncompressed").parquet(path)
+    blocks = rows.mapInArrow(_writer(tokenizer, end_id), FILE_SCHEMA).withColumn("data", encoded(F.col("data")))
+    blocks.write.mode("overwrite").option("compression", "uncompressed").parquet(path)
 
 
 def _zeros_crc(crc: int, n: int) -> int:
@@ -103,31 +109,21 @@ def joined_crc(parts: list[tuple[int, int]]) -> int:
     return crc
 
 
-def _reader(with_ids: bool):
-    names = ["part", "at", "doc_id", "n_tokens", "piece_at", "n", "crc", *["ids"] * with_ids]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-
-    def read(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, LANES):
-                some = batch.slice(start, LANES)
-                rows = []
-                decoded = decode_blocks([x.as_py() for x in some["data"]])
-                for part, first, docs, ids in zip(some["part"].to_pylist(), some["first"].to_pylist(), some["docs"].to_pylist(), decoded, strict=True):
-                    for d in docs:
-                        a, b = max(d["at"], first), min(d["at"] + d["n_tokens"], first + len(ids))
-                        raw = ids[a - first : b - first].tobytes()
-                        rows.append((part, d["at"], d["doc_id"], d["n_tokens"], a, b - a, zlib.crc32(raw), *[raw] * with_ids))
-                columns = list(zip(*rows, strict=True)) or [[] for _ in names]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=False)], names)
-
-    return read
-
-
 def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
-    """Decoded blocks, cut at documents: part, at, doc_id, n_tokens, piece_at, n, crc (and ids)."""
-    schema = "part int, at long, doc_id long, n_tokens long, piece_at long, n long, crc long" + ", ids binary" * with_ids
-    return spark.read.schema(FILE_SCHEMA).parquet(path).mapInArrow(_reader(with_ids), schema)
+    """Decoded blocks, cut at documents: part, at, doc_id, n_tokens, piece_at, n, crc (and ids). A damaged
+    block fails the query."""
+    register(spark)
+    files = spark.read.schema(FILE_SCHEMA).parquet(path)
+    # Behind a one-row generator a block is decoded once, whatever is taken from it.
+    blocks = files.select("part", "first", "n", "docs", F.explode(F.array(decoded(F.col("data")))).alias("ids"))
+
+    def piece(d):
+        a, b = F.greatest(d["at"], "first"), F.least(d["at"] + d["n_tokens"], F.col("first") + F.col("n"))
+        raw = F.substring("ids", (4 * (a - F.col("first")) + 1).cast("int"), (4 * (b - a)).cast("int"))
+        fields = {"at": d["at"], "doc_id": d["doc_id"], "n_tokens": d["n_tokens"], "piece_at": a, "n": b - a, "crc": F.crc32(raw)} | ({"ids": raw} if with_ids else {})
+        return F.struct(*[c.alias(name) for name, c in fields.items()])
+
+    return blocks.select("part", F.inline(F.transform("docs", piece)))
 
 
 def _part_bases(spark: SparkSession, path: str) -> DataFrame:

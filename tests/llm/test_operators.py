@@ -16,6 +16,7 @@ from tessera.llm.components import connected_components
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.html_extraction import extract_pages, read_page, site_templates
 from tessera.llm.jaccard_join import near_duplicates
+from tessera.llm.jvm_coder import decoded, encoded, register
 from tessera.llm.mixing import mix_sources, water_fill
 from tessera.llm.packing import best_fit, pack_documents, sequences
 from tessera.llm.quality_classifier import BUCKETS, _features, select_quality
@@ -24,7 +25,7 @@ from tessera.llm.range_coder import BLOCK, decode_blocks, encode_blocks
 from tessera.llm.sharding import affected, cut_line, equal_capacities, min_cost_flow, plan_files, read_shards, rewrite_shards, transfers, write_shards
 from tessera.llm.shingles import word_hashes
 from tessera.llm.token_counts import token_counts
-from tessera.llm.token_output import joined_crc, read_ids, stored_tokens, write_tokens
+from tessera.llm.token_output import joined_crc, read_ids, read_pieces, stored_tokens, write_tokens
 from tessera.llm.tokenizing import PieceEncoder
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -352,6 +353,26 @@ def test_range_coder():
     assert joined_crc([(len(p), zlib.crc32(p)) for p in parts]) == zlib.crc32(b"".join(parts))
 
 
+def test_blocks_are_coded_by_the_jvm(spark, docs, tmp_path):
+    register(spark)
+    rng = np.random.default_rng(3)
+    blocks = [np.zeros(0, int), np.array([5]), np.zeros(BLOCK, int), np.full(BLOCK, 65534), rng.integers(0, 49408, BLOCK), np.tile([1, 2, 3], 600)]
+    blocks += [np.minimum(rng.zipf(1.2 + k / 50, rng.integers(1, BLOCK + 1)), 65534) for k in range(60)]
+    rows = spark.createDataFrame([(k, bytearray(b.astype("<u4").tobytes())) for k, b in enumerate(blocks)], "k int, ids binary")
+    coded = {r.k: bytes(r.c) for r in rows.select("k", encoded(F.col("ids")).alias("c")).collect()}
+    assert [coded[k] for k in range(len(blocks))] == encode_blocks(blocks)  # one format, whoever writes it
+    back = spark.createDataFrame([(k, bytearray(c)) for k, c in coded.items()], "k int, c binary").select("k", decoded(F.col("c")).alias("ids"))
+    assert all(np.frombuffer(r.ids, "<u4").tolist() == blocks[r.k].tolist() for r in back.collect())
+    for at in (0, 5, 9, 40):
+        damaged = bytearray(coded[4])
+        damaged[at] ^= 1
+        with pytest.raises(Exception, match="block"):
+            spark.createDataFrame([(damaged,)], "c binary").select(decoded(F.col("c"))).collect()
+    # No block is decoded in a Python worker.
+    write_tokens(docs, str(tmp_path / "t"), WORD)
+    assert "MapInArrow" not in read_pieces(spark, str(tmp_path / "t"))._jdf.queryExecution().toString()
+
+
 def test_flow_and_transfers():
     # two units, a cheap path of one and a dear one
     assert min_cost_flow(4, [(0, 1, 2, 0), (1, 3, 1, 0), (1, 2, 2, 1), (2, 3, 2, 1)], 0, 3) == [2, 1, 1, 1]
