@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_ROWS, Scratch, bounded_semi, only, row_key
 from .components import connected_components, thinned
 from .shingles import as_bytes, batched, grams, shingle_set, small, word_hashes
+from .workers import lean
 
 SKETCH_BITS = 22
 CHUNKS = 256
@@ -63,8 +64,8 @@ def _frequencies(rows: DataFrame, n: int) -> np.ndarray:
         kept = [np.minimum(x, 65_535).astype("<u2").tobytes() for x in found.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(kept, pa.binary())], ["chunk", "sums"])
 
-    raw = rows.select("text").mapInArrow(count, "chunk int, kind string, at binary, sums binary")
-    merged = raw.repartition(64, "chunk").mapInArrow(add, "chunk int, sums binary").toArrow()
+    raw = rows.select("text").mapInArrow(lean(count), "chunk int, kind string, at binary, sums binary")
+    merged = raw.repartition(64, "chunk").mapInArrow(lean(add), "chunk int, sums binary").toArrow()
     sums = np.zeros((CHUNKS, (1 << SKETCH_BITS) // CHUNKS), np.uint16)
     for chunk, part in zip(merged["chunk"].to_pylist(), merged["sums"].to_pylist(), strict=True):
         sums[chunk] = np.frombuffer(part, "<u2")
@@ -152,7 +153,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = spark.sparkContext.broadcast(_frequencies(rows, n))
     with Scratch(spark) as scratch:
         schema = f"doc_id {kind}, row {row}, c binary, n long, prefix array<long>, bits array<long>"
-        profiles = scratch.table(rows.mapInArrow(_profile(n, percent, shared), schema), "profiles")
+        profiles = scratch.table(rows.mapInArrow(lean(_profile(n, percent, shared)), schema), "profiles")
         first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")).alias("least")
         heads = profiles.filter("n > 0").groupBy("c").agg(first_row, F.first("n").alias("n"), F.first("bits").alias("bits"), F.count("*").alias("rows"))
         classes = scratch.table(heads.select("c", F.monotonically_increasing_id().alias("i"), "least", F.col("least.row").alias("row"), "n", "bits", "rows"), "classes")
@@ -267,7 +268,7 @@ def _whole_sets(rows: DataFrame, members: DataFrame, named: DataFrame, n: int, s
     if members.join(named, "row", "left_semi").count() > named.count():
         texts = texts.dropDuplicates(["i"])
     schema = ", ".join(f"{c} {kind}" for c, kind in texts.drop("text").dtypes)
-    return scratch.table(texts.mapInArrow(_sets(n), f"{schema}, parities array<long>, shingles array<long>"), f"sets-{stage}")
+    return scratch.table(texts.mapInArrow(lean(_sets(n)), f"{schema}, parities array<long>, shingles array<long>"), f"sets-{stage}")
 
 
 def _named(pairs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, only
 from .shingles import as_bytes, batched, grams, small, word_hashes
+from .workers import lean
 
 BUCKETS = 4096
 #: Three families of features: words, pairs of words, and byte triples.
@@ -67,7 +68,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = sample.groupBy("id").agg(F.min("label").alias("label"))
     rows = only(docs, id=id_col, text=text_col).join(F.broadcast(known), "id", "left")
     rows = rows.select("text", F.coalesce(F.col("label") == 1, F.lit(False)).alias("is_target"))
-    sums = rows.mapInArrow(_count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    sums = rows.mapInArrow(lean(_count), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(FEATURES), np.zeros(FEATURES)
     for r in sums.collect():
         raw[r.bucket], target[r.bucket] = r.raw, r.target
@@ -104,7 +105,7 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", tex
     rows = only(docs, doc_id=id_col, text=text_col, **({} if key is None else {"key": key}))
     held = [c for c in rows.columns if c != "text"]
     kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in held]
-    return rows.mapInArrow(score, ", ".join([*kinds, "log_weight double", "n_features long"]))
+    return rows.mapInArrow(lean(score), ", ".join([*kinds, "log_weight double", "n_features long"]))
 
 
 def top_k(df: DataFrame, key: Column, k: int, tie: str, scratch: Scratch) -> DataFrame:

@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 from .shingles import PAD, batched, contents, hashed
+from .workers import HELD
 
 #: Bytes of printable ASCII, and of the second byte of U+00C0 to U+00FF but for the two signs there.
 #: Between such characters a single space always begins a token and a single line feed stands alone:
@@ -189,15 +190,12 @@ class PieceEncoder:
                 yield next(found) if text else np.zeros(0, np.uint32)
 
 
-_HELD: dict[tuple, PieceEncoder] = {}
-
-
 def encoder_of(path: str) -> PieceEncoder:
-    """The encoder of a file that this worker process holds: its table outlives a task. One file at a
-    time is held, so a worker keeps one bounded table."""
+    """The encoder of a file that this worker process holds: its table outlives a task, until one of
+    another kind begins. One file at a time is held, so a worker keeps one bounded table."""
     at = os.stat(path)
     key = (path, at.st_mtime_ns, at.st_size)
-    if key not in _HELD:
-        _HELD.clear()
-        _HELD[key] = PieceEncoder(path)
-    return _HELD[key]
+    if key not in HELD:
+        HELD.clear()
+        HELD[key] = PieceEncoder(path)
+    return HELD[key]

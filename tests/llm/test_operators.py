@@ -7,11 +7,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm import common, queries
+from tessera.llm import common, queries, workers
 from tessera.llm.components import connected_components
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.html_extraction import extract_pages, read_page, site_templates
@@ -26,7 +27,7 @@ from tessera.llm.sharding import affected, cut_line, equal_capacities, min_cost_
 from tessera.llm.shingles import word_hashes
 from tessera.llm.token_counts import token_counts
 from tessera.llm.token_output import joined_crc, read_ids, read_pieces, stored_tokens, write_tokens
-from tessera.llm.tokenizing import PieceEncoder
+from tessera.llm.tokenizing import PieceEncoder, encoder_of
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 BYTE, WORD = (queries._tokenizer(f"{n}.json") for n in ("byte_bpe_50k", "word_bpe_49k"))
@@ -641,3 +642,29 @@ def test_components(spark, monkeypatch):
     monkeypatch.setattr("tessera.llm.components.ROUNDS", 2)
     with common.Scratch(spark) as scratch, pytest.raises(RuntimeError):
         connected_components(spark.createDataFrame(graphs[2], "a long, b long"), scratch, "g")
+
+
+def test_workers_give_back_what_other_tasks_need(spark):
+    """A worker that tokenized keeps its table for the next such task, and frees it for one of another kind."""
+
+    def rss():
+        with open("/proc/self/status") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("VmRSS"))
+
+    def held(batches):
+        yield from batches
+        workers.HELD["table"] = np.ones(1 << 24)
+
+    def seen(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(workers.HELD)] * batch.num_rows, pa.int64())], ["id"])
+
+    assert list(workers.lean(seen)(iter(()))) == []
+    list(held(iter(())))
+    before = rss()
+    assert [b["id"].to_pylist() for b in workers.lean(seen)(iter([pa.RecordBatch.from_arrays([pa.array([1])], ["id"])]))] == [[0]]
+    assert rss() < before - 100_000
+    encoder = encoder_of(BYTE)
+    assert encoder_of(BYTE) is encoder  # held for the next task
+    list(workers.lean(seen)(iter(())))
+    assert encoder_of(BYTE) is not encoder
