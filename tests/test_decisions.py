@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geometry as g
 from tessera.functions import kernels
-from tessera.operators import greedy, recovery, repair
+from tessera.operators import audit, greedy, recovery, repair
 from tessera.operators.spatial import with_bounds
 from tessera.policy import DEFAULT, EXCLUDED_PARENTS
 
@@ -314,3 +314,31 @@ def test_cluster_links_meet_in_cells(spark):
     assert sorted((r.a, r.b) for r in links.collect()) == sorted(map(tuple, want)) and len(want) > 50
     plan = links._jdf.queryExecution().optimizedPlan().toString()
     assert "(at_x#" in plan and "= r_at_x#" in plan
+
+
+TILE = "s long, group_key string, tile_key string, tile_source string, tile_x int, tile_y int, tile_width int, tile_height int"
+
+
+
+def reads(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def stored(spark, rows, kind, path):
+    spark.createDataFrame(rows, kind).write.parquet(str(path))
+    return spark.read.parquet(str(path))
+
+
+def test_label_deduplication_reads_labels_once(spark, tmp_path):
+    found = greedy.dedup_labels(stored(spark, [("t", k, ring(x, 50, 20, 10, 0)) for k, x in ((1, 50), (2, 51), (3, 90))], f"tile_key string, line long, poly {RING}", tmp_path / "l"))
+    assert reads(found) == 1
+    assert sorted((r.line, r.kept, r.reason) for r in found.collect()) == [(1, True, None), (2, False, "duplicate_label"), (3, True, None)]
+
+
+
+def test_alike_pairs_against_all_pairs():
+    rng = random.Random(3)
+    a, b = ([ring(rng.uniform(0, 80), rng.uniform(0, 80), rng.choice([0, 20, 90]), 10, rng.uniform(0, 90)) if rng.random() > 0.1 else [] for _ in range(n)] for n in (60, 70))
+    both = [kernels.Polygons.of(pa.array([[{"x": x, "y": y} for x, y in p] for p in v], pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))) for v in (a, b)]
+    want = {(i, j) for i, p in enumerate(a) for j, q in enumerate(b) if p and q and area(p) > 0 and area(q) > 0 and (inter := area(clip(p, q))) / (area(p) + area(q) - inter) >= 0.2}
+    assert set(zip(*(k.tolist() for k in kernels.alike(*both, 0.2)), strict=True)) == want and len(want) > 20
