@@ -335,6 +335,24 @@ def test_label_deduplication_reads_labels_once(spark, tmp_path):
     assert sorted((r.line, r.kept, r.reason) for r in found.collect()) == [(1, True, None), (2, False, "duplicate_label"), (3, True, None)]
 
 
+CASE = f"instance_id string, seq long, tile_key string, parent_id string, dataset string, qa_tag string, poly {RING}, tile_x int, tile_y int, tile_width int, tile_height int, visible double, best_matched double, best_existing double, reason string"
+
+
+@pytest.mark.parametrize("kind", ["projection", "residual"])
+def test_decisions_read_cases_and_labels_once(spark, tmp_path, kind):
+    case = lambda k, tile, x: (f"i{k}", k, tile, "P1", "dota", "bad", ring(x, 100, 40, 20, 0), 0, 0, 1024, 1024, 1.0, None, None, "why")
+    cases = stored(spark, [case(1, "t", 100), case(2, "t", 101), case(3, "t", 300), case(4, "u", 300)], CASE, tmp_path / "c")
+    labels = stored(spark, [("t", ring(300, 100, 40, 20, 0)), ("w", ring(300, 100, 40, 20, 0))], f"tile_key string, poly {RING}", tmp_path / "l")
+    if kind == "projection":
+        found = repair.projection_decisions(cases, labels)
+        want = [(1, "added_projection"), (2, "skipped"), (3, "skipped"), (4, "added_projection")]
+        assert sorted((r.seq, r.action) for r in found.collect()) == want
+    else:
+        found = repair.residual_decisions(cases.drop("reason"), labels)
+        want = [(1, "repair_add_projected_label"), (2, "repair_add_projected_label"), (3, "audit_false_positive"), (4, "repair_add_projected_label")]
+        assert sorted((r.seq, r.decision) for r in found.collect()) == want
+    assert reads(found) == 2
+
 
 def test_alike_pairs_against_all_pairs():
     rng = random.Random(3)
