@@ -15,6 +15,7 @@ from .jvm_coder import decoded, encoded, register
 from .range_coder import BLOCK
 from .shingles import as_bytes, small
 from .tokenizing import encoder_of
+from .workers import give_back, lean
 
 _DOC = pa.struct([("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64())])
 _FILE = [("part", pa.int32()), ("block", pa.int64()), ("first", pa.int64()), ("n", pa.int64()), ("docs", pa.list_(_DOC)), ("data", pa.binary())]
@@ -58,7 +59,7 @@ def _writer(tokenizer: str, end_id: int):
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _FILE, strict=True)], [n for n, _ in _FILE])
 
-        for batch in small(batches):
+        for batch in small(batches, size=1 << 20):
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode_all(as_bytes(batch["text"])), strict=True):
                 raw = ids.astype("<u4").tobytes() + end
                 docs.append({"doc_id": doc_id, "at": total, "n_tokens": len(raw) // 4})
@@ -67,6 +68,7 @@ def _writer(tokenizer: str, end_id: int):
                 if len(held) >= 4 * BLOCK * HELD:
                     yield from blocks(False)
         yield from blocks(True)
+        give_back()
 
     return write
 
@@ -145,7 +147,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     pieces = read_pieces(spark, path)
     docs = pieces.groupBy("part", "at").agg(F.first("doc_id").alias("doc_id"), F.first("n_tokens").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("piece_at", "n", "crc"))).alias("parts"))
     docs = docs.join(_part_bases(spark, path), "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "parts")
-    return docs.mapInArrow(_join_pieces, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return docs.mapInArrow(lean(_join_pieces), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

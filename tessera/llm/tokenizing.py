@@ -91,7 +91,7 @@ class PieceEncoder:
     table starts anew; nothing depends on what it holds.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -110,7 +110,7 @@ class PieceEncoder:
         their tokens start."""
         counts, ids = [], []
         start = 0
-        while start < len(pieces):  # about 200,000 characters a call: an encoding takes far more than its text
+        while start < len(pieces):  # about 50,000 characters a call: an encoding takes far more than its text
             end, chars = start, 0
             while end < len(pieces) and (end == start or chars + len(pieces[end]) <= 200_000):
                 chars, end = chars + len(pieces[end]), end + 1
@@ -183,7 +183,7 @@ class PieceEncoder:
 
     def encode_all(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         """Ids (unsigned) of UTF-8 texts, in order; an empty text has none."""
-        for some in batched(texts, 1_000_000):
+        for some in batched(texts, 400_000):
             full = [t for t in some if t]
             found = self._batch(full) if full else iter(())
             for text in some:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm import common, queries, workers
+from tessera.llm import common, queries, token_output, workers
 from tessera.llm.components import connected_components
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.html_extraction import extract_pages, read_page, site_templates
@@ -668,3 +668,13 @@ def test_workers_give_back_what_other_tasks_need(spark):
     assert encoder_of(BYTE) is encoder  # held for the next task
     list(workers.lean(seen)(iter(())))
     assert encoder_of(BYTE) is not encoder
+
+
+def test_token_writer_gives_memory_back(monkeypatch):
+    """A worker that has written its stretch holds its table and not what its batches took."""
+    calls = []
+    monkeypatch.setattr(token_output, "give_back", lambda: calls.append(1))
+    monkeypatch.setattr(token_output, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("One", (), {"partitionId": lambda self: 3})())}))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array(["a b", None])], ["doc_id", "text"])
+    (found,) = token_output._writer(queries._tokenizer("word_bpe_49k.json"), 2)([batch])
+    assert [d["doc_id"] for d in found["docs"].to_pylist()[0]] == [1, 2] and found["part"].to_pylist() == [3] and calls == [1]
