@@ -33,13 +33,35 @@ def tile_features(features: DataFrame, images: DataFrame, policy: Policy = DEFAU
     enough = (high[0] - low[0]) * (high[1] - low[1]) >= min_overlap * (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
     inside = tiles.join(found, (F.col("name") == F.col("_image")) & meet & enough).groupBy("tile").agg(F.array_sort(F.collect_list(g.rect_polygon(low[0], low[1], high[0], high[1]))).alias("polygons"))
     out = tiles.select("stem", "row", "col", "tile").join(inside, "tile", "left")
-    # Numbers in two steps, so that no task orders all tiles: inside each image, then over images.
+    none = F.array().cast("array<array<struct<x:double,y:double>>>")
+    return _numbered(out, tiles).select("seq", F.col("tile").alias("name"), F.lit(size).alias("width"), F.lit(size).alias("height"), F.coalesce("polygons", none).alias("polygons"))
+
+
+def tile_feature_counts(features: DataFrame, images: DataFrame, policy: Policy = DEFAULT, min_overlap: float = 0.5) -> DataFrame:
+    """seq, name, objects and pixels (their area) of the tiles that `tile_features` makes, counted and not gathered.
+    features: key, x0, y0, x1, y1; images: name, width, height, key. Images that share a key hold all its
+    features, each of them; tiles that share a name are rows of their own and count what all of them hold."""
+    c, size = F.col, policy.tile_size
+    tiles = tile_grid(images.select("name", "width", "height", "key", p.stem(c("name")).alias("stem")), policy).withColumn("tile", F.format_string("%s_row%d_col%d.png", "stem", c("row"), c("col")))
+    whole = features.filter("x1 > x0 AND y1 > y0").select(c("key").alias("_key"), *[c(k).cast("double").alias(k) for k in ("x0", "y0", "x1", "y1")])
+    places = tiles.groupBy("key", "tile", "tile_x", "tile_y").agg(F.count("*").alias("_times"))
+    low = [F.greatest(c(f"{a}0"), c(f"tile_{a}")) - c(f"tile_{a}") for a in "xy"]
+    high = [F.least(c(f"{a}1"), c(f"tile_{a}") + size) - c(f"tile_{a}") for a in "xy"]
+    seen = (high[0] - low[0]) * (high[1] - low[1])
+    meet = (c("x1") > c("tile_x")) & (c("x0") < c("tile_x") + size) & (c("y1") > c("tile_y")) & (c("y0") < c("tile_y") + size)
+    pairs = whole.join(places, (c("key") == c("_key")) & meet & (seen >= min_overlap * (c("x1") - c("x0")) * (c("y1") - c("y0"))))
+    held = pairs.groupBy("tile").agg(F.sum("_times").alias("objects"), F.sum(seen * c("_times")).alias("pixels"))
+    found = tiles.select("stem", "row", "col", "tile").join(held, "tile", "left").fillna(0, ["objects"]).fillna(0.0, ["pixels"])
+    return _numbered(found, tiles).select("seq", c("tile").alias("name"), "objects", "pixels")
+
+
+def _numbered(rows: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Adds seq, the place by stem, row and column, in two steps, so that no task orders all tiles: inside
+    each stem, then over stems."""
     place = F.row_number().over(Window.partitionBy("stem").orderBy("row", "col")) - 1
     sizes = tiles.groupBy("stem").agg(F.count("*").alias("_n"))
-    bases = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("stem").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # a row for each image
-    none = F.array().cast("array<array<struct<x:double,y:double>>>")
-    out = out.withColumn("_place", place).join(bases, "stem")
-    return out.select((F.col("_base") + F.col("_place")).alias("seq"), F.col("tile").alias("name"), F.lit(size).alias("width"), F.lit(size).alias("height"), F.coalesce("polygons", none).alias("polygons"))
+    bases = sizes.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("stem").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # a row for each stem
+    return rows.withColumn("_place", place).join(bases, "stem").withColumn("seq", F.col("_base") + F.col("_place")).drop("_base", "_place")
 
 
 def lift_cleaned(tiles: DataFrame, members: DataFrame, kind: str, stride: int = 824) -> tuple[DataFrame, DataFrame]:

@@ -42,3 +42,18 @@ def test_recovery_from_annotated_tiles(spark, tmp_path):
     assert out["review"].count() == 0
     listed = pipelines.in_output_order(spark.createDataFrame([("val", "a"), ("train", "b"), ("train", "a")], "split string, image_name string"))
     assert [tuple(r) for r in listed.collect()] == [("train", "a"), ("train", "b"), ("val", "a")]
+
+
+def test_features_are_counted_in_tiles(spark):
+    """As the gathered polygons count; images that share a key, or a name, count what all of them hold."""
+    boxes = [("1", 10, 10, 30, 20), ("1", 800, 5, 1100, 25), ("1", 5, 5, 5, 9), ("2", 900, 900, 920, 910), ("3", 1, 1, 9, 9)]
+    kind = "double, x0 double, y0 double, x1 double, y1 double".replace("double", "string", 1)
+    features = spark.createDataFrame([(k, *map(float, b)) for k, *b in boxes], f"key {kind}")
+    images = spark.createDataFrame([("1.tif", 1900, 1024, "1"), ("2.tif", 1024, 1024, "2"), ("3.tif", 500, 500, "3"), ("4.tif", 1024, 1024, "4")], "name string, width int, height int, key string")
+    counted = lambda i: sorted(tuple(r) for r in pipelines.tile_feature_counts(features, i).collect())
+    gathered = pipelines.tile_features(features.withColumnRenamed("key", "image"), images).collect()
+    area = lambda q: (q[2].x - q[0].x) * (q[2].y - q[0].y)
+    assert counted(images) == sorted((r.seq, r.name, len(r.polygons), sum(map(area, r.polygons))) for r in gathered)
+    shared = spark.createDataFrame([("1.tif", 1024, 1024, "1"), ("1.tif", 1900, 1024, "1"), ("1.tif", 1024, 1024, "2")], "name string, width int, height int, key string")
+    # two of key 1 hold two features each in the first tile, the one of key 2 holds one
+    assert [r[1:3] for r in counted(shared)] == [("1_row0_col0.png", 5)] * 3 + [("1_row0_col1.png", 1)]
