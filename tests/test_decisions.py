@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geometry as g
 from tessera.functions import kernels
-from tessera.operators import audit, greedy, recovery, repair
+from tessera.operators import audit, greedy, recovery, repair, spatial
 from tessera.operators.spatial import with_bounds
 from tessera.policy import DEFAULT, EXCLUDED_PARENTS
 
@@ -360,3 +360,10 @@ def test_alike_pairs_against_all_pairs():
     both = [kernels.Polygons.of(pa.array([[{"x": x, "y": y} for x, y in p] for p in v], pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))) for v in (a, b)]
     want = {(i, j) for i, p in enumerate(a) for j, q in enumerate(b) if p and q and area(p) > 0 and area(q) > 0 and (inter := area(clip(p, q))) / (area(p) + area(q) - inter) >= 0.2}
     assert set(zip(*(k.tolist() for k in kernels.alike(*both, 0.2)), strict=True)) == want and len(want) > 20
+
+
+def test_pairs_that_cannot_fit_are_not_clipped(spark):
+    """Envelopes that meet aren't enough: a label with a far centre or another area leaves before the costly step."""
+    box = with_bounds(spark.createDataFrame([("a", "t", ring(100, 100, 60, 20, 0))], f"instance_id string, tile_key string, poly {RING}"))
+    labels = spark.createDataFrame([("t", 1, ring(102, 100, 60, 20, 0)), ("t", 2, ring(140, 100, 60, 20, 0)), ("t", 3, ring(100, 100, 8, 8, 0))], f"tile_key string, line int, poly {RING}")
+    assert [(r.l_line, r.fits, round(r.iou, 3)) for r in spatial.fit_pairs(box, labels, "inner").collect()] == [(1, True, 0.935)]
