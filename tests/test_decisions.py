@@ -319,6 +319,16 @@ def test_cluster_links_meet_in_cells(spark):
 TILE = "s long, group_key string, tile_key string, tile_source string, tile_x int, tile_y int, tile_width int, tile_height int"
 
 
+def test_roi_risk_of_parents_that_share_a_group(spark):
+    """One region for both parents: a box is judged once, by the cells of both, and their tiles' shares add up."""
+    parents = spark.createDataFrame([("g", "P1", "dota", 1200, 1200, 1 << 6), ("g", "P1", "dota", 1200, 1200, 1 << 8)], "group_key string, parent_id string, dataset string, width int, height int, grid_mask int")
+    boxes = [("left", 200), ("edge", 405), ("middle", 600), ("right", 1000)]
+    obbs = spark.createDataFrame([(k, "g", ring(x, 200, 20, 10, 0)) for k, x in boxes], f"instance_id string, group_key string, poly {RING}")
+    state = spark.createDataFrame([(k, "uncovered_by_any_tile" if k != "edge" else "covered_by_roi_tile") for k, _ in boxes], "instance_id string, status string")
+    tiles = spark.createDataFrame([(1, "g", "t", "smart_grid", 0, 0, 1024, 1024), (2, "g", "t", "annotation_recovery", 0, 0, 1024, 1024), (1, "g", "u", "smart_grid", 400, 400, 1024, 1024), (2, "g", "u", "smart_grid", 400, 400, 1024, 1024)], TILE)
+    found = audit.roi_risk(obbs, tiles, state, parents, []).collect()
+    assert sorted((r.issue_type, r.instance_id, r.tile_key) for r in found) == [("possible_roi_grid_exclusion", "middle", None), ("roi_boundary_object", "edge", None), ("tile_below_roi_threshold", None, "u")]
+
 
 def reads(df):
     return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
