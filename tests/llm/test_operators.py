@@ -290,6 +290,35 @@ def test_encoder_on_odd_texts():
             assert found.tolist() == ids(text), repr(text)
 
 
+class Counted:
+    """A tokenizer that counts the characters it is given, with and without offsets."""
+
+    def __init__(self, library):
+        self.library, self.slow, self.all = library, 0, 0
+
+    def encode(self, text, **how):
+        self.slow, self.all = self.slow + len(text), self.all + len(text)
+        return self.library.encode(text, **how)
+
+    def encode_batch_fast(self, texts, **how):
+        self.all += sum(map(len, texts))
+        return self.library.encode_batch_fast(texts, **how)
+
+
+def test_encoder_spares_the_library():
+    """Pieces met again outlive a full table, and plain pieces are told apart without offsets."""
+    again = [f"{a}{b}{c}é$$" for a in "abcdefghij" for b in "abcdefghij" for c in "vwxyz"]
+    texts = [" ".join([*again, *(f"Only{k}x{j}" for j in range(400))]) for k in range(12)]
+    for path in (BYTE, WORD):
+        encoder = PieceEncoder(path, limit=2000)
+        encoder.library = Counted(encoder.library)
+        for text in texts:
+            assert [x.tolist() for x in encoder.encode_all([text.encode()])] == [tokens(path)(text)]
+        assert encoder.library.slow == 0
+        once = sum(len(f" Only{k}x{j}") for k in range(12) for j in range(400)) + sum(len(w) + 1 for w in again)
+        assert encoder.library.all <= once
+
+
 def unlike_words(bits):
     """Two words of 2 ** bits letters that agree under polynomial hashes modulo powers of two."""
     word = "a"
