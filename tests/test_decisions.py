@@ -377,3 +377,37 @@ def test_pairs_that_cannot_fit_are_not_clipped(spark):
     box = with_bounds(spark.createDataFrame([("a", "t", ring(100, 100, 60, 20, 0))], f"instance_id string, tile_key string, poly {RING}"))
     labels = spark.createDataFrame([("t", 1, ring(102, 100, 60, 20, 0)), ("t", 2, ring(140, 100, 60, 20, 0)), ("t", 3, ring(100, 100, 8, 8, 0))], f"tile_key string, line int, poly {RING}")
     assert [(r.l_line, r.fits, round(r.iou, 3)) for r in spatial.fit_pairs(box, labels, "inner").collect()] == [(1, True, 0.935)]
+
+
+def test_labels_meet_across_cells_of_a_tile(spark):
+    """Centres on both sides of a cell's border and near the very reach; a label that touches several cells counts once."""
+    rng, boxes, labels = random.Random(5), [], []
+    for k in range(60):
+        x, y = rng.choice((120, 124, 128, 132, 256)) + rng.uniform(-1, 1), rng.choice((120, 124, 128, 384)) + rng.uniform(-1, 1)
+        boxes.append((f"b{k}", "t", points(ring(x, y, 30, 20, 0))))
+        labels.append(("t", k, points(ring(x + rng.choice((-7.99, -5, 0, 7.99, 8.01)), y + rng.choice((0, 0, 3)), 30, 20, 0))))
+    mine = spark.createDataFrame(boxes, f"instance_id string, tile_key string, poly {RING}")
+    theirs = spark.createDataFrame(labels, f"tile_key string, line long, poly {RING}")
+    got = Counter((r.instance_id, r.l_line, r.fits) for r in spatial.fit_pairs(mine, theirs, "inner").collect())
+    want = Counter()
+    for name, _, p in boxes:
+        for _, line, q in labels:
+            p_, q_ = ([(v["x"], v["y"]) for v in z] for z in (p, q))
+            if math.dist(*[[sum(v[a] for v in z) / 4 for a in (0, 1)] for z in (p_, q_)]) <= 8:
+                share = area(clip(p_, q_)) / 600
+                want[name, line, share / (2 - share) >= 0.5 or share >= 0.75] += 1
+    assert got == want and len(want) > 300
+
+
+def test_shares_kernel_is_the_closed_form_and_skips_nulls(spark):
+    rng = random.Random(6)
+    polys = [points(ring(rng.uniform(-20, 120), rng.uniform(-20, 120), rng.uniform(1, 60), rng.uniform(1, 40), rng.choice((0, 30, 90, 137)))) for _ in range(80)]
+    polys += [None, [], points([(0.0, 0.0), (1.0, 1.0)]), points([(90.0, 90.0), (120.0, 90.0), (90.0, 120.0)]), points([(5.0, 5.0)] * 4)]
+    df = spark.createDataFrame([(k, p) for k, p in enumerate(polys)], f"k int, p {RING}")
+    rect = [F.lit(v) for v in (0, 0, 100, 100)]
+    rows = g.with_overlap(df, "share", "p", *rect).withColumn("column", g.overlap_ratio(F.col("p"), *rect)).withColumn("j", g.project_to_tile(F.when(F.col("k") % 2 == 0, F.col("p")), *rect)).collect()
+    assert len(rows) == len(polys) and all(r.share == pytest.approx(r.column or 0.0, abs=1e-9) for r in rows)
+    every = {r.k: r.j for r in df.withColumn("j", g.project_to_tile(F.col("p"), *rect)).collect()}
+    assert all(r.j == (every[r.k] if r.k % 2 == 0 else None) for r in rows)
+    same = df.filter("k < 80").select(g.overlaps(F.col("p"), F.col("p")).alias("o")).collect()
+    assert all(r.o.inter == r.o.a == r.o.b for r in same)
