@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geometry as g
+from ..functions import kernels
 from ..policy import DEFAULT, SOURCE_PRIORITY, Policy
 
 
@@ -97,6 +101,37 @@ def clusters(candidates: DataFrame, links: DataFrame) -> DataFrame:
     return candidates.select("parent", "seq").join(found, ["parent", "seq"], "left").withColumn("cluster", F.coalesce("cluster", "seq"))
 
 
+def with_clusters(candidates: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
+    """Candidates (as of `cluster_links`, with any other columns) and their cluster: what `cluster_links` and
+    `clusters` give, in one pass over each parent's rows, which move once. Rows without a parent or seq
+    are linked with nothing."""
+
+    def united(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        ids = np.asarray(rows["seq"].fill_null(0), np.int64)
+        at = np.flatnonzero(np.asarray(rows["parent"].is_valid()) & np.asarray(rows["seq"].is_valid()))
+        some = rows.take(pa.array(at))
+        number = lambda k: np.asarray(some[k].to_numpy(), np.float64)
+        p = kernels.Polygons.of(some["poly"].combine_chunks() if some["poly"].num_chunks != 1 else some["poly"].chunk(0))
+        edge = np.asarray(some["edge_touch"].fill_null(False))
+        pairs = kernels.compatible_pairs(p, ids[at], number("angle"), edge, number("_c"), number("_s"), policy)
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := root.setdefault(x, x)) != x:
+                root[x] = x = root[up]
+            return x
+
+        for a, b in zip(*(ids[at[k]].tolist() for k in pairs), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        cluster = np.array([find(x) if x in root else x for x in ids.tolist()], np.int64)
+        return rows.drop_columns(["_c", "_s"]).append_column("cluster", pa.array(cluster, mask=~np.asarray(rows["seq"].is_valid())))
+
+    turned = candidates.withColumns({"_c": F.cos(F.radians("angle")), "_s": F.sin(F.radians("angle"))})
+    return turned.groupBy("parent").applyInArrow(united, T.StructType([*candidates.schema.fields, T.StructField("cluster", T.LongType())]))
+
+
 def best_candidates(members: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     """Of each cluster the candidate of the greatest score, then larger parent, then upper, then left
     tile, then first; with cluster_size, runner_up and ambiguous (the scores are close)."""

@@ -268,7 +268,8 @@ def frame_counts(spark, d):
 def _candidates(spark, d):
     """Candidates of parents: all boxes and shifted copies of some of them."""
     again = F.row_number().over(Window.partitionBy("s", "o", "p", "n").orderBy("instance_id")) - 1  # rows that repeat a line get a seq of their own
-    b = v.boxes(spark, d).withColumn("again", again)
+    o = view(spark, d, "obbs").repartition("s")  # a parent's rows move once, before they have polygons
+    b = v.boxed(o.withColumn("again", again))
     rows = b.withColumn("copy", F.explode(F.when(F.col("p") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     kinds = F.array(*[F.lit(k) for k in ("cleaned", "second_pass", "raw")])
     poly = F.transform("poly", lambda a: g.point(a["x"] + 3 * F.col("copy"), a["y"] + 2 * F.col("copy")))
@@ -296,5 +297,5 @@ def best_candidate(spark, d):
 
 @query()
 def candidate_clusters(spark, d):
-    c = recovery.with_score(_candidates(spark, d))
-    return recovery.clusters(c, recovery.cluster_links(c))
+    c = recovery.with_score(_candidates(spark, d)).select("parent", "seq", "poly", "angle", "edge_touch")
+    return recovery.with_clusters(c).select("parent", "seq", "cluster")

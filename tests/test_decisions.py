@@ -411,3 +411,19 @@ def test_shares_kernel_is_the_closed_form_and_skips_nulls(spark):
     assert all(r.j == (every[r.k] if r.k % 2 == 0 else None) for r in rows)
     same = df.filter("k < 80").select(g.overlaps(F.col("p"), F.col("p")).alias("o")).collect()
     assert all(r.o.inter == r.o.a == r.o.b for r in same)
+
+
+def test_clusters_in_one_pass_are_those_of_links(spark):
+    """Rows move once; null keys, shapes, angles and edges link nothing, seqs that recur share a cluster."""
+    rng, items = random.Random(11), []
+    for k in range(160):
+        angle = rng.choice([0.0, 4.0, 90.0, 178.0, None])
+        poly = ring(rng.uniform(0, 700), rng.uniform(0, 300), rng.choice([20, 100]), 12, angle or 0.0)
+        poly = poly[:1] + [tuple((a + b) / 2 for a, b in zip(*poly[:2], strict=True))] + poly[1:] if k % 7 == 0 else poly
+        items.append((None if k % 31 == 0 else f"p{k % 2}", None if k % 29 == 0 else k - k % 40 // 39, None if k % 23 == 0 else points(poly), angle, None if k % 5 == 0 else k % 3 == 0))
+    df = spark.createDataFrame(items, f"parent string, seq long, poly {RING}, angle double, edge_touch boolean")
+    key = lambda r: (r.parent or "", -1 if r.seq is None else r.seq, -1 if r.cluster is None else r.cluster)
+    want, done = recovery.clusters(df, recovery.cluster_links(df)), recovery.with_clusters(df)
+    assert sorted(map(key, done.collect())) == sorted(map(key, want.collect())) and done.columns == [*df.columns, "cluster"]
+    assert len({key(r)[2] for r in want.collect()}) < 120
+    assert recovery.with_clusters(df)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
