@@ -149,26 +149,41 @@ def merged_boxes(members: DataFrame, best: DataFrame, policy: Policy = DEFAULT)
     rows = members.select("parent", "cluster", "angle", "poly").join(ref, ["parent", "cluster"]).filter(F.col("cluster_size").between(2, 3))
     spans = g.once(rows, "e", g.extents(F.col("poly"), F.col("ref")))
     agg = spans.groupBy("parent", "cluster", "ref", "_w", "_h").agg(F.max(g.angle_difference(F.col("angle"), F.col("ref"))).alias("turn"), *[f(F.col(f"e.{k}")).alias(k) for f, k in ((F.min, "u0"), (F.max, "u1"), (F.min, "v0"), (F.max, "v1"))])
-    agg = agg.filter((F.col("turn") <= policy.cluster_angle) & (F.col("u1") > F.col("u0")) & (F.col("v1") > F.col("v0")))
+    return _as_one(agg, policy).filter("box IS NOT NULL").select("parent", "cluster", "box", "points")
+
+
+def _as_one(spans: DataFrame, policy: Policy) -> DataFrame:
+    """Adds box and points in the parent's _w and _h to spans u0, u1, v0, v1, in a frame turned by ref, of candidates
+    that differ by `turn` from it at most; both null if they can't be one box."""
+    able = (F.col("turn") <= policy.cluster_angle) & (F.col("u1") > F.col("u0")) & (F.col("v1") > F.col("v0"))
     c, s = F.cos(F.radians("ref")), F.sin(F.radians("ref"))
     corner = lambda u, v: g.point(F.col(u) * c - F.col(v) * s, F.col(u) * s + F.col(v) * c)
-    out = g.once(agg, "raw", F.array(corner("u0", "v0"), corner("u1", "v0"), corner("u1", "v1"), corner("u0", "v1")))
-    out = out.filter(g.inside_pixels(F.col("raw"), F.col("_w"), F.col("_h"), policy.edge_touch))
-    out = g.once(out, "points", g.truncate_box(g.rotated_box(F.col("raw")), F.col("_w"), F.col("_h"))).filter("points IS NOT NULL")
-    return g.once(out, "box", g.rotated_box(F.col("points"))).filter("box IS NOT NULL").select("parent", "cluster", "box", "points")
+    out = g.once(spans, "raw", F.when(able, F.array(corner("u0", "v0"), corner("u1", "v0"), corner("u1", "v1"), corner("u0", "v1"))))
+    fits = g.inside_pixels(F.col("raw"), F.col("_w"), F.col("_h"), policy.edge_touch)
+    out = g.once(out, "points", F.when(F.col("raw").isNotNull() & fits, g.truncate_box(g.rotated_box(F.col("raw")), F.col("_w"), F.col("_h"))))
+    out = g.once(out, "box", F.when(F.col("points").isNotNull(), g.rotated_box(F.col("points"))))
+    return out.withColumn("points", F.when(F.col("box").isNotNull(), F.col("points"))).drop("raw")
 
 
 def recover(candidates: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     """The recovered annotations of parents: merged clusters, else the best candidate of each. Columns
     parent, cluster, cluster_size, source_kind, ambiguous, score, points."""
-    scored = with_score(candidates, policy)
-    members = scored.join(clusters(scored, cluster_links(scored, policy)), ["parent", "seq"])
-    best = best_candidates(members, policy)
-    merged = merged_boxes(members, best, policy).select("parent", "cluster", F.col("points").alias("merged"))
-    out = best.join(merged, ["parent", "cluster"], "left")
+    held = ["parent", "seq", "poly", "angle", "edge_touch", "source_kind", "score", "parent_width", "parent_height", "tile_x", "tile_y"]
+    members = with_clusters(with_score(candidates, policy).select(*held), policy).drop("edge_touch")
+    by = Window.partitionBy("parent", "cluster")
+    order = by.orderBy(F.desc("score"), F.desc(F.col("parent_width") * F.col("parent_height")), "tile_y", "tile_x", "seq")
+    ranked = members.withColumns({"_n": F.row_number().over(order), "runner_up": F.lead("score").over(order), "cluster_size": F.count("*").over(by), "ref": F.first("angle").over(order)})
+    # A cluster's spans are windows too, so that its members move once more and not again for the merged box.
+    few = ranked.withColumn("_few", F.when(F.col("cluster_size").between(2, 3) & F.col("parent").isNotNull(), F.col("poly")))
+    few = g.once(few, "e", F.when(F.col("_few").isNotNull(), g.extents(F.col("_few"), F.col("ref")))).drop("_few")
+    spans = {k: f(F.col(f"e.{k}")).over(by) for f, k in ((F.min, "u0"), (F.max, "u1"), (F.min, "v0"), (F.max, "v1"))}
+    best = few.withColumns({"turn": F.max(g.angle_difference(F.col("angle"), F.col("ref"))).over(by), **spans}).filter("_n = 1")
+    gap = F.coalesce(F.col("score") - F.col("runner_up") < policy.winner_gap, F.lit(False))
+    best = best.withColumn("ambiguous", gap).drop("_n", "runner_up", "e", "seq", "angle", "tile_x", "tile_y")
+    merged = _as_one(best.withColumns({"_w": F.col("parent_width"), "_h": F.col("parent_height")}), policy).withColumnRenamed("points", "merged")
     kind = F.when(F.col("merged").isNotNull(), "merged").otherwise(F.col("source_kind"))
     ambiguous = F.col("ambiguous") & F.col("merged").isNull()
-    return out.select("parent", "cluster", "cluster_size", kind.alias("source_kind"), ambiguous.alias("ambiguous"), "score", F.coalesce("merged", "poly").alias("points"))
+    return merged.select("parent", "cluster", "cluster_size", kind.alias("source_kind"), ambiguous.alias("ambiguous"), "score", F.coalesce("merged", "poly").alias("points"))
 
 
 def cluster_order(members: DataFrame) -> DataFrame:
